@@ -118,8 +118,10 @@ def analogies(triples: DataFrame, embeddings: DataFrame, normalized: bool = True
     candidates = near.select(words.alias("w"), "token", "score", "rank").where(
         ~F.col("token").isin(F.col("w.a"), F.col("w.b"), F.col("w.c"))
     )
-    best = candidates.groupBy("w").agg(F.min_by(F.struct("token", "score"), "rank").alias("best"))
-    return best.select("w.a", "w.b", "w.c", F.col("best.token").alias("predicted"), F.col("best.score").alias("cosine"))
+    best = candidates.groupBy("w").agg(F.min_by(F.struct("token", "score"), "rank").alias("best")).select(
+        "w.a", "w.b", "w.c", F.col("best.token").alias("predicted"), F.col("best.score").alias("cosine")
+    )
+    return triples.select("a", "b", "c").join(best, ["a", "b", "c"])
 
 
 def evaluate(
