@@ -47,13 +47,21 @@ def edge_trim(text: Column) -> Column:
 
 
 def collapse(text: Column) -> Column:
-    """Turn every run of whitespace into one space."""
-    return F.regexp_replace(text, r"\s+", " ")
+    """Turn every run of whitespace into one space.
+
+    The pattern passes over single spaces, most of the whitespace of a text.
+    """
+    return F.regexp_replace(text, r"[\t\n\x0B\f\r]\s*| \s+", " ")
 
 
 def sanitize(text: Column) -> Column:
-    """Control characters become spaces, whitespace runs one space, edges trimmed."""
-    return F.trim(collapse(F.regexp_replace(text, CONTROL, " ")))
+    """Runs of control characters and whitespace become one space, edges trimmed.
+
+    One pass does what replacing control characters by spaces first and
+    collapsing whitespace afterwards would do: all whitespace but the space is
+    a control character.
+    """
+    return F.trim(F.regexp_replace(text, r"\p{Cntrl}[ \p{Cntrl}]*| [ \p{Cntrl}]+", " "))
 
 
 def chunk_normalize(text: Column) -> Column:
@@ -65,14 +73,23 @@ def has_text(text: Column) -> Column:
     return F.length(text) > 0
 
 
+def sanitizes_to_text(raw: Column) -> Column:
+    """Whether anything is left of ``raw`` once sanitised, told from its first printing character."""
+    return raw.rlike(r"[^ \p{Cntrl}]")
+
+
 def long_enough(text: Column, min_chars: int = 120) -> Column:
     return F.length(text) >= min_chars
 
 
+def odd_chars(text: Column) -> Column:
+    """Number of characters above U+00FF."""
+    return F.length(F.regexp_replace(text, r"[\x{0}-\x{FF}]+", ""))
+
+
 def looks_corrupted(text: Column, share: float = 0.1) -> Column:
     """Empty, or more than ``share`` of the characters lie above U+00FF."""
-    odd = F.length(F.regexp_replace(text, r"[\x{0}-\x{FF}]", ""))
-    return (F.length(text) == 0) | (odd / F.length(text) > share)
+    return (F.length(text) == 0) | (odd_chars(text) / F.length(text) > share)
 
 
 def is_pdf(path: Column) -> Column:

@@ -24,14 +24,26 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once.
+
+    An expression named inside a lambda is evaluated again for every element;
+    the variable of an enclosing lambda is not.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def norm(vec: Column) -> Column:
     return F.sqrt(_total(F.transform(as_double(vec), lambda x: x * x)))
 
 
 def l2_normalize(vec: Column) -> Column:
     """Unit vector; the zero vector stays as it is."""
-    length = norm(vec)
-    return F.when(length == 0, as_double(vec)).otherwise(F.transform(as_double(vec), lambda x: x / length))
+
+    def scaled(length: Column) -> Column:
+        return F.when(length == 0, as_double(vec)).otherwise(F.transform(as_double(vec), lambda x: x / length))
+
+    return bind(norm(vec), scaled)
 
 
 def _prefix(vec: Column, other: Column) -> Column:
@@ -57,8 +69,7 @@ def subtract(a: Column, b: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine with the dot product over the common prefix; 0 when a norm is 0."""
-    scale = norm(a) * norm(b)
-    return F.when(scale == 0, F.lit(0.0)).otherwise(dot(a, b) / scale)
+    return bind(norm(a) * norm(b), lambda scale: F.when(scale == 0, F.lit(0.0)).otherwise(dot(a, b) / scale))
 
 
 def cosine_strict(a: Column, b: Column) -> Column:

@@ -10,7 +10,7 @@ VERSION_KEY = ["docId", "contentHash"]
 
 def unmatched(incoming: DataFrame, existing: DataFrame, keys: list[str] = VERSION_KEY) -> DataFrame:
     """Incoming rows whose key the table does not hold; a null key never matches."""
-    return incoming.join(existing.select(*keys), keys, "left_anti")
+    return incoming.join(existing.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def merged_view(existing: DataFrame, incoming: DataFrame, keys: list[str] = VERSION_KEY) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
+from corpuscle.functions.vectors import bind
 from corpuscle.operators.embed import Embedder, embed_column
 from corpuscle.operators.search import top_k
 
@@ -46,9 +47,12 @@ def retrieve(
 
 def keyword_overlap(question: Column, contexts: Column) -> Column:
     """Question keywords, repeats counted, that occur in any of the context texts."""
-    seen = T.without_stop_words(T.keywords(F.array_join(contexts, " ")))
+    words = T.without_stop_words(T.keywords(F.array_join(contexts, " ")))
     asked = T.without_stop_words(T.keywords(question))
-    return F.size(F.filter(asked, lambda token: F.array_contains(seen, token)))
+    return bind(
+        F.array_distinct(words),
+        lambda seen: F.size(F.filter(asked, lambda token: F.array_contains(seen, token))),
+    )
 
 
 def guard(

@@ -56,12 +56,12 @@ def chunk_records(
     paragraphs of the raw text instead of cutting windows of the sanitised one.
     A null ``embedding`` marks a chunk the model failed on, with the reason.
     """
-    clean = T.sanitize(F.col("text"))
-    named = files.select(F.col("name").alias("source"), "text").where(T.has_text(clean))
+    # Files whose sanitised text is empty have nothing to cut, so they are not read further.
+    named = files.select(F.col("name").alias("source"), "text").where(T.sanitizes_to_text(F.col("text")))
     if by_paragraph:
         chunks = chunk_by_paragraph(named, min_len=min_chars, separator=separator)
     else:
-        chunks = chunk(named.withColumn("text", clean))
+        chunks = chunk(named.withColumn("text", T.sanitize(F.col("text"))))
     cleaned = chunks.withColumn("text", T.sanitize(F.col("text")))
     kept = cleaned.where(T.long_enough(F.col("text"), min_chars) & ~T.looks_corrupted(F.col("text")))
     return embed_column(kept, make_embedder, vec="embedding").select(

@@ -9,19 +9,24 @@ from pyspark.sql import functions as F
 from corpuscle.functions import text as T
 from corpuscle.sources.files import lines
 
-CHUNK_RECORD = "id string, source string, text string, embedding array<double>"
+# Ids and texts are read as variants first: a number in their place is a broken record.
+CHUNK_RECORD = "id variant, source string, text variant, embedding array<double>"
 
 
 def _json_chunks(spark: SparkSession, path: str) -> DataFrame:
-    record = F.from_json("value", CHUNK_RECORD)
-    variant = F.try_parse_json("value")
-
-    def is_string(key: str):
-        return F.schema_of_variant(F.try_variant_get(variant, f"$.{key}", "variant")) == "STRING"
-
-    parsed = spark.read.text(path).select(record.alias("r"), is_string("id").alias("i"), is_string("text").alias("t"))
-    usable = F.coalesce(F.col("i") & F.col("t"), F.lit(False)) & F.col("r.embedding").isNotNull()
-    return parsed.select("r.*", usable.alias("usable"))
+    record = F.from_json("value", CHUNK_RECORD).alias("r")
+    parsed = spark.read.text(path).select(record).select("r.*")
+
+    def is_string(field: str):
+        return F.coalesce(F.schema_of_variant(field) == "STRING", F.lit(False))
+
+    return parsed.select(
+        F.try_variant_get("id", "$", "string").alias("id"),
+        "source",
+        F.try_variant_get("text", "$", "string").alias("text"),
+        "embedding",
+        (is_string("id") & is_string("text") & F.col("embedding").isNotNull()).alias("usable"),
+    )
 
 
 def json_chunks(spark: SparkSession, path: str) -> DataFrame:
@@ -76,21 +81,20 @@ def wide_embeddings(spark: SparkSession, path: str) -> DataFrame:
     counts.
     """
     try:
-        text = lines(spark, path)
+        names = spark.read.option("header", True).csv(path).columns  # reads one line
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise BadEmbeddingTable(BadEmbeddingTable.MISSING, f"no table at {path}") from error
         raise
-    header = text.orderBy("line_at").select("value").first()
-    if header is None:
+    if not names:
         raise BadEmbeddingTable(BadEmbeddingTable.EMPTY, f"empty table at {path}")
-    names = header.value.split(",")
     if names[0] != "token":
         raise BadEmbeddingTable(BadEmbeddingTable.NO_TOKEN, "the header must start with 'token'")
     dim = len(names) - 1
     if dim < 1:
         raise BadEmbeddingTable(BadEmbeddingTable.NO_DIMENSION, "the header names no dimension")
-    fields = text.where(F.col("value") != header.value).select(F.split("value", ",").alias("f"), "line_at")
+    # The header of every file drops out with the rows whose fields are no numbers.
+    fields = lines(spark, path).select(F.split("value", ",").alias("f"), "line_at")
     vec = F.transform(F.slice("f", 2, dim), lambda part: part.try_cast("float"))
     rows = fields.where(F.size("f") == dim + 1).select(F.col("f")[0].alias("token"), vec.alias("vec"), "line_at")
     whole = rows.where(F.forall("vec", lambda value: value.isNotNull()))
@@ -136,5 +140,5 @@ def sharded_index(spark: SparkSession, path: str, shards: list[int] | None = Non
 
 
 def shards_of(spark: SparkSession, path: str) -> list[int]:
-    """The shards found under ``path``, from the directory names alone."""
+    """The shards found under ``path``; no data column is read for it."""
     return sorted(row.shard for row in sharded_index(spark, path).select("shard").distinct().collect())

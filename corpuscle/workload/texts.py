@@ -23,8 +23,8 @@ from corpuscle.workload.registry import query
 
 @query(f"SELECT doc_id, {S.sanitized('text')} AS text FROM documents WHERE length({S.sanitized('text')}) > 0")
 def sanitize_text(spark: SparkSession, folder: str) -> DataFrame:
-    clean = D.documents(spark, folder, "doc_id", "text").select("doc_id", T.sanitize(F.col("text")).alias("text"))
-    return clean.where(T.has_text(F.col("text")))
+    docs = D.documents(spark, folder, "doc_id", "text").where(T.sanitizes_to_text(F.col("text")))
+    return docs.select("doc_id", T.sanitize(F.col("text")).alias("text"))
 
 
 @query(f"""
@@ -43,7 +43,7 @@ def corrupt_filter(spark: SparkSession, folder: str) -> DataFrame:
     long, bad = T.long_enough(F.col("text")), T.looks_corrupted(F.col("text"))
     judged = chunk(docs).select(
         "doc_id", long.alias("long"), bad.alias("bad"),
-        F.length(F.regexp_replace("text", r"[\x{0}-\x{FF}]", "")).alias("odd"),
+        T.odd_chars(F.col("text")).alias("odd"),
     )
     return judged.groupBy("doc_id").agg(
         F.count("*").alias("chunks"), F.count_if(~F.col("long")).alias("short"),

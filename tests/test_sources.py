@@ -1,0 +1,134 @@
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from corpuscle.operators.upsert import table_exists
+from corpuscle.sources import files, records, sinks
+
+
+def put(path, content):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(content if isinstance(content, bytes) else content.encode())
+    return str(path)
+
+
+def test_document_files_by_suffix_or_by_name(spark, tmp_path):
+    for name in ["a.txt", "b.PDF", "deep/er/c.Txt", "d.html", "pdf"]:
+        put(tmp_path / name, name)
+    found = files.document_files(spark, str(tmp_path)).select("path").collect()
+    assert sorted(r.path.rsplit("/", 1)[1] for r in found) == ["a.txt", "b.PDF", "c.Txt"]
+    assert files.document_files(spark, str(tmp_path / "d.html")).count() == 1
+    assert files.binary_files(spark, [str(tmp_path / "a.txt"), str(tmp_path / "d.html")]).count() == 2
+
+
+def test_manifest(spark, tmp_path):
+    path = put(tmp_path / "list.txt", "﻿a.pdf\r\n\r\n  b.pdf \n\n﻿\nc﻿.pdf\n")
+    assert [r.uri for r in files.manifest(spark, path).collect()] == ["a.pdf", "b.pdf", "c.pdf"]
+    assert [r.uri for r in files.manifest(spark, path, 2).collect()] == ["a.pdf", "b.pdf"]
+
+
+def test_file_text_uses_the_extractor_for_pdf_only(spark, tmp_path):
+    put(tmp_path / "a.pdf", b"%PDF Hello")
+    put(tmp_path / "b.txt", b"caf\xc3\xa9 \xff")
+    raw = files.binary_files(spark, str(tmp_path))
+
+    def texts(extractor):
+        text = files.file_text(F.col("path"), F.col("content"), extractor)
+        return [r.t for r in raw.select("path", text.alias("t")).orderBy("path").collect()]
+
+    assert texts(lambda content: F.concat(F.lit("pdf: "), F.substring(content.cast("string"), 6, 5))) == ["pdf: Hello", "café �"]
+    assert texts(None) == ["", "café �"]
+    assert texts(lambda content: F.lit(None).cast("string")) == ["", "café �"]
+
+
+def test_json_chunks_skip_and_count(spark, tmp_path):
+    good = '{"id":"a","source":"s","text":"t","embedding":[0.5,1]}'
+    path = put(tmp_path / "chunks.jsonl", "\n".join([good, "", "{bad", '{"id":"b","text":"t"}', '{"id":1,"text":"t","embedding":[1]}',
+                                                     '{"id":"c","text":null,"embedding":[1]}']) + "\n")
+    rows = records.json_chunks(spark, path).collect()
+    assert [(r.id, r.source, r.text, r.embedding) for r in rows] == [("a", "s", "t", [0.5, 1.0])]
+    assert records.json_chunk_counts(spark, path).first() == (1, 5)
+
+
+def test_json_chunks_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("i", "s", 'q"uote\n', [0.1])], "id string, source string, text string, embedding array<double>")
+    sinks.write_json_chunks(df, str(tmp_path / "out"))
+    assert records.json_chunks(spark, str(tmp_path / "out")).collect() == df.collect()
+
+
+def test_csv_index_defaults(spark, tmp_path):
+    path = put(tmp_path / "index.csv", 'doc,chunk_idx,chars,vec\n"a.pdf",0,12,"0.1 x 0.3"\n"a.pdf",z,q,"1 2"\nshort,1\n')
+    rows = records.csv_index(spark, path).orderBy("chunk_idx").collect()
+    assert [(r.doc, r.chunk_idx, r.chars, r.vec) for r in rows] == [
+        ("a.pdf", -1, 0, [1.0, 2.0]), ("a.pdf", 0, 12, pytest.approx([0.1, 0.3])),
+    ]
+
+
+def test_csv_index_round_trip_with_awkward_names(spark, tmp_path):
+    df = spark.createDataFrame([('a,"b".pdf', 3, 9, [0.5, -1.0])], "doc string, chunk_idx int, chars int, vec array<float>")
+    sinks.write_csv_index(df, str(tmp_path / "out"))
+    assert records.csv_index(spark, str(tmp_path / "out")).collect() == df.collect()
+
+
+def test_wide_embeddings_skip_bad_rows_and_keep_the_last_of_a_token(spark, tmp_path):
+    path = put(tmp_path / "e.csv", "token,d0,d1\na,1,2\nb,1\nc,1,x\na,3,4\ntoken,5,6\nd,7,8,9\n")
+    rows = records.wide_embeddings(spark, path).orderBy("token").collect()
+    assert [(r.token, r.vec) for r in rows] == [("a", [3.0, 4.0]), ("token", [5.0, 6.0])]
+
+
+def test_wide_embeddings_checks(spark, tmp_path):
+    def code(path):
+        with pytest.raises(records.BadEmbeddingTable) as caught:
+            records.check_embeddings(records.wide_embeddings(spark, path))
+        return caught.value.code
+
+    assert code(str(tmp_path / "none.csv")) == 2
+    assert code(put(tmp_path / "empty.csv", "")) == 3
+    assert code(put(tmp_path / "word.csv", "word,d0\na,1\n")) == 4
+    assert code(put(tmp_path / "flat.csv", "token\na\n")) == 5
+    assert code(put(tmp_path / "rows.csv", "token,d0\na,x\n")) == 6
+
+
+def test_wide_embeddings_writer_refuses_mixed_dimensions(spark, tmp_path):
+    df = spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0])], "token string, vec array<float>")
+    with pytest.raises(ValueError):
+        sinks.write_wide_embeddings(df, str(tmp_path / "out"))
+
+
+def test_top_vocabulary(spark, tmp_path):
+    df = spark.createDataFrame([("b", 1, 5), ("a", 0, 9), ("c", 2, 1)], "token string, token_id long, freq long")
+    sinks.write_csv(df, str(tmp_path / "v"))
+    assert [r.token for r in records.top_vocabulary(spark, str(tmp_path / "v"), 2).collect()] == ["a", "b"]
+
+
+def test_sharded_index_prunes_and_reports_a_missing_one(spark, tmp_path):
+    path = str(tmp_path / "index")
+    df = spark.range(20).select(F.col("id").alias("chunk_id"), (F.col("id") % 3).cast("int").alias("shard"))
+    sinks.write_sharded_index(df, path)
+    assert records.shards_of(spark, path) == [0, 1, 2]
+    one = records.sharded_index(spark, path, [1])
+    assert one.count() == 7
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan and "PushedFilters: []" in plan
+    sinks.write_sharded_index(df.where("shard = 0"), path)
+    assert records.shards_of(spark, path) == [0]
+    with pytest.raises(FileNotFoundError):
+        records.sharded_index(spark, str(tmp_path / "nothing"))
+
+
+def test_job_output_must_be_new(spark, tmp_path):
+    path = str(tmp_path / "job")
+    df = spark.sql("select 0 shard, 5 docs")
+    sinks.write_job_output(df, path)
+    assert spark.read.text(path).first().value == "0\t5"
+    with pytest.raises(AnalysisException):
+        sinks.write_job_output(df, path)
+
+
+def test_table_exists_passes_other_errors_on(spark, tmp_path):
+    assert not table_exists(spark, str(tmp_path / "none"))
+    spark.range(1).write.parquet(str(tmp_path / "some"))
+    assert table_exists(spark, str(tmp_path / "some"))
+    (tmp_path / "hollow").mkdir()
+    with pytest.raises(AnalysisException):
+        table_exists(spark, str(tmp_path / "hollow"))
