@@ -11,7 +11,7 @@ METRICS = ("cosine", "cosine_strict", "euclidean", "dot")
 # Scores are compared on this grid: the last bits of a matrix product depend on
 # the position in the block, and equal vectors must tie wherever they lie.
 GRID = 1e9
-_CELLS = 4_000_000  # entries of one score matrix, 32 MB
+_ENTRIES = 250_000  # of one score matrix: 2 MB, so that the passes over it stay in cache
 
 
 class Vectors:
@@ -52,30 +52,36 @@ def score(queries: np.ndarray, query_norms: np.ndarray, block: Vectors, metric:
         s = 1.0 / (1.0 + np.maximum(squares - 2.0 * s, 0.0))
     elif metric != "dot":
         scale = query_norms[:, None] * block.norms[None, :]
-        s = np.divide(s, scale, out=np.zeros_like(s), where=scale > 0)
+        undirected = scale == 0
+        scale[undirected] = 1.0
+        s /= scale
+        s[undirected] = 0.0
         if metric == "cosine_strict":
             s[:, block.sizes != block.dim] = 0.0
-    return np.floor(s * GRID + 0.5)
+    s *= GRID
+    s += 0.5
+    return np.floor(s, out=s)
 
 
 def best_per_row(s: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the ``k`` largest entries per row, none below ``floor``.
 
-    Among equal entries the leftmost wins.
+    Among equal entries the leftmost wins.  ``floor`` is raised in place to the
+    k-th entry of the rows that have as many.
     """
-    cut = floor
-    if s.shape[1] > k:
-        cut = np.maximum(cut, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k])
-    rows, cols = np.nonzero(s >= cut[:, None])
-    return _first_k(rows, -s[rows, cols], cols, k)
-
-
-def _first_k(groups, keys, ties, k):
-    order = np.lexsort((ties, keys, groups))
-    sorted_groups = groups[order]
-    rank = np.arange(len(order)) - np.searchsorted(sorted_groups, sorted_groups)
-    kept = order[rank < k]
-    return groups[kept], ties[kept]
+    n = s.shape[1]
+    mask = s >= floor[:, None]
+    crowded = np.flatnonzero(mask.sum(axis=1) > k)
+    if len(crowded):
+        part = s[crowded]
+        kth = np.partition(part, n - k, axis=1)[:, n - k]
+        keep, ties = part > kth[:, None], part == kth[:, None]
+        room = k - keep.sum(axis=1)
+        if np.any(ties.sum(axis=1) > room):
+            ties &= np.cumsum(ties, axis=1, dtype=np.int32) <= room[:, None]
+        mask[crowded] = keep | ties
+        floor[crowded] = kth
+    return np.nonzero(mask)
 
 
 class Winners:
@@ -98,15 +104,17 @@ class Winners:
         block = block.take(pc.sort_indices(block, sort_keys=[(c, "ascending") for c in self.ids]))
         vectors = Vectors(block.column(vec), self.queries.dim)
         payload = block.drop_columns([vec])
-        step = max(1, _CELLS // block.num_rows)
+        step = max(1, _ENTRIES // block.num_rows)
+        chosen = []
         for at in range(0, len(self.floor), step):
             part = slice(at, at + step)
             s = score(self.queries.matrix[part], self.queries.norms[part], vectors, self.metric)
             rows, cols = best_per_row(s, self.k, self.floor[part])
-            found = payload.take(pa.array(cols))
-            found = found.append_column("_query", pa.array(rows + at, pa.int64()))
-            self.kept.append(found.append_column("_score", pa.array(s[rows, cols])))
-            self.rows += found.num_rows
+            chosen.append((rows + at, cols, s[rows, cols]))
+        rows, cols, scores = (np.concatenate(parts) for parts in zip(*chosen))
+        found = payload.take(pa.array(cols)).append_column("_query", pa.array(rows, pa.int64()))
+        self.kept.append(found.append_column("_score", pa.array(scores)))
+        self.rows += found.num_rows
         if self.rows > self.limit:
             self._compact()
 

@@ -53,7 +53,7 @@ def top_k(
     fetch: int = 0,
     scan_queries: int = 4096,
     scan_bytes: int = 64 << 20,
-    cells: int = 64,
+    cells: int = 512,
     probes: int | None = None,
     block_rows: int = 20_000,
     group_rows: int = 20_000,
@@ -86,8 +86,10 @@ def top_k(
             hits = _merge(hits, [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
             return _final(hits, query_id, shard, ids, k, per_shard)
 
-    search = _Cells(queries, corpus, kept, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows)
-    hits = search.nearest(probes) if probes else search.exact()
+    search = _Cells(
+        queries, corpus, kept, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows, apart=probes is None
+    )
+    hits = search.exact() if probes is None else search.nearest(probes)
     return _final(hits, query_id, shard, ids, k, per_shard)
 
 
@@ -208,10 +210,22 @@ def nearest_first(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argsort(np.floor(distances(points, pivots) * GRID + 0.5), axis=1, kind="stable")
 
 
+def far_apart(points: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` points, each the farthest from those taken before it."""
+    chosen = [0]
+    gap = distances(points, points[:1])[:, 0]
+    while len(chosen) < n and gap.max() > _SLACK:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, distances(points, points[chosen[-1:]])[:, 0])
+    return points[chosen]
+
+
 class _Cells:
     """The search by cells; see the head of this module."""
 
-    def __init__(self, queries, corpus, k, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows):
+    def __init__(
+        self, queries, corpus, k, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows, apart
+    ):
         self.k, self.metric, self.block_rows, self.group_rows = k, metric, block_rows, group_rows
         self.query_id, self.query_vec, self.ids, self.vec = query_id, query_vec, ids, vec
         self.queries = stage(queries, "search-queries")
@@ -220,7 +234,7 @@ class _Cells:
         if low != high:
             raise ValueError("query vectors differ in dimension")
         self.geometry = _Geometry(metric, high or 0)
-        self.pivots = self._choose_pivots(corpus, cells)
+        self.pivots = self._choose_pivots(corpus, cells, apart)
         self.corpus_schema = corpus.schema
         self.corpus = stage(self._with_cell(corpus), "search-cells")
         # One row per cell.
@@ -231,15 +245,21 @@ class _Cells:
             self.counts[row._cell], self.radius[row._cell] = row.n, row.r
         self.blocks = np.maximum(-(-self.counts // block_rows), 1)
 
-    def _choose_pivots(self, corpus: DataFrame, cells: int) -> np.ndarray:
-        """Distinct vectors of the rows that come first by the hash of their ids."""
+    def _choose_pivots(self, corpus: DataFrame, cells: int, apart: bool) -> np.ndarray:
+        """Distinct vectors among the rows that come first by the hash of their ids.
+
+        ``apart`` takes those that lie far from each other, which keeps the
+        cells narrow and their bounds tight; otherwise the first ones, which
+        makes cells of like size.  Any choice gives right results.
+        """
         mixed = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in self.ids]))
         head = corpus.select(mixed.alias("_order"), self.vec).orderBy("_order").limit(4 * cells).toArrow()
         points = self.geometry.points(Vectors(head.column(self.vec), self.geometry.dim))
         if not len(points):
             return points
         _, first = np.unique(points, axis=0, return_index=True)
-        return points[np.sort(first)[:cells]]
+        points = points[np.sort(first)]
+        return far_apart(points, cells) if apart else points[:cells]
 
     def _with_cell(self, corpus: DataFrame) -> DataFrame:
         geometry, pivots, vec = self.geometry, self.pivots, self.vec
@@ -263,10 +283,11 @@ class _Cells:
         return corpus.mapInArrow(run, schema)
 
     def _visits(self, queries: DataFrame, choose) -> DataFrame:
-        """One row per query and cell to visit; ``choose`` gives the mask of a batch."""
+        """The cells every query has to visit; ``choose`` gives their mask for a batch."""
         geometry, pivots, name = self.geometry, self.pivots, self.query_vec
         id_field, vec_field = self.queries.schema.fields
-        schema = ST.StructType([id_field, vec_field, ST.StructField("_cell", ST.IntegerType())])
+        cells_field = ST.StructField("_cells", ST.ArrayType(ST.IntegerType()))
+        schema = ST.StructType([id_field, vec_field, cells_field])
         order = [id_field.name, vec_field.name]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,16 +296,17 @@ class _Cells:
                 for at in range(0, table.num_rows, 1000):
                     part = table.slice(at, 1000)
                     points = geometry.points(Vectors(part.column(name), geometry.dim), queries=True)
-                    rows, cells = np.nonzero(choose(points, part, pivots))
-                    out = part.select(order).take(pa.array(rows))
-                    out = out.append_column("_cell", pa.array(cells.astype(np.int32)))
-                    yield from out.to_batches()
+                    chosen = choose(points, part, pivots)
+                    ends = np.concatenate([[0], np.cumsum(chosen.sum(axis=1))]).astype(np.int32)
+                    cells = pa.array(np.nonzero(chosen)[1].astype(np.int32))
+                    listed = pa.ListArray.from_arrays(pa.array(ends), cells)
+                    yield from part.select(order).append_column("_cells", listed).to_batches()
 
         return queries.mapInArrow(run, schema)
 
     def _score(self, visits: DataFrame) -> DataFrame:
         """Meet visits and corpus rows in blocks of bounded size and keep the best."""
-        visits = stage(visits, "search-visits")
+        visits = stage(visits, "search-visits").withColumn("_cell", F.explode("_cells")).drop("_cells")
         groups = np.ones(len(self.pivots), dtype=np.int64)
         for row in visits.groupBy("_cell").count().collect():  # one row per cell
             groups[row._cell] = max(1, -(-row["count"] // self.group_rows))
