@@ -18,7 +18,8 @@ class Vectors:
     """Vectors of one block as a matrix of ``dim`` columns.
 
     Shorter vectors are padded with zeros, longer ones cut, which leaves the
-    dot product over the common prefix.  Norms are those of the full vectors.
+    dot product over the common prefix.  Norms and their squares are those of
+    the full vectors.
     """
 
     def __init__(self, column: pa.Array | pa.ChunkedArray, dim: int | None = None):
@@ -29,29 +30,31 @@ class Vectors:
         self.dim = int(self.sizes.max(initial=0)) if dim is None else dim
         if np.all(self.sizes == self.dim):
             self.matrix = values.reshape(len(self.sizes), self.dim)
-            self.norms = np.sqrt(np.einsum("ij,ij->i", self.matrix, self.matrix))
+            self.squares = np.einsum("ij,ij->i", self.matrix, self.matrix)
+            self.norms = np.sqrt(self.squares)
             return
         self.matrix = np.zeros((len(self.sizes), self.dim))
-        self.norms = np.zeros(len(self.sizes))
+        self.squares = np.zeros(len(self.sizes))
         starts = np.cumsum(self.sizes) - self.sizes
         for size in np.unique(self.sizes[self.sizes > 0]):
             rows = np.flatnonzero(self.sizes == size)
             full = values[starts[rows][:, None] + np.arange(size)]
             width = min(int(size), self.dim)
             self.matrix[rows, :width] = full[:, :width]
-            self.norms[rows] = np.sqrt(np.einsum("ij,ij->i", full, full))
+            self.squares[rows] = np.einsum("ij,ij->i", full, full)
+        self.norms = np.sqrt(self.squares)
 
 
-def score(queries: np.ndarray, query_norms: np.ndarray, block: Vectors, metric: str) -> np.ndarray:
-    """Scores of every query row against every row of the block, on the grid."""
+def score(queries: Vectors, part: slice, block: Vectors, metric: str) -> np.ndarray:
+    """Scores of a part of the queries against every row of the block, on the grid."""
     if metric == "euclidean" and not np.all(block.sizes == block.dim):
         raise ValueError(f"euclidean search needs vectors of {block.dim} dimensions")
-    s = queries @ block.matrix.T
+    s = queries.matrix[part] @ block.matrix.T
     if metric == "euclidean":
-        squares = query_norms[:, None] ** 2 + block.norms[None, :] ** 2
+        squares = queries.squares[part, None] + block.squares[None, :]
         s = 1.0 / (1.0 + np.maximum(squares - 2.0 * s, 0.0))
     elif metric != "dot":
-        scale = query_norms[:, None] * block.norms[None, :]
+        scale = queries.norms[part, None] * block.norms[None, :]
         undirected = scale == 0
         scale[undirected] = 1.0
         s /= scale
@@ -108,7 +111,7 @@ class Winners:
         chosen = []
         for at in range(0, len(self.floor), step):
             part = slice(at, at + step)
-            s = score(self.queries.matrix[part], self.queries.norms[part], vectors, self.metric)
+            s = score(self.queries, part, vectors, self.metric)
             rows, cols = best_per_row(s, self.k, self.floor[part])
             chosen.append((rows + at, cols, s[rows, cols]))
         rows, cols, scores = (np.concatenate(parts) for parts in zip(*chosen))

@@ -26,11 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from corpuscle.functions.vectors import cosine, cosine_strict, dot, euclidean_score, literal_vector
+from corpuscle.operators.cells import CellTable, nearest_first, open_cells, temporary_cells
 from corpuscle.operators.scoring import GRID, METRICS, Vectors, Winners
 from corpuscle.session import stage
 
-_SLACK = 1e-6  # widens every cell bound against rounding
-
 
 def top_k_single(corpus: DataFrame, query: list[float], k: int, ids: list[str], vec: str = "vec",
                  metric: str = "cosine") -> DataFrame:
@@ -86,13 +85,46 @@ def top_k(
             hits = _merge(hits, [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
             return _final(hits, query_id, shard, ids, k, per_shard)
 
-    search = _Cells(
-        queries, corpus, kept, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows, apart=probes is None
-    )
+    queries, dim = _staged(queries, query_vec)
+    table = temporary_cells(corpus, ids, vec, metric, cells, dim, apart=probes is None)
+    search = _CellSearch(queries, table, kept, query_id, query_vec, block_rows, group_rows)
     hits = search.exact() if probes is None else search.nearest(probes)
     return _final(hits, query_id, shard, ids, k, per_shard)
 
 
+def top_k_in_cells(
+    queries: DataFrame,
+    path: str,
+    k: int,
+    query_id: str,
+    query_vec: str = "query_vec",
+    probes: int | None = None,
+    shard: str | None = None,
+    fetch: int = 0,
+    block_rows: int = 20_000,
+    group_rows: int = 20_000,
+) -> DataFrame:
+    """``top_k`` in a corpus that ``build_cells`` has written; only visited cells are read."""
+    table = open_cells(queries.sparkSession, path)
+    queries, dim = _staged(queries.select(query_id, query_vec).where(F.col(query_vec).isNotNull()), query_vec)
+    if dim not in (0, table.geometry.dim):
+        raise ValueError(f"the corpus was split for queries of {table.geometry.dim} dimensions")
+    per_shard = max(fetch, k)
+    search = _CellSearch(queries, table, per_shard if shard else k, query_id, query_vec, block_rows, group_rows)
+    hits = search.exact() if probes is None else search.nearest(probes)
+    return _final(hits, query_id, shard, table.ids, k, per_shard)
+
+
+def _staged(queries: DataFrame, query_vec: str) -> tuple[DataFrame, int]:
+    """The queries written to the shared folder, and their dimension."""
+    queries = stage(queries, "search-queries")
+    size = F.size(query_vec)
+    low, high = queries.agg(F.min(size), F.max(size)).first()
+    if low != high:
+        raise ValueError("query vectors differ in dimension")
+    return queries, high or 0
+
+
 def _grid(score: Column) -> Column:
     return F.floor(score * GRID + 0.5)
 
@@ -160,131 +192,18 @@ def _arrow_field(table: pa.Table, name: str) -> ST.StructField:
     return ST.StructField(name, from_arrow_type(table.schema.field(name).type))
 
 
-class _Geometry:
-    """Maps vectors to points whose distances bound the scores.
+class _CellSearch:
+    """One search in a split corpus; see the head of this module."""
 
-    For cosine the points are unit vectors.  Extra coordinates keep a vector
-    without direction at right angles to every query, and hold what lies beyond
-    the query dimension, so that the dot product of two points is the score.
-    """
-
-    def __init__(self, metric: str, dim: int):
-        self.metric, self.dim = metric, dim
-
-    def points(self, vectors: Vectors, queries: bool = False) -> np.ndarray:
-        if self.metric == "euclidean" and not np.all(vectors.sizes == self.dim):
-            raise ValueError(f"euclidean search needs vectors of {self.dim} dimensions")
-        if self.metric in ("euclidean", "dot"):
-            return vectors.matrix
-        usable = vectors.norms > 0
-        if self.metric == "cosine_strict":
-            usable &= vectors.sizes == self.dim
-        out = np.zeros((len(vectors.sizes), self.dim + 3))
-        out[usable, : self.dim] = vectors.matrix[usable] / vectors.norms[usable, None]
-        beyond = 1.0 - np.einsum("ij,ij->i", out, out)
-        out[usable, self.dim] = np.sqrt(np.maximum(beyond[usable], 0.0))
-        out[~usable, self.dim + (1 if queries else 2)] = 1.0
-        if queries:
-            out[usable, self.dim] = 0.0
-        return out
-
-    def upper_bounds(self, points: np.ndarray, pivots: np.ndarray, radius: np.ndarray) -> np.ndarray:
-        """No row of a cell scores higher against the query than this."""
-        gap = np.maximum(distances(points, pivots) - radius[None, :] - _SLACK, 0.0)
-        if self.metric == "euclidean":
-            return 1.0 / (1.0 + gap**2) + _SLACK
-        length = np.sqrt(np.einsum("ij,ij->i", points, points))
-        by_dot = points @ pivots.T + length[:, None] * (radius[None, :] + _SLACK) + _SLACK
-        if self.metric == "dot":
-            return by_dot
-        return np.minimum(by_dot, 1.0 - gap**2 / 2.0 + _SLACK)
-
-
-def distances(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    squares = np.einsum("ij,ij->i", points, points)[:, None] + np.einsum("ij,ij->i", pivots, pivots)
-    return np.sqrt(np.maximum(squares - 2.0 * points @ pivots.T, 0.0))
-
-
-def nearest_first(points: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Pivots of every point by distance; equal on the grid means lower number first."""
-    return np.argsort(np.floor(distances(points, pivots) * GRID + 0.5), axis=1, kind="stable")
-
-
-def far_apart(points: np.ndarray, n: int) -> np.ndarray:
-    """Up to ``n`` points, each the farthest from those taken before it."""
-    chosen = [0]
-    gap = distances(points, points[:1])[:, 0]
-    while len(chosen) < n and gap.max() > _SLACK:
-        chosen.append(int(gap.argmax()))
-        gap = np.minimum(gap, distances(points, points[chosen[-1:]])[:, 0])
-    return points[chosen]
-
-
-class _Cells:
-    """The search by cells; see the head of this module."""
-
-    def __init__(
-        self, queries, corpus, k, query_id, query_vec, ids, vec, metric, cells, block_rows, group_rows, apart
-    ):
-        self.k, self.metric, self.block_rows, self.group_rows = k, metric, block_rows, group_rows
-        self.query_id, self.query_vec, self.ids, self.vec = query_id, query_vec, ids, vec
-        self.queries = stage(queries, "search-queries")
-        size = F.size(query_vec)
-        low, high = self.queries.agg(F.min(size), F.max(size)).first()
-        if low != high:
-            raise ValueError("query vectors differ in dimension")
-        self.geometry = _Geometry(metric, high or 0)
-        self.pivots = self._choose_pivots(corpus, cells, apart)
-        self.corpus_schema = corpus.schema
-        self.corpus = stage(self._with_cell(corpus), "search-cells")
-        # One row per cell.
-        stats = self.corpus.groupBy("_cell").agg(F.count("*").alias("n"), F.max("_dist").alias("r")).collect()
-        self.counts = np.zeros(len(self.pivots), dtype=np.int64)
-        self.radius = np.zeros(len(self.pivots))
-        for row in stats:
-            self.counts[row._cell], self.radius[row._cell] = row.n, row.r
-        self.blocks = np.maximum(-(-self.counts // block_rows), 1)
-
-    def _choose_pivots(self, corpus: DataFrame, cells: int, apart: bool) -> np.ndarray:
-        """Distinct vectors among the rows that come first by the hash of their ids.
-
-        ``apart`` takes those that lie far from each other, which keeps the
-        cells narrow and their bounds tight; otherwise the first ones, which
-        makes cells of like size.  Any choice gives right results.
-        """
-        mixed = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in self.ids]))
-        head = corpus.select(mixed.alias("_order"), self.vec).orderBy("_order").limit(4 * cells).toArrow()
-        points = self.geometry.points(Vectors(head.column(self.vec), self.geometry.dim))
-        if not len(points):
-            return points
-        _, first = np.unique(points, axis=0, return_index=True)
-        points = points[np.sort(first)]
-        return far_apart(points, cells) if apart else points[:cells]
-
-    def _with_cell(self, corpus: DataFrame) -> DataFrame:
-        geometry, pivots, vec = self.geometry, self.pivots, self.vec
-        schema = ST.StructType(
-            corpus.schema.fields
-            + [ST.StructField("_cell", ST.IntegerType()), ST.StructField("_dist", ST.DoubleType())]
-        )
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                column = batch.column(batch.schema.get_field_index(vec))
-                points = geometry.points(Vectors(column, geometry.dim))
-                cell = nearest_first(points, pivots)[:, 0]
-                away = distances(points, pivots)[np.arange(len(cell)), cell]
-                yield pa.RecordBatch.from_arrays(
-                    batch.columns + [pa.array(cell.astype(np.int32)), pa.array(away)], names=schema.names
-                )
-
-        return corpus.mapInArrow(run, schema)
+    def __init__(self, queries: DataFrame, table: CellTable, k: int, query_id: str, query_vec: str,
+                 block_rows: int, group_rows: int):
+        self.queries, self.table, self.k = queries, table, k
+        self.query_id, self.query_vec, self.group_rows = query_id, query_vec, group_rows
+        self.blocks = np.maximum(-(-table.counts // block_rows), 1)
 
     def _visits(self, queries: DataFrame, choose) -> DataFrame:
         """The cells every query has to visit; ``choose`` gives their mask for a batch."""
-        geometry, pivots, name = self.geometry, self.pivots, self.query_vec
+        geometry, pivots, name = self.table.geometry, self.table.pivots, self.query_vec
         id_field, vec_field = self.queries.schema.fields
         cells_field = ST.StructField("_cells", ST.ArrayType(ST.IntegerType()))
         schema = ST.StructType([id_field, vec_field, cells_field])
@@ -306,14 +225,13 @@ class _Cells:
 
     def _score(self, visits: DataFrame) -> DataFrame:
         """Meet visits and corpus rows in blocks of bounded size and keep the best."""
+        table = self.table
         visits = stage(visits, "search-visits").withColumn("_cell", F.explode("_cells")).drop("_cells")
-        groups = np.ones(len(self.pivots), dtype=np.int64)
-        for row in visits.groupBy("_cell").count().collect():  # one row per cell
-            groups[row._cell] = max(1, -(-row["count"] // self.group_rows))
-        visited = visits.select("_cell").distinct()
+        asked = {row._cell: row["count"] for row in visits.groupBy("_cell").count().collect()}  # one row per cell
+        groups = [max(1, -(-asked.get(cell, 0) // self.group_rows)) for cell in range(len(self.blocks))]
 
-        def per_cell(counts: np.ndarray) -> Column:
-            return F.element_at(F.array(*[F.lit(int(n)) for n in counts]), F.col("_cell") + 1)
+        def per_cell(counts) -> Column:
+            return F.element_at(F.array(*[F.lit(int(n)) for n in counts] or [F.lit(1)]), F.col("_cell") + 1)
 
         def any_of(n: Column, *on: str) -> Column:
             return F.pmod(F.xxhash64(*on), n).cast("int")
@@ -323,18 +241,16 @@ class _Cells:
 
         blocks, groups = per_cell(self.blocks), per_cell(groups)
         left = (
-            self.corpus.join(F.broadcast(visited), "_cell", "left_semi")  # at most one row per cell
-            .withColumn("_block", any_of(blocks, *self.ids))
+            table.rows.where(F.col("_cell").isin(list(asked)))
+            .withColumn("_block", any_of(blocks, *table.ids))
             .withColumn("_group", all_of(groups))
             .drop("_dist")
         )
         right = visits.withColumn("_block", all_of(blocks)).withColumn("_group", any_of(groups, self.query_id))
         key = ["_cell", "_block", "_group"]
-        k, metric, ids, vec = self.k, self.metric, self.ids, self.vec
+        k, metric, ids, vec = self.k, table.geometry.metric, table.ids, table.vec
         query_id, query_vec = self.query_id, self.query_vec
-        schema = _hit_schema(
-            self.corpus.select(*self.corpus_schema.names), vec, self.queries.schema.fields[0], []
-        )
+        schema = _hit_schema(table.rows.drop("_cell", "_dist"), vec, self.queries.schema.fields[0], [])
         order = [f.name for f in schema.fields]
 
         def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
@@ -362,7 +278,7 @@ class _Cells:
         return self._score(self._visits(self.queries, choose))
 
     def exact(self) -> DataFrame:
-        k, counts = self.k, self.counts
+        k, counts, geometry, radius = self.k, self.table.counts, self.table.geometry, self.table.radius
 
         def first(points, part, pivots):
             near = nearest_first(points, pivots)
@@ -371,7 +287,7 @@ class _Cells:
             np.put_along_axis(chosen, near, seen < k, axis=1)
             return chosen & (counts > 0)[None, :]
 
-        early = stage(_merge(self._score(self._visits(self.queries, first)), [self.query_id], self.ids, k),
+        early = stage(_merge(self._score(self._visits(self.queries, first)), [self.query_id], self.table.ids, k),
                       "search-first-hits")
         reached = early.groupBy(self.query_id).agg(
             F.count("*").alias("_found"), F.min("_score").alias("_kth")
@@ -380,8 +296,6 @@ class _Cells:
             *self.queries.columns,
             F.when(F.col("_found") >= k, F.col("_kth") / GRID).otherwise(F.lit(float("-inf"))).alias("_kth"),
         )
-        geometry, radius = self.geometry, self.radius
-
         def rest(points, part, pivots):
             kth = part.column("_kth").to_numpy()
             bound = geometry.upper_bounds(points, pivots, radius)

@@ -19,12 +19,14 @@ def retrieve(
     k: int = 8,
     fetch: int = 8,
     make_embedder: Callable[[], Embedder] | None = None,
-    metric: str = "cosine",
+    metric: str = "euclidean",
     **search,
 ) -> DataFrame:
     """The ``k`` best chunks per question of ``question_id, question``.
 
-    Each shard yields ``max(fetch, k)`` candidates, which are then merged.
+    Each shard yields ``max(fetch, k)`` candidates, which are then merged.  The
+    default score is 1 / (1 + squared distance), the one of the reference's
+    index; ``metric="cosine"`` is what its documentation speaks of.
     Chunks without text are left out, missing ids named.
     """
     asked = embed_column(questions.select("question_id", "question"), make_embedder, "question", "query_vec")

@@ -10,7 +10,8 @@ from corpuscle.functions import vectors as V
 from corpuscle.plans import answer as answer_plan
 from corpuscle.plans import index as index_plan
 from corpuscle.session import fresh_path
-from corpuscle.sources import records
+from corpuscle.sources import records, sinks
+from corpuscle.sources.files import lines
 from corpuscle.workload import sql as S
 from corpuscle.workload import tables as D
 from corpuscle.workload.registry import query
@@ -51,32 +52,43 @@ def ingest_counters(spark: SparkSession, folder: str) -> DataFrame:
 def record_shape(spark: SparkSession, folder: str) -> DataFrame:
     """The index as JSON records, parsed and checked."""
     rows = index_plan.index_rows(D.index_source(spark, folder), D.SHARDS)
-    lines = rows.select(F.to_json(F.struct("doc_id", "chunk_id", "text", "vec")).alias("value"))
-    return index_plan.record_shape_of_json(lines)
+    records_json = rows.select(F.to_json(F.struct("doc_id", "chunk_id", "text", "vec")).alias("value"))
+    return index_plan.record_shape_of_json(records_json)
 
 
-def _hits(spark: SparkSession, folder: str) -> DataFrame:
+def _hits(spark: SparkSession, folder: str, metric: str = "cosine") -> DataFrame:
     index = index_plan.index_rows(D.index_source(spark, folder), D.SHARDS)
-    return answer_plan.retrieve(D.questions(spark, folder), index)
+    return answer_plan.retrieve(D.questions(spark, folder), index, metric=metric)
 
 
-def _guarded(spark: SparkSession, folder: str) -> DataFrame:
-    return answer_plan.guard(D.questions(spark, folder), _hits(spark, folder))
+def _guarded(spark: SparkSession, folder: str, **limits) -> DataFrame:
+    return answer_plan.guard(D.questions(spark, folder), _hits(spark, folder), **limits)
 
 
-@query(f"""
-    WITH {S.RETRIEVED}
+HITS_SQL = f"""
     SELECT question_id, rank, doc_id || '#' || chunk_id AS label, {S.fixed('score')} AS score,
            substring(text, 1, 200) AS preview
     FROM hits
-""")
-def rag_retrieve(spark: SparkSession, folder: str) -> DataFrame:
-    return _hits(spark, folder).select(
+"""
+
+
+def _shown(hits: DataFrame) -> DataFrame:
+    return hits.select(
         "question_id", "rank", "label", V.fixed_point(F.col("score")).alias("score"),
         T.preview(F.col("text"), 200, collapsed=False).alias("preview"),
     )
 
 
+@query(f"WITH {S.RETRIEVED} {HITS_SQL}")
+def rag_retrieve(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_hits(spark, folder))
+
+
+@query(f"WITH {S.RETRIEVED_BY_DISTANCE} {HITS_SQL}")
+def rag_retrieve_euclidean(spark: SparkSession, folder: str) -> DataFrame:
+    return _shown(_hits(spark, folder, "euclidean"))
+
+
 @query(f"""
     WITH {S.GUARDED}
     SELECT question_id, n_hits, {S.fixed('top_score')} AS top_score, overlap, {S.ANSWERED} AS answered FROM guarded
@@ -114,7 +126,25 @@ def rag_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
     WITH {S.GUARDED}
-    SELECT question_id, {_sql_text(T.REFUSAL)} AS answer FROM guarded WHERE NOT ({S.ANSWERED})
+    SELECT question_id, {_sql_text(T.REFUSAL)} AS answer FROM guarded
+    WHERE n_hits = 0 OR top_score < 0.6 OR overlap < 2
 """)
 def rag_refusals(spark: SparkSession, folder: str) -> DataFrame:
-    return answer_plan.refusals(_guarded(spark, folder))
+    """The refused questions under stricter limits."""
+    return answer_plan.refusals(_guarded(spark, folder, min_top_score=0.6, min_keyword_overlap=2))
+
+
+@query(f"""
+    WITH {INDEX_SQL}, located AS (SELECT {S.shard('doc_id', D.SHARDS)} AS shard, text FROM chunks)
+    SELECT shard, count(*) AS chunks, sum(length(text))::BIGINT AS chars FROM located GROUP BY shard
+""")
+def index_job_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks per shard as the text output of a batch job, read back."""
+    rows = index_plan.index_rows(D.index_source(spark, folder), D.SHARDS)
+    report = rows.groupBy("shard").agg(F.count("vec").alias("chunks"), F.sum(F.length("text")).alias("chars"))
+    path = fresh_path(spark, "job-output")
+    sinks.write_job_output(report, path)
+    part = F.split("value", "\t")
+    return lines(spark, path).select(
+        part[0].cast("int").alias("shard"), part[1].cast("long").alias("chunks"), part[2].cast("long").alias("chars")
+    )

@@ -101,7 +101,9 @@ def cosine(a: str, b: str) -> str:
     )
 
 
-RETRIEVED = f"""
+def retrieved(score: str) -> str:
+    """CTEs ending in ``hits``: the eight best chunks of every question."""
+    return f"""
     {RAW},
     source_docs AS (SELECT sha256(uri) AS doc_id, text FROM raw),
     {chunks('source_docs', 'doc_id', 800, 160)},
@@ -112,7 +114,7 @@ RETRIEVED = f"""
     dots AS (SELECT item_id, doc_id, chunk_id, sum(qw.w * cw.w) AS dot FROM qw JOIN cw USING (d) GROUP BY ALL),
     scored AS (
         SELECT b.item_id AS question_id, c.doc_id, c.chunk_id, c.text,
-               {grid('coalesce(dot / (sqrt(qn.n) * sqrt(cn.n)), 0)')} AS g
+               {grid(score)} AS g
         FROM benchmark b CROSS JOIN chunks c
         LEFT JOIN dots USING (item_id, doc_id, chunk_id)
         LEFT JOIN qn USING (item_id) LEFT JOIN cn USING (doc_id, chunk_id)),
@@ -122,6 +124,10 @@ RETRIEVED = f"""
         FROM scored QUALIFY rank <= 8)
 """
 
+
+RETRIEVED = retrieved("coalesce(dot / (sqrt(qn.n) * sqrt(cn.n)), 0)")
+RETRIEVED_BY_DISTANCE = retrieved("1 / (1 + greatest(coalesce(qn.n, 0) + coalesce(cn.n, 0) - 2 * coalesce(dot, 0), 0))")
+
 # The stop words of the keyword guard.
 STOP = (
     "['the','a','an','and','or','of','to','in','on','for','with','by','from',"

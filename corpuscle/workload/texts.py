@@ -288,7 +288,14 @@ def answer_cleanup(spark: SparkSession, folder: str) -> DataFrame:
              "concat(s.doc_id, '.txt#', substr(sha256(s.text), 1, 12)) AS id, concat(s.doc_id, '.txt') AS source, s.text")}
 """)
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunk records written as JSON lines among blank, broken and incomplete ones, then read back."""
+    """Chunk records written as JSON lines among broken ones, then read back."""
+    vec = F.array_join(F.col("embedding").cast("array<int>").cast("array<string>"), " ")
+    read = records.json_chunks(spark, _json_lines(spark, folder))
+    return read.select("id", "source", "text", vec.alias("vec"))
+
+
+def _json_lines(spark: SparkSession, folder: str) -> str:
+    """Every chunk record next to a blank, a broken, an incomplete and an ill-typed line."""
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     files = D.documents(spark, folder, "doc_id", "text").select(name.alias("name"), "text")
     rows = index_plan.chunk_records(files).where(F.col("embedding").isNotNull())
@@ -298,8 +305,15 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     lines = F.array(whole, F.lit("  "), F.lit("{bad"), partial, numbered)
     path = fresh_path(spark, "chunks-jsonl")
     rows.select(F.explode(lines).alias("value")).write.text(path)
-    vec = F.array_join(F.col("embedding").cast("array<int>").cast("array<string>"), " ")
-    return records.json_chunks(spark, path).select("id", "source", "text", vec.alias("vec"))
+    return path
+
+
+@query(f"""
+    WITH {S.chunks('documents', 'doc_id', 1000, 200, S.sanitized('text'))}
+    SELECT count(*) AS parsed, 4 * count(*) AS skipped FROM chunks WHERE length({S.sanitized('text')}) >= 120
+""")
+def jsonl_counters(spark: SparkSession, folder: str) -> DataFrame:
+    return records.json_chunk_counts(spark, _json_lines(spark, folder))
 
 
 @query(f"""

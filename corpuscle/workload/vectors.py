@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import hashing as H
 from corpuscle.functions import vectors as V
-from corpuscle.operators.search import top_k
+from corpuscle.operators.cells import build_cells
+from corpuscle.operators.search import top_k, top_k_in_cells, top_k_single
 from corpuscle.plans import stats
 from corpuscle.session import fresh_path
 from corpuscle.sources import records, sinks
@@ -88,6 +89,19 @@ def cosine_topk(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(top_k(asked, D.vectors(spark, folder), 10, "label", ["vec_id"]))
 
 
+@query(f"""
+    WITH parts AS (SELECT unnest(range(1, len(embedding) + 1)) AS pos, unnest(embedding)::DOUBLE AS x FROM embeddings),
+    mean AS (SELECT list(x ORDER BY pos) AS q FROM (SELECT pos, avg(x) AS x FROM parts GROUP BY pos))
+    SELECT vec_id, {S.fixed(S.cosine('q', 'embedding::DOUBLE[]'))} AS score FROM embeddings CROSS JOIN mean
+    ORDER BY {S.grid(S.cosine('q', 'embedding::DOUBLE[]'))} DESC, vec_id LIMIT 25
+""")
+def cosine_topk_single(spark: SparkSession, folder: str) -> DataFrame:
+    """One question, the mean vector, in column expressions alone."""
+    parts = D.table(spark, folder, "embeddings").select(F.posexplode("embedding").alias("at", "x"))
+    means = parts.groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("x")).orderBy("at").collect()  # one per dimension
+    return _rounded(top_k_single(D.vectors(spark, folder), [row.x for row in means], 25, ["vec_id"]))
+
+
 STRICT_CORPUS = """SELECT vec_id, (CASE WHEN label = 0 THEN embedding[1:32] ELSE embedding END)::DOUBLE[] AS v
                    FROM embeddings"""
 
@@ -180,10 +194,11 @@ POINTS_SQL = """
     SELECT token, neighbor, {S.fixed('g / 1e9::DOUBLE')} AS score, rank FROM best
 """)
 def ann_topk(spark: SparkSession, folder: str) -> DataFrame:
-    """Approximate search: only the four nearest of sixteen cells are looked at."""
-    corpus = D.vectors(spark, folder).withColumnRenamed("vec_id", "neighbor")
+    """Approximate search: only the four nearest of sixteen cells are read."""
+    corpus, path = D.vectors(spark, folder).withColumnRenamed("vec_id", "neighbor"), fresh_path(spark, "cells")
+    build_cells(corpus, path, ["neighbor"], cells=16)
     asked = corpus.select(F.col("neighbor").alias("token"), F.col("vec").alias("query_vec"))
-    return _rounded(top_k(asked, corpus, 10, "token", ["neighbor"], cells=16, probes=4))
+    return _rounded(top_k_in_cells(asked, path, 10, "token", probes=4))
 
 
 @query(f"""

@@ -48,6 +48,8 @@ def test_retrieve_names_missing_ids_and_drops_empty_texts(spark):
         "shard int, doc_id string, chunk_id long, text string, vec array<float>",
     )
     questions = spark.createDataFrame([(1, "q")], "question_id long, question string")
-    hits = answer.retrieve(questions, index, 8, 8, build).orderBy("rank")
+    hits = answer.retrieve(questions, index, 8, 8, build, metric="cosine").orderBy("rank")
     assert [r.label for r in hits.collect()] == ["d#9", "d#10", "unknown.pdf#?"]
     assert hits.select(F.round("score", 4)).collect()[2][0] == 0.7071
+    by_distance = answer.retrieve(questions, index, 1, 1, build).first()
+    assert (by_distance.label, by_distance.score) == ("d#9", 1.0)

@@ -1,9 +1,12 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from corpuscle.operators.search import top_k, top_k_single
+from corpuscle.operators.cells import build_cells
+from corpuscle.operators.search import top_k, top_k_in_cells, top_k_single
 
 DIM = 8
 
@@ -156,6 +159,22 @@ def test_approximate_search_recall_grows_to_one(spark):
     assert 0.2 < some <= most <= all_cells and all_cells > 0.995
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_written_split_is_searched_exactly_and_read_by_cell(spark, tmp_path, metric):
+    corpus, queries = make_corpus(15, 300, copies=1 / 3), make_corpus(16, 12)
+    path = str(tmp_path / "cells")
+    build_cells(frame(spark, corpus, "id", "vec"), path, ["id"], metric=metric, cells=6, apart=True)
+    asked = frame(spark, queries, "qid", "query_vec")
+    check(collected(top_k_in_cells(asked, path, 5, "qid")), brute(queries, corpus, 5, metric))
+    one = top_k_in_cells(asked.where("qid = 0"), path, 5, "qid", probes=1)
+    assert one.count() == 5
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_cell#", plan)
+    wrong = spark.createDataFrame([(0, [1.0])], "qid long, query_vec array<float>")
+    with pytest.raises(ValueError):
+        top_k_in_cells(wrong, path, 5, "qid")
+
+
 def test_mixed_query_dimensions_are_refused(spark):
     queries = spark.createDataFrame([(0, [1.0]), (1, [1.0, 2.0])], "qid long, query_vec array<float>")
     corpus = frame(spark, make_corpus(14, 5), "id", "vec")
