@@ -50,7 +50,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, keeps the columns
-    prunable and makes every later pass see the same rows.
+    prunable and makes every later pass see the same rows.  Results read the
+    staged tables when they are used, so these stay until the folder is cleaned
+    out, as checkpoints do.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)

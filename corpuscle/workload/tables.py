@@ -51,7 +51,8 @@ def label_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_files(spark: SparkSession, folder: str) -> str:
-    """One text file per document below a fresh folder; returns the folder."""
+    """One text file per document below a fresh folder, in one folder per source."""
     path = fresh_path(spark, "raw-files")
-    documents(spark, folder, "doc_id", "text").write.partitionBy("doc_id").text(path)
+    docs = documents(spark, folder, "source", "text")
+    docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(path)
     return path

@@ -227,14 +227,13 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT doc_id, {S.sanitized('text')} AS text, sha256({S.sanitized('text')}) AS "contentHash" FROM documents
+    SELECT source, {S.sanitized('text')} AS text, sha256({S.sanitized('text')}) AS "contentHash" FROM documents
 """)
 def decode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as files, read back as bytes through the path the ingest job takes."""
     files = files_source.document_files(spark, D.write_files(spark, folder))
     docs = ingest_plan.docs_from_files(files)
-    doc_id = F.regexp_extract("uri", r"doc_id=(\d+)/", 1).cast("long")
-    return docs.select(doc_id.alias("doc_id"), "text", "contentHash")
+    return docs.select(F.regexp_extract("uri", "source=([^/]+)/", 1).alias("source"), "text", "contentHash")
 
 
 @query(f"""

@@ -264,7 +264,7 @@ def wide_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""
     WITH {VOCAB_SQL},
-    top AS (SELECT token FROM vocab WHERE token_id < 500),
+    top AS (SELECT token FROM vocab WHERE token_id < 3000),
     keyed AS (SELECT token AS word FROM top),
     {S.hash_weights('w', 'keyed', 'word', 'word')},
     n AS (SELECT word, sum(w * w) AS n FROM w GROUP BY word),
@@ -280,7 +280,7 @@ def wide_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     SELECT token, neighbor, {S.fixed('g / 1e9::DOUBLE')} AS cosine, rank FROM near
 """)
 def token_neighbors(spark: SparkSession, folder: str) -> DataFrame:
-    """Vocabulary to token vectors to neighbour graph, for the 500 most frequent tokens."""
-    tokens = stats.frequent_tokens(D.documents(spark, folder, "text"), 500)
+    """Vocabulary to token vectors to neighbour graph, for the 3000 most frequent tokens."""
+    tokens = stats.frequent_tokens(D.documents(spark, folder, "text"), 3000)
     edges = stats.knn_graph(stats.token_embeddings(tokens), 5)
     return edges.withColumn("cosine", V.fixed_point(F.col("cosine")))

@@ -1,5 +1,6 @@
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpuscle.operators.upsert import merged_view, upsert
@@ -22,16 +23,17 @@ def test_docs_table_columns(spark):
     assert docs_from_text(raw, title_from_raw=True).first().title == "one"
 
 
-def test_upsert_inserts_only_unknown_versions(spark, tmp_path):
+@pytest.mark.parametrize("few_keys", [200_000, 0])
+def test_upsert_inserts_only_unknown_versions(spark, tmp_path, few_keys):
     path = str(tmp_path / "docs")
     first = docs(spark, [("a", "one"), ("b", "two")])
-    second = docs(spark, [("a", "one"), ("b", "two changed"), ("c", "three")])
+    second = docs(spark, [("a", "one"), ("b", "two changed"), ("c", "three"), ("c", "three ")])
     upsert(first, path)
-    assert merged_view(spark.read.parquet(path), second).count() == 4
+    assert merged_view(spark.read.parquet(path), second).count() == 5
     for _ in range(2):
-        upsert(second, path)
+        upsert(second, path, few_keys=few_keys)
     rows = spark.read.parquet(path).orderBy("uri", "text").collect()
-    assert [(r.uri, r.text) for r in rows] == [("a", "one"), ("b", "two"), ("b", "two changed"), ("c", "three")]
+    assert [(r.uri, r.text) for r in rows] == [("a", "one"), ("b", "two"), ("b", "two changed"), ("c", "three"), ("c", "three")]
 
 
 def test_upsert_null_keys_never_match(spark, tmp_path):
@@ -39,7 +41,8 @@ def test_upsert_null_keys_never_match(spark, tmp_path):
     row = spark.sql("select 'u' uri, cast(null as string) docId, 'h' contentHash")
     upsert(row, path)
     upsert(row, path)
-    assert spark.read.parquet(path).count() == 2
+    upsert(row, path, few_keys=0)
+    assert spark.read.parquet(path).count() == 3
 
 
 def test_ingest_of_files_twice_and_as_a_stream(spark, tmp_path):
