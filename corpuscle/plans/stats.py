@@ -13,6 +13,7 @@ from corpuscle.operators.chunking import chunk, explode_tokens
 from corpuscle.operators.embed import Embedder, embed_column
 from corpuscle.operators.ranking import first_rows, with_dense_id
 from corpuscle.operators.search import top_k
+from corpuscle.session import stage
 from corpuscle.sources.records import top_vocabulary
 from corpuscle.sources.sinks import write_csv, write_wide_embeddings
 
@@ -55,7 +56,10 @@ def token_embeddings(
 
 
 def knn_graph(embeddings: DataFrame, k: int = 10, token: str = "token", **search) -> DataFrame:
-    """Edges from every token to its ``k`` nearest others."""
+    """Edges from every token to its ``k`` nearest others.
+
+    The vectors are read more than once; stage them first if they are costly.
+    """
     queries = embeddings.select(F.col(token).alias("_from"), F.col("vec").alias("query_vec"))
     # One more than asked for: the token itself may be among the best.
     near = top_k(queries, embeddings.select(token, "vec"), k + 1, "_from", [token], **search)
@@ -76,8 +80,11 @@ def export_neighbors(
     k: int = 10,
     make_embedder: Callable[[], Embedder] | None = None,
 ) -> None:
-    """Vocabulary file to token-embedding file and neighbour file."""
-    embedded = token_embeddings(top_vocabulary(spark, vocabulary_path, top_n), make_embedder)
+    """Vocabulary file to token-embedding file and neighbour file.
+
+    The vectors are staged, so the model sees every token once.
+    """
+    embedded = stage(token_embeddings(top_vocabulary(spark, vocabulary_path, top_n), make_embedder), "token-vectors")
     write_wide_embeddings(embedded, embeddings_path)
     write_csv(knn_graph(embedded, k).select("token", "neighbor", "cosine"), neighbors_path)
 

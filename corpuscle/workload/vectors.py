@@ -10,7 +10,7 @@ from corpuscle.functions import vectors as V
 from corpuscle.operators.cells import build_cells
 from corpuscle.operators.search import top_k, top_k_in_cells, top_k_single
 from corpuscle.plans import stats
-from corpuscle.session import fresh_path
+from corpuscle.session import fresh_path, stage
 from corpuscle.sources import records, sinks
 from corpuscle.workload import sql as S
 from corpuscle.workload import tables as D
@@ -282,5 +282,5 @@ def wide_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def token_neighbors(spark: SparkSession, folder: str) -> DataFrame:
     """Vocabulary to token vectors to neighbour graph, for the 3000 most frequent tokens."""
     tokens = stats.frequent_tokens(D.documents(spark, folder, "text"), 3000)
-    edges = stats.knn_graph(stats.token_embeddings(tokens), 5)
+    edges = stats.knn_graph(stage(stats.token_embeddings(tokens), "token-vectors"), 5)
     return edges.withColumn("cosine", V.fixed_point(F.col("cosine")))
