@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
@@ -21,6 +25,20 @@ def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session.
+
+    Needed once per application unless the package is installed on the
+    executors or was passed with ``--py-files``.
+    """
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="corpuscle-")) / "corpuscle"
+        spark.sparkContext.addPyFile(shutil.make_archive(str(archive), "zip", package.parent, package.name))
+        _shipped.add(application)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the session.
 
