@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuscle.functions.binding import bind
+
 # The stop words of the keyword guard.
 STOP_WORDS = [
     "the", "a", "an", "and", "or", "of", "to", "in", "on", "for", "with", "by", "from",
@@ -143,6 +145,34 @@ def analyzed_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}_]+"), F.lit(0))
 
 
+def term_counts(tokens: Column) -> Column:
+    """Distinct tokens of an array with their number, as ``token, freq`` structs.
+
+    Equal tokens stand next to each other once sorted, so a count is the way to
+    the start of the next run.
+    """
+
+    def runs(words: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(words)),
+            lambda i: (i == 1) | (F.element_at(words, i) != F.get(words, i - 2)),
+        )
+        return bind(starts, lambda at: counted(words, at))
+
+    def counted(words: Column, starts: Column) -> Column:
+        end = F.size(words) + 1
+        return F.transform(
+            starts,
+            lambda at, j: F.struct(
+                F.element_at(words, at).alias("token"),
+                (F.coalesce(F.get(starts, j + 1), end) - at).cast("long").alias("freq"),
+            ),
+        )
+
+    none = F.array().cast("array<struct<token:string,freq:bigint>>")
+    return bind(F.sort_array(tokens), lambda words: F.when(F.size(words) == 0, none).otherwise(runs(words)))
+
+
 def hit_label(doc_id: Column, chunk_id: Column) -> Column:
     return F.concat_ws("#", doc_id, chunk_id.cast("string"))
 

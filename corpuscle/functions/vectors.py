@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpuscle.functions.binding import bind
+
 
 def as_double(vec: Column) -> Column:
     return vec.cast("array<double>")
@@ -24,15 +26,6 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once.
-
-    An expression named inside a lambda is evaluated again for every element;
-    the variable of an enclosing lambda is not.
-    """
-    return F.transform(F.array(value), use)[0]
-
-
 def norm(vec: Column) -> Column:
     return F.sqrt(_total(F.transform(as_double(vec), lambda x: x * x)))
 

@@ -6,6 +6,7 @@ import hashlib
 import re
 import time
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,27 +25,26 @@ def hashing_embedder(dim: int = 64) -> Callable[[], Embedder]:
     are integers, so scores do not depend on the order of summation.
     """
 
+    class Places(dict):
+        """Position of every token met so far, shifted by ``dim`` where the sign is negative."""
+
+        def __missing__(self, word: str) -> int:
+            if len(self) >= 1_000_000:  # keeps the memory of a long task bounded
+                self.clear()
+            digest = hashlib.md5(word.encode()).hexdigest()
+            place = self[word] = int(digest[:8], 16) % dim + dim * (int(digest[8], 16) % 2)
+            return place
+
     def build() -> Embedder:
-        token = re.compile(KEYWORD_TOKEN)
-        known: dict[str, tuple[int, int]] = {}
-
-        def place(word: str) -> tuple[int, int]:
-            spot = known.get(word)
-            if spot is None:
-                if len(known) >= 1_000_000:  # keeps the memory of a long task bounded
-                    known.clear()
-                digest = hashlib.md5(word.encode()).hexdigest()
-                spot = known[word] = (int(digest[:8], 16) % dim, 1 - 2 * (int(digest[8], 16) % 2))
-            return spot
+        token, places = re.compile(KEYWORD_TOKEN), Places()
 
         def embed(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim), dtype=np.float32)
-            for row, text in enumerate(texts):
-                places = [place(word) for word in token.findall(text.lower())]
-                if places:
-                    at, sign = np.array(places).T
-                    out[row] = np.bincount(at, weights=sign, minlength=dim)
-            return out
+            words = [token.findall(text.lower()) for text in texts]
+            sizes = [len(found) for found in words]
+            at = np.fromiter(map(places.__getitem__, chain.from_iterable(words)), np.int64, count=sum(sizes))
+            at += np.repeat(np.arange(len(texts)) * (2 * dim), sizes)
+            counts = np.bincount(at, minlength=len(texts) * 2 * dim).reshape(len(texts), 2, dim)
+            return (counts[:, 0] - counts[:, 1]).astype(np.float32)
 
         return embed
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
-from corpuscle.functions.vectors import bind
+from corpuscle.functions.binding import bind
 from corpuscle.operators.embed import Embedder, embed_column
 from corpuscle.operators.search import top_k
 
@@ -25,8 +25,8 @@ def retrieve(
     """The ``k`` best chunks per question of ``question_id, question``.
 
     Each shard yields ``max(fetch, k)`` candidates, which are then merged.  The
-    default score is 1 / (1 + squared distance), the one of the reference's
-    index; ``metric="cosine"`` is what its documentation speaks of.
+    default score is 1 / (1 + squared distance); ``metric="cosine"`` ranks by
+    angle instead.
     Chunks without text are left out, missing ids named.
     """
     asked = embed_column(questions.select("question_id", "question"), make_embedder, "question", "query_vec")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import hashing as H
 from corpuscle.functions import text as T
-from corpuscle.operators.chunking import chunk, chunk_by_paragraph, explode_tokens
+from corpuscle.operators.chunking import chunk, chunk_by_paragraph
 from corpuscle.operators.embed import Embedder, embed_column
 from corpuscle.sources.records import docs_table
 from corpuscle.sources.sinks import write_csv_index, write_json_chunks, write_sharded_index
@@ -89,9 +89,12 @@ def export_csv_index(docs: DataFrame, path: str, make_embedder: MakeEmbedder | N
 
 
 def postings(chunks: DataFrame) -> DataFrame:
-    """How often each term occurs in each chunk."""
-    terms = explode_tokens(chunks, T.analyzed_tokens(F.col("text")), ["doc_id", "chunk_id"])
-    return terms.groupBy("token", "doc_id", "chunk_id").agg(F.count("*").alias("freq"))
+    """How often each term occurs in each chunk.
+
+    A chunk is one row, so its terms are counted where it lies, without a shuffle.
+    """
+    counts = T.term_counts(T.analyzed_tokens(F.col("text")))
+    return chunks.select("doc_id", "chunk_id", F.inline(counts)).select("token", "doc_id", "chunk_id", "freq")
 
 
 def record_shape(records: DataFrame) -> DataFrame:

@@ -85,6 +85,11 @@ def test_answer_cleanup(spark):
     assert one_column(spark, rows, T.clean_answer) == ["Yes [1].", "", "a\n\nb", rows[3]]
 
 
+def test_term_counts(spark):
+    got = one_column(spark, ["b a b c b a", "", "x"], lambda c: T.term_counts(T.keywords(c)))
+    assert [[tuple(r) for r in row] for row in got] == [[("a", 2), ("b", 3), ("c", 1)], [], [("x", 1)]]
+
+
 def test_prompt(spark):
     df = spark.sql("select 'why?' q, array(' one ', 'two\n') c")
     text = df.select(T.prompt(F.col("q"), F.col("c"))).first()[0]
