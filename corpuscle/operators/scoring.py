@@ -90,12 +90,13 @@ def best_per_row(s: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray,
 class Winners:
     """Running top ``k`` of every query over the blocks one task sees.
 
+    ``floor`` holds, per query, a score below which rows are of no interest.
     Memory stays at a few times ``queries x k`` rows however many blocks come.
     """
 
-    def __init__(self, queries: Vectors, k: int, metric: str, ids: list[str]):
+    def __init__(self, queries: Vectors, k: int, metric: str, ids: list[str], floor: np.ndarray | None = None):
         self.queries, self.k, self.metric, self.ids = queries, k, metric, ids
-        self.floor = np.full(len(queries.sizes), -np.inf)
+        self.floor = np.full(len(queries.sizes), -np.inf) if floor is None else floor.copy()
         self.kept: list[pa.Table] = []
         self.rows = 0
         self.limit = max(4 * k * len(queries.sizes), 50_000)

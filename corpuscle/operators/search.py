@@ -4,7 +4,9 @@ Two physical forms give the same rows:
 
 * **scan**: the queries are few, which is checked.  They are shipped to every
   task, the corpus is read once where it lies, and each task passes on no more
-  than k rows per query.  The corpus is not shuffled.
+  than k rows per query.  The corpus is not shuffled.  For a large corpus one
+  task in a hundred runs first; the k-th scores it finds are floors below which
+  the other tasks keep their rows to themselves.
 * **cells**: beyond that bound.  The corpus is split into cells around sampled
   pivots.  A query first visits its nearest cells; the k-th score found there
   bounds, through the triangle inequality, which other cells can still hold a
@@ -52,6 +54,8 @@ def top_k(
     fetch: int = 0,
     scan_queries: int = 4096,
     scan_bytes: int = 64 << 20,
+    floor_bytes: int = 16 << 30,
+    floor_stride: int = 100,
     cells: int = 512,
     probes: int | None = None,
     block_rows: int = 20_000,
@@ -66,6 +70,10 @@ def top_k(
     With ``shard``, each shard first keeps its ``max(fetch, k)`` best, then the
     shards are merged.  ``probes`` visits that many nearest cells only and is
     approximate.  All query vectors must have one dimension.
+
+    The other arguments bound the memory of a task and choose the form; they
+    do not change the result.  A corpus that is costly to compute should be
+    written first, as the forms for large inputs read it more than once.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -81,8 +89,9 @@ def top_k(
         # Never more than scan_queries + 1 rows come to the driver.
         few = queries.limit(scan_queries + 1).toArrow()
         if few.num_rows <= scan_queries and few.nbytes <= scan_bytes:
-            hits = _scan(spark, few, corpus, kept, query_id, query_vec, ids, vec, metric)
-            hits = _merge(hits, [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
+            scan = _Scan(few, corpus, kept, query_id, query_vec, ids, vec, metric)
+            floor = scan.floor(floor_stride) if _estimated_bytes(corpus) > floor_bytes else None
+            hits = _merge(scan.hits(floor), [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
             return _final(hits, query_id, shard, ids, k, per_shard)
 
     queries, dim = _staged(queries, query_vec)
@@ -159,31 +168,60 @@ def _named(hits: pa.Table, query_ids: pa.ChunkedArray, order: list[str], query_i
     return named.select(order)
 
 
-def _scan(spark, few: pa.Table, corpus: DataFrame, k: int, query_id: str, query_vec: str,
-          ids: list[str], vec: str, metric: str) -> DataFrame:
-    # Merging in groups of tasks keeps the last merge small when a large corpus
-    # has very many tasks.
-    merge_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    query_type = _arrow_field(few, query_id)
-    schema = _hit_schema(corpus, vec, query_type, [ST.StructField("_part", ST.IntegerType())])
-    _query_vectors(few, query_vec)
-    shipped = spark.sparkContext.broadcast(few)
-    order = [f.name for f in schema.fields]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        table = shipped.value
-        winners = Winners(_query_vectors(table, query_vec), k, metric, ids)
-        for batch in batches:
-            winners.offer(pa.Table.from_batches([batch]), vec)
-        hits = winners.result()
-        if hits is not None:
-            part = TaskContext.get().partitionId() % merge_parts
-            hits = hits.append_column("_part", pa.array(np.full(hits.num_rows, part), pa.int32()))
-            yield from _named(hits, table.column(query_id), order, query_id).to_batches(10_000)
-
-    return corpus.mapInArrow(run, schema)
+def _estimated_bytes(df: DataFrame) -> int:
+    """Size as Catalyst estimates it; decides how to run a job, never what it returns."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+class _Scan:
+    """The search that ships the queries to the corpus; see the head of this module."""
+
+    def __init__(self, few: pa.Table, corpus: DataFrame, k: int, query_id: str, query_vec: str,
+                 ids: list[str], vec: str, metric: str):
+        _query_vectors(few, query_vec)  # raises here rather than in every task
+        self.few, self.corpus, self.k = few, corpus, k
+        self.query_id, self.query_vec, self.ids, self.vec, self.metric = query_id, query_vec, ids, vec, metric
+        spark = corpus.sparkSession
+        self.shipped = spark.sparkContext.broadcast(few)
+        # Merging in groups of tasks keeps the last merge small when a large
+        # corpus has very many tasks.
+        self.merge_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def hits(self, floor: np.ndarray | None = None, stride: int = 1) -> DataFrame:
+        """The best rows each task has seen; with a stride, of every so many tasks only."""
+        query_id, query_vec, vec = self.query_id, self.query_vec, self.vec
+        k, metric, ids, shipped, merge_parts = self.k, self.metric, self.ids, self.shipped, self.merge_parts
+        part_field = ST.StructField("_part", ST.IntegerType())
+        schema = _hit_schema(self.corpus, vec, _arrow_field(self.few, query_id), [part_field])
+        order = [f.name for f in schema.fields]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            task = TaskContext.get().partitionId()
+            if task % stride:
+                return
+            table = shipped.value
+            winners = Winners(_query_vectors(table, query_vec), k, metric, ids, floor)
+            for batch in batches:
+                winners.offer(pa.Table.from_batches([batch]), vec)
+            found = winners.result()
+            if found is not None:
+                found = found.append_column("_part", pa.array(np.full(found.num_rows, task % merge_parts), pa.int32()))
+                yield from _named(found, table.column(query_id), order, query_id).to_batches(10_000)
+
+        return self.corpus.mapInArrow(run, schema)
+
+    def floor(self, stride: int) -> np.ndarray:
+        """Per query the k-th score among the rows of one task in ``stride``.
+
+        The k-th score of any part of the corpus is one the whole reaches, so
+        rows below it cannot be results.
+        """
+        part = _merge(self.hits(stride=stride).drop("_part"), [self.query_id], self.ids, self.k)
+        kth = part.groupBy(self.query_id).agg(F.count("*").alias("n"), F.min("_score").alias("kth"))
+        reached = {row[0]: row.kth for row in kth.where(F.col("n") >= self.k).collect()}  # one row per query
+        return np.array([reached.get(q, -np.inf) for q in self.few.column(self.query_id).to_pylist()])
 
 
 def _arrow_field(table: pa.Table, name: str) -> ST.StructField:

@@ -46,7 +46,7 @@ def ingest_counters(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""
     WITH {INDEX_SQL}
     SELECT count(*) AS records, 0::BIGINT AS missing, 0::BIGINT AS no_vector,
-           count_if(regexp_matches(text, '[\\x00-\\x08\\x0b-\\x1f\\x7f]')) AS control_chars
+           count_if(regexp_matches(text, '[\\x00-\\x08\\x0b-\\x1f\\x7f]'))::BIGINT AS control_chars
     FROM chunks
 """)
 def record_shape(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,8 +34,8 @@ def sanitize_text(spark: SparkSession, folder: str) -> DataFrame:
                text = '' OR length(regexp_replace(text, '[\\x00-\\x{{FF}}]', '', 'g')) / length(text) > 0.1 AS bad,
                length(regexp_replace(text, '[\\x00-\\x{{FF}}]', '', 'g')) AS odd
         FROM chunks)
-    SELECT doc_id, count(*) AS chunks, count_if(short) AS short, count_if(bad) AS corrupted,
-           count_if(NOT short AND NOT bad) AS kept, sum(odd)::BIGINT AS odd_chars
+    SELECT doc_id, count(*) AS chunks, count_if(short)::BIGINT AS short, count_if(bad)::BIGINT AS corrupted,
+           count_if(NOT short AND NOT bad)::BIGINT AS kept, sum(odd)::BIGINT AS odd_chars
     FROM judged GROUP BY doc_id
 """)
 def corrupt_filter(spark: SparkSession, folder: str) -> DataFrame:

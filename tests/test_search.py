@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuscle.operators.cells import build_cells
-from corpuscle.operators.search import top_k, top_k_in_cells, top_k_single
+from corpuscle.operators.search import _Scan, top_k, top_k_in_cells, top_k_single
 
 DIM = 8
 
@@ -59,6 +59,7 @@ def check(got, want):
 
 FORMS = {
     "scan": {},
+    "scan_with_floor": {"floor_bytes": 0, "floor_stride": 2},
     "cells": {"scan_queries": 0, "cells": 7, "block_rows": 25, "group_rows": 6},
     "one_cell": {"scan_queries": 0, "cells": 1, "block_rows": 10_000},
 }
@@ -66,7 +67,7 @@ FORMS = {
 
 @pytest.mark.parametrize(
     "form,metric",
-    [(f, m) for f in ("scan", "cells") for m in ("cosine", "euclidean", "dot")] + [("one_cell", "cosine")],
+    [(f, m) for f in ("scan", "scan_with_floor", "cells") for m in ("cosine", "euclidean", "dot")] + [("one_cell", "cosine")],
 )
 def test_exact_search_equals_brute_force(spark, metric, form):
     corpus, queries = make_corpus(1, 240), make_corpus(2, 25)
@@ -140,6 +141,15 @@ def test_shards_do_not_change_the_result(spark, shards, form):
     check(collected(hits), brute(queries, corpus, 5, "cosine"))
 
 
+def test_floor_lets_tasks_emit_less(spark):
+    corpus, queries = make_corpus(17, 2000), make_corpus(18, 5)
+    few = frame(spark, queries, "qid", "query_vec").toArrow()
+    rows = frame(spark, corpus, "id", "vec").repartition(20)
+    scan = _Scan(few, rows, 5, "qid", "query_vec", ["id"], "vec", "cosine")
+    floor = scan.floor(4)
+    assert np.isfinite(floor).all() and scan.hits(floor).count() < scan.hits().count() / 2
+
+
 def test_single_query_form(spark):
     corpus, query = make_corpus(10, 80), make_corpus(11, 1)
     rows = top_k_single(frame(spark, corpus, "id", "vec"), query[0].tolist(), 6, ["id"]).collect()
