@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import rules, warc
+from corpuscle.llm import licenses, rules, simhash, warc
 from corpuscle.llm.common import table
 from corpuscle.llm.registry import register
 
@@ -73,3 +73,54 @@ register("op9_line_rules", op9_line_rules, f"""
            NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND words_lost <= 0.5::DOUBLE * n_words AS kept
     FROM facts
 """)
+
+
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def _places(phrase: str) -> str:
+    words = phrase.split()
+    return "list_filter(range(1, len(w) + 1), lambda i: " + " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(words)) + ")"
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v + "'" for v in values) + "]"
+
+
+WORD_ONLY = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TEMPLATE_ROWS = ", ".join(f"('{label}', {_sql_list(licenses.words_of(notice))})" for label, notice in licenses.TEMPLATES)
+BASE_ROWS = " UNION ALL ".join(
+    f"SELECT doc_id, '{label}' AS label, {_places(phrase)} AS places FROM w" for phrase, label in licenses.PHRASES
+)
+
+register("op2_license_scan", op2_license_scan, f"""
+    WITH d AS (SELECT doc_id, {LOWERED} AS t FROM documents),
+    w AS (SELECT doc_id, t, regexp_extract_all(t, '{WORD_ONLY}') AS w FROM d),
+    base AS ({BASE_ROWS}),
+    based AS (SELECT doc_id, sum(len(places))::BIGINT AS n_base, min(places[1] - 1) AS first_word, max(places[-1] - 1) AS last_word,
+                     list(label) FILTER (len(places) > 0) AS found FROM base GROUP BY doc_id),
+    templates AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) AS v(label, words)),
+    lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{WORD_ONLY}')) AS words
+              FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
+    hits AS (SELECT doc_id, label, len(list_intersect(l.words, t.words)) / len(t.words)::DOUBLE AS share
+             FROM lines l, templates t
+             WHERE len(list_intersect(l.words, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)),
+    method AS (SELECT doc_id, list(DISTINCT label) AS found, max(share) AS score FROM hits GROUP BY doc_id)
+    SELECT w.doc_id, len(w) AS n_words, n_base, first_word, last_word,
+           array_to_string(list_sort(list_distinct(coalesce(based.found, []))), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(based.found, []), coalesce(method.found, [])))), ',') AS labels,
+           greatest(coalesce(score, 0), CASE WHEN n_base > 0 THEN 1 ELSE 0 END)::DOUBLE AS score
+    FROM w JOIN based ON based.doc_id = w.doc_id LEFT JOIN method ON method.doc_id = w.doc_id
+""")
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# No SQL: DuckDB has no XXH64.
+register("op6_simhash", op6_simhash)
