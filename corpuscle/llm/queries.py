@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import licenses, rules, simhash, warc
+from corpuscle.llm import licenses, mixing, pseudonyms, rules, sharding, simhash, warc
 from corpuscle.llm.common import table
 from corpuscle.llm.registry import register
 
@@ -124,3 +124,53 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 # No SQL: DuckDB has no XXH64.
 register("op6_simhash", op6_simhash)
+
+
+PII_KEY = "a key the caller keeps"
+
+
+def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
+
+
+# No SQL: DuckDB's patterns have no look-behind.
+register("op3_pseudonyms", op3_pseudonyms)
+
+
+def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents").select("doc_id", "source", "text"))
+
+
+register("op5_source_mixing", op5_source_mixing, f"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, text, coalesce(doc_id::VARCHAR, '') AS ident FROM documents),
+    s AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS n FROM d GROUP BY source),
+    m AS (SELECT source, CASE WHEN n > 0 THEN pow(n, {mixing.TEMPERATURE}) / (SELECT sum(pow(n, {mixing.TEMPERATURE})) FROM s)
+                 * (SELECT sum(n) FROM s) / n ELSE 0 END AS mean FROM s),
+    parts AS (SELECT source, mean / greatest(ceil(mean / {mixing.PART}), 1) AS part, greatest(ceil(mean / {mixing.PART}), 1)::BIGINT AS parts FROM m),
+    cdf(source, part, k, p, below) AS (
+        SELECT source, part, 0, exp(-part), exp(-part) FROM parts
+        UNION ALL SELECT source, part, k + 1, p * part / (k + 1), below + p * part / (k + 1) FROM cdf WHERE k < {mixing.TERMS}),
+    steps AS (SELECT source, list(below ORDER BY k) AS below FROM cdf GROUP BY source),
+    draws AS (SELECT d.doc_id, d.source, d.text, d.ident, below, unnest(range(1, parts + 1)) AS i
+              FROM d JOIN parts ON parts.source IS NOT DISTINCT FROM d.source JOIN steps ON steps.source IS NOT DISTINCT FROM d.source),
+    counted AS (SELECT doc_id, any_value(source) AS source, any_value(text) AS text, any_value(ident) AS ident,
+                       sum(len(list_filter(below, lambda b: b <= ('0x' || left(md5('{mixing.SEED}|' || ident || '|' || i), 13))::BIGINT
+                           / 4503599627370496.0::DOUBLE)))::BIGINT AS n FROM draws GROUP BY doc_id),
+    copies AS (SELECT doc_id, source, text, ident, unnest(range(0, n))::INTEGER AS replica FROM counted)
+    SELECT doc_id, source, text, replica, md5('{mixing.SEED}|order|' || ident || '|' || replica) AS order_key FROM copies
+""")
+
+
+def op8_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, folder, "documents"))
+
+
+register("op8_extendible_shards", op8_extendible_shards, f"""
+    WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, array_to_string(list_transform(range(1, 17),
+                 lambda i: lpad(bin(('0x' || substr(md5(doc_id::VARCHAR), i::BIGINT, 1))::INTEGER), 4, '0')), '') AS bits FROM documents),
+    levels AS (SELECT doc_id, n_bytes, k, left(bits, k) AS prefix FROM (SELECT *, unnest(range(0, 33)) AS k FROM d)),
+    fits AS (SELECT *, sum(n_bytes) OVER b <= {sharding.LIMIT} OR count(*) OVER b = 1 AS fit FROM levels
+             WINDOW b AS (PARTITION BY k, prefix))
+    SELECT doc_id, any_value(n_bytes)::BIGINT AS n_bytes, arg_min(prefix, k) AS shard, min(k)::INTEGER AS depth
+    FROM fits WHERE fit GROUP BY doc_id
+""")
