@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import licenses, mixing, pseudonyms, rules, sharding, simhash, warc
+from corpuscle.llm import classifier, licenses, mixing, packing, pseudonyms, rules, sharding, simhash, topk, warc
 from corpuscle.llm.common import table
 from corpuscle.llm.registry import register
 
@@ -174,3 +175,41 @@ register("op8_extendible_shards", op8_extendible_shards, f"""
     SELECT doc_id, any_value(n_bytes)::BIGINT AS n_bytes, arg_min(prefix, k) AS shard, min(k)::INTEGER AS depth
     FROM fits WHERE fit GROUP BY doc_id
 """)
+
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, folder, "documents").select("doc_id", "text"), TOKENIZER)
+    # Packing needs lengths only: the ids are digested where they are made and not shuffled.
+    digested = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digested)
+
+
+# No SQL: it has no tokenizer.
+register("op4_best_fit_packing", op4_best_fit_packing)
+
+
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
+register("op7_top_k", op7_top_k, """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+    SELECT * FROM (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+                   FROM pairs) WHERE rank <= 5
+""")
+
+
+def op10_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = classifier.fit(docs, table(spark, folder, "labels"))
+    return classifier.score(docs, model).select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+# No SQL: the model is trained; its accuracy on held-out rows is tested.
+register("op10_nb_svm", op10_nb_svm)
