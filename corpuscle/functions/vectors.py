@@ -30,6 +30,12 @@ def norm(vec: Column) -> Column:
     return F.sqrt(_total(F.transform(as_double(vec), lambda x: x * x)))
 
 
+def is_finite(vec: Column) -> Column:
+    """Whether the squares of a vector sum to a finite number; false for null vectors and elements."""
+    squares = _total(F.transform(as_double(vec), lambda x: x * x))
+    return bind(squares, lambda s: F.coalesce(~F.isnan(s) & (s < float("inf")), F.lit(False)))
+
+
 def l2_normalize(vec: Column) -> Column:
     """Unit vector; the zero vector stays as it is."""
 

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from corpuscle.operators.scoring import GRID, METRICS, Vectors
+from corpuscle.operators.scoring import GRID, METRICS, Vectors, finite_rows
 from corpuscle.session import fresh_path
 
 _SLACK = 1e-6  # widens every bound against rounding
+MOST_CELLS = 4096
 
 
 @dataclass(frozen=True)
@@ -106,14 +107,16 @@ def build_cells(
     ids: list[str],
     vec: str = "vec",
     metric: str = "cosine",
-    cells: int = 512,
+    cells: int | None = None,
     dim: int | None = None,
     apart: bool = False,
     by_cell: bool = True,
 ) -> CellTable:
-    """Split a corpus and write it below ``path``; rows without a vector are left out.
+    """Split a corpus and write it below ``path``; rows without a finite vector are left out.
 
-    ``dim`` is the dimension of the queries to come, by default the largest in
+    ``cells`` is their number, by default the root of the number of rows, so that
+    cells and their contents grow alike; pivots are compared on the driver, which
+    bounds that default to ``MOST_CELLS``.  ``dim`` is the dimension of the queries to come, by default the largest in
     the corpus.  ``apart`` picks pivots far from each other, which suits exact
     search, instead of cells of like size.  ``by_cell`` gives every cell a
     directory, so that a search reads only the cells it visits.
@@ -124,6 +127,8 @@ def build_cells(
     corpus = corpus.where(F.col(vec).isNotNull())
     if dim is None:
         dim = corpus.agg(F.max(F.size(vec))).first()[0] or 0
+    if cells is None:
+        cells = min(max(1, round(corpus.count() ** 0.5)), MOST_CELLS)
     geometry = Geometry(metric, dim)
     pivots = _choose_pivots(corpus, geometry, ids, vec, cells, apart)
     split = _with_cell(corpus, geometry, pivots, vec)
@@ -165,7 +170,9 @@ def _cell_table(
     return CellTable(rows, pivots, counts, radius, geometry, ids, vec)
 
 
-def temporary_cells(corpus: DataFrame, ids: list[str], vec: str, metric: str, cells: int, dim: int, apart: bool) -> CellTable:
+def temporary_cells(
+    corpus: DataFrame, ids: list[str], vec: str, metric: str, cells: int | None, dim: int, apart: bool
+) -> CellTable:
     """A split for one search, in the shared folder, in the order the corpus came."""
     path = fresh_path(corpus.sparkSession, "search-cells")
     return build_cells(corpus, path, ids, vec, metric, cells, dim, apart, by_cell=False)
@@ -182,6 +189,7 @@ def _choose_pivots(
     """
     mixed = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ids]))
     head = corpus.select(mixed.alias("_order"), vec).orderBy("_order").limit(4 * cells).toArrow()
+    head = finite_rows(head, vec)
     points = geometry.points(Vectors(head.column(vec), geometry.dim))
     if not len(points):
         return points
@@ -198,14 +206,13 @@ def _with_cell(corpus: DataFrame, geometry: Geometry, pivots: np.ndarray, vec: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
+            rows = finite_rows(pa.Table.from_batches([batch]), vec)
+            if not rows.num_rows:
                 continue
-            column = batch.column(batch.schema.get_field_index(vec))
-            points = geometry.points(Vectors(column, geometry.dim))
+            points = geometry.points(Vectors(rows.column(vec), geometry.dim))
             cell = nearest_first(points, pivots)[:, 0]
             away = distances(points, pivots)[np.arange(len(cell)), cell]
-            yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(cell.astype(np.int32)), pa.array(away)], names=schema.names
-            )
+            yield from rows.append_column("_cell", pa.array(cell.astype(np.int32))).append_column(
+                "_dist", pa.array(away)).to_batches()
 
     return corpus.mapInArrow(run, schema)

@@ -19,7 +19,9 @@ class Vectors:
 
     Shorter vectors are padded with zeros, longer ones cut, which leaves the
     dot product over the common prefix.  Norms and their squares are those of
-    the full vectors.
+    the full vectors.  ``finite`` marks the vectors that take part in a search:
+    those whose squares sum to a finite number, which neither a null element nor
+    one that is no finite number does.
     """
 
     def __init__(self, column: pa.Array | pa.ChunkedArray, dim: int | None = None):
@@ -31,7 +33,7 @@ class Vectors:
         if np.all(self.sizes == self.dim):
             self.matrix = values.reshape(len(self.sizes), self.dim)
             self.squares = np.einsum("ij,ij->i", self.matrix, self.matrix)
-            self.norms = np.sqrt(self.squares)
+            self._finish()
             return
         self.matrix = np.zeros((len(self.sizes), self.dim))
         self.squares = np.zeros(len(self.sizes))
@@ -42,9 +44,19 @@ class Vectors:
             width = min(int(size), self.dim)
             self.matrix[rows, :width] = full[:, :width]
             self.squares[rows] = np.einsum("ij,ij->i", full, full)
+        self._finish()
+
+    def _finish(self) -> None:
+        self.finite = np.isfinite(self.squares)
         self.norms = np.sqrt(self.squares)
 
 
+def finite_rows(table: pa.Table, vec: str) -> pa.Table:
+    """The rows whose vector can take part."""
+    finite = Vectors(table.column(vec), 0).finite
+    return table if finite.all() else table.filter(pa.array(finite))
+
+
 def score(queries: Vectors, part: slice, block: Vectors, metric: str) -> np.ndarray:
     """Scores of a part of the queries against every row of the block, on the grid."""
     if metric == "euclidean" and not np.all(block.sizes == block.dim):
@@ -103,9 +115,11 @@ class Winners:
 
     def offer(self, block: pa.Table, vec: str) -> None:
         """Score the rows of a block; equal scores are ranked by the id columns."""
+        block = finite_rows(block, vec)
         if block.num_rows == 0 or len(self.floor) == 0:
             return
-        block = block.take(pc.sort_indices(block, sort_keys=[(c, "ascending") for c in self.ids]))
+        if self.ids:
+            block = block.take(pc.sort_indices(block, sort_keys=[(c, "ascending") for c in self.ids]))
         vectors = Vectors(block.column(vec), self.queries.dim)
         payload = block.drop_columns([vec])
         step = max(1, _ENTRIES // block.num_rows)

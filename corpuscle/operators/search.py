@@ -1,25 +1,29 @@
 """Exact and approximate top-k search of many query vectors in a corpus of vectors.
 
-Two physical forms give the same rows:
-
-* **scan**: the queries are few, which is checked.  They are shipped to every
-  task, the corpus is read once where it lies, and each task passes on no more
-  than k rows per query.  The corpus is not shuffled.  For a large corpus one
-  task in a hundred runs first; the k-th scores it finds are floors below which
-  the other tasks keep their rows to themselves.
-* **cells**: beyond that bound.  The corpus is split into cells around sampled
-  pivots.  A query first visits its nearest cells; the k-th score found there
-  bounds, through the triangle inequality, which other cells can still hold a
-  better row, and only those are visited.  Large cells are cut into blocks and
-  queries of one cell into groups, so that no task holds more than one block
-  and one group, whatever share of the rows a single cell attracts.
+Two physical forms give the same rows; the caller names the one to use:
+
+* **scan**: the queries are shipped to every task in groups of bounded size, the
+  corpus is read where it lies, once per group, and each task passes on no more
+  than k rows per query.  The corpus is not shuffled.  The k-th scores among the
+  first rows of the corpus are floors below which tasks keep rows to themselves.
+* **cells**: the corpus is split into cells around sampled pivots.  A query first
+  visits its nearest cells; the k-th score found there bounds, through the
+  triangle inequality, which other cells can still hold a better row, and only
+  those are visited, with that score as a floor.  Large cells are cut into blocks
+  and queries of one cell into groups, so that no task holds more than one block
+  and one group, whatever share of the rows a single cell attracts.  Ids and
+  scores are all that is shuffled; the other columns join the final hits.
 
 Stopping after the nearest cells gives the approximate search.
+
+Vectors with a null or non-finite element, or so long that the sum of their
+squares is not finite, take no part on either side.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from corpuscle.functions.vectors import cosine, cosine_strict, dot, euclidean_score, literal_vector
+from corpuscle.functions.vectors import cosine, cosine_strict, dot, euclidean_score, is_finite, literal_vector
 from corpuscle.operators.cells import CellTable, nearest_first, open_cells, temporary_cells
 from corpuscle.operators.scoring import GRID, METRICS, Vectors, Winners
 from corpuscle.session import stage
@@ -37,7 +41,7 @@ def top_k_single(corpus: DataFrame, query: list[float], k: int, ids: list[str],
                  metric: str = "cosine") -> DataFrame:
     """Top ``k`` for one literal query vector, all of it in column expressions."""
     forms = {"cosine": cosine, "cosine_strict": cosine_strict, "euclidean": euclidean_score, "dot": dot}
-    scored = corpus.withColumn("score", forms[metric](literal_vector(query), F.col(vec)))
+    scored = corpus.where(is_finite(F.col(vec))).withColumn("score", forms[metric](literal_vector(query), F.col(vec)))
     return scored.orderBy(_grid(F.col("score")).desc(), *ids).limit(k).drop(vec)
 
 
@@ -52,53 +56,55 @@ def top_k(
     metric: str = "cosine",
     shard: str | None = None,
     fetch: int = 0,
-    scan_queries: int = 4096,
-    scan_bytes: int = 64 << 20,
-    floor_bytes: int = 16 << 30,
-    floor_stride: int = 100,
-    cells: int = 512,
+    form: str = "scan",
+    group_queries: int = 4096,
+    group_bytes: int = 64 << 20,
+    floor_rows: int = 2000,
+    cells: int | None = None,
     probes: int | None = None,
-    block_rows: int = 20_000,
-    group_rows: int = 20_000,
+    block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """The ``k`` best corpus rows of every query, ranked from 1.
 
     Result: ``query_id``, all corpus columns but the vector, ``score`` and
     ``rank``.  ``ids`` identify a corpus row and order equal scores; query ids
-    must be unique.  Rows without a vector are left out, on both sides.
+    must be unique.  Rows without a finite vector are left out, on both sides.
 
     With ``shard``, each shard first keeps its ``max(fetch, k)`` best, then the
     shards are merged.  ``probes`` visits that many nearest cells only and is
-    approximate.  All query vectors must have one dimension.
+    approximate; it implies the cells form.  All query vectors must have one
+    dimension.
 
-    The other arguments bound the memory of a task and choose the form; they
-    do not change the result.  A corpus that is costly to compute should be
-    written first, as the forms for large inputs read it more than once.
+    The other arguments bound the memory of a task; neither they nor ``form``
+    change the result.  A corpus that is costly to compute should be written
+    first, as it is read more than once.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
+    if form not in ("scan", "cells"):
+        raise ValueError("form must be scan or cells")
     if k < 1:
         raise ValueError("k must be at least 1")
-    spark = corpus.sparkSession
-    queries = queries.select(query_id, query_vec).where(F.col(query_vec).isNotNull())
+    queries = queries.select(query_id, query_vec).where(is_finite(F.col(query_vec)))
     corpus = corpus.where(F.col(vec).isNotNull())
     per_shard = max(fetch, k)
     kept = per_shard if shard else k
 
-    if probes is None:
-        # Never more than scan_queries + 1 rows come to the driver.
-        few = queries.limit(scan_queries + 1).toArrow()
-        if few.num_rows <= scan_queries and few.nbytes <= scan_bytes:
-            scan = _Scan(few, corpus, kept, query_id, query_vec, ids, vec, metric)
-            floor = scan.floor(floor_stride) if _estimated_bytes(corpus) > floor_bytes else None
-            hits = _merge(scan.hits(floor), [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
-            return _final(hits, query_id, shard, ids, k, per_shard)
+    if form == "scan" and probes is None:
+        merged = []
+        for group, last in _groups(queries, query_vec, group_queries, group_bytes):
+            scan = _Scan(group, corpus, kept, query_id, query_vec, ids, vec, metric)
+            hits = _merge(scan.hits(scan.floor(floor_rows)), [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
+            if not last or merged:
+                # One group of many: its hits are written, so that its queries need not stay.
+                hits = stage(hits, "scan-hits")
+                scan.shipped.destroy()
+            merged.append(hits)
+        return _final(reduce(DataFrame.union, merged), query_id, shard, ids, k, per_shard)
 
     queries, dim = _staged(queries, query_vec)
     table = temporary_cells(corpus, ids, vec, metric, cells, dim, apart=probes is None)
-    search = _CellSearch(queries, table, kept, query_id, query_vec, block_rows, group_rows)
-    hits = search.exact() if probes is None else search.nearest(probes)
-    return _final(hits, query_id, shard, ids, k, per_shard)
+    return _in_cells(queries, table, k, query_id, query_vec, probes, shard, per_shard, block_bytes)
 
 
 def top_k_in_cells(
@@ -110,18 +116,43 @@ def top_k_in_cells(
     probes: int | None = None,
     shard: str | None = None,
     fetch: int = 0,
-    block_rows: int = 20_000,
-    group_rows: int = 20_000,
+    block_bytes: int = 16 << 20,
 ) -> DataFrame:
     """``top_k`` in a corpus that ``build_cells`` has written; only visited cells are read."""
     table = open_cells(queries.sparkSession, path)
-    queries, dim = _staged(queries.select(query_id, query_vec).where(F.col(query_vec).isNotNull()), query_vec)
+    queries, dim = _staged(queries.select(query_id, query_vec).where(is_finite(F.col(query_vec))), query_vec)
     if dim not in (0, table.geometry.dim):
         raise ValueError(f"the corpus was split for queries of {table.geometry.dim} dimensions")
-    per_shard = max(fetch, k)
-    search = _CellSearch(queries, table, per_shard if shard else k, query_id, query_vec, block_rows, group_rows)
+    return _in_cells(queries, table, k, query_id, query_vec, probes, shard, max(fetch, k), block_bytes)
+
+
+def _in_cells(queries: DataFrame, table: CellTable, k: int, query_id: str, query_vec: str, probes: int | None,
+              shard: str | None, per_shard: int, block_bytes: int) -> DataFrame:
+    search = _CellSearch(queries, table, per_shard if shard else k, query_id, query_vec, shard, block_bytes)
     hits = search.exact() if probes is None else search.nearest(probes)
-    return _final(hits, query_id, shard, table.ids, k, per_shard)
+    ranked = _final(hits, query_id, shard, table.ids, k, per_shard)
+    carried = set(search.carried)
+    payload = [c for c in table.rows.columns if c not in {table.vec, "_cell", "_dist"}]
+    if carried.issuperset(payload):
+        return ranked.drop("_cell").select(query_id, *payload, "score", "rank")
+    named = table.rows.select(F.col("_cell").alias("_at"), *[F.col(c).alias(f"_id_{c}") for c in table.ids],
+                              *[c for c in payload if c not in carried])
+    same = [F.col(c).eqNullSafe(F.col(f"_id_{c}")) for c in table.ids] + [F.col("_cell") == F.col("_at")]
+    return ranked.join(named, reduce(lambda a, b: a & b, same)).select(query_id, *payload, "score", "rank")
+
+
+def _groups(queries: DataFrame, query_vec: str, rows: int, size: int) -> Iterator[tuple[pa.Table, bool]]:
+    """The queries in groups of about ``rows`` rows and ``size`` bytes at most, and whether a group is the last."""
+    head = queries.limit(rows + 1).toArrow()
+    if head.num_rows <= rows and head.nbytes <= size:
+        yield head, True
+        return
+    queries, dim = _staged(queries, query_vec)
+    most = max(1, min(rows, size // (8 * max(dim, 1))))
+    count = -(-queries.count() // most)
+    grouped = queries.withColumn("_group", F.pmod(F.xxhash64(*queries.columns), F.lit(count)))
+    for number in range(count):
+        yield grouped.where(F.col("_group") == number).drop("_group").toArrow(), number == count - 1
 
 
 def _staged(queries: DataFrame, query_vec: str) -> tuple[DataFrame, int]:
@@ -168,11 +199,6 @@ def _named(hits: pa.Table, query_ids: pa.ChunkedArray, order: list[str], query_i
     return named.select(order)
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Size as Catalyst estimates it; decides how to run a job, never what it returns."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 class _Scan:
     """The search that ships the queries to the corpus; see the head of this module."""
 
@@ -187,8 +213,8 @@ class _Scan:
         # corpus has very many tasks.
         self.merge_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def hits(self, floor: np.ndarray | None = None, stride: int = 1) -> DataFrame:
-        """The best rows each task has seen; with a stride, of every so many tasks only."""
+    def hits(self, floor: np.ndarray | None = None) -> DataFrame:
+        """The best rows each task has seen, none below ``floor``."""
         query_id, query_vec, vec = self.query_id, self.query_vec, self.vec
         k, metric, ids, shipped, merge_parts = self.k, self.metric, self.ids, self.shipped, self.merge_parts
         part_field = ST.StructField("_part", ST.IntegerType())
@@ -199,8 +225,6 @@ class _Scan:
             from pyspark import TaskContext
 
             task = TaskContext.get().partitionId()
-            if task % stride:
-                return
             table = shipped.value
             winners = Winners(_query_vectors(table, query_vec), k, metric, ids, floor)
             for batch in batches:
@@ -212,16 +236,20 @@ class _Scan:
 
         return self.corpus.mapInArrow(run, schema)
 
-    def floor(self, stride: int) -> np.ndarray:
-        """Per query the k-th score among the rows of one task in ``stride``.
+    def floor(self, rows: int) -> np.ndarray:
+        """Per query the k-th score among the first ``rows`` rows of the corpus, or none.
 
         The k-th score of any part of the corpus is one the whole reaches, so
-        rows below it cannot be results.
+        rows below it cannot be results.  Only the partitions that hold these
+        rows are read.
         """
-        part = _merge(self.hits(stride=stride).drop("_part"), [self.query_id], self.ids, self.k)
-        kth = part.groupBy(self.query_id).agg(F.count("*").alias("n"), F.min("_score").alias("kth"))
-        reached = {row[0]: row.kth for row in kth.where(F.col("n") >= self.k).collect()}  # one row per query
-        return np.array([reached.get(q, -np.inf) for q in self.few.column(self.query_id).to_pylist()])
+        winners = Winners(_query_vectors(self.few, self.query_vec), self.k, self.metric, [])
+        head = self.corpus.select(self.vec).limit(rows).collect() if rows and self.few.num_rows else []
+        if head:
+            kind = pa.list_(pa.float64())
+            winners.offer(pa.table({self.vec: pa.array([row[0] for row in head], kind), "_n": pa.array(range(len(head)))}), self.vec)
+            winners.result()
+        return winners.floor
 
 
 def _arrow_field(table: pa.Table, name: str) -> ST.StructField:
@@ -234,18 +262,18 @@ class _CellSearch:
     """One search in a split corpus; see the head of this module."""
 
     def __init__(self, queries: DataFrame, table: CellTable, k: int, query_id: str, query_vec: str,
-                 block_rows: int, group_rows: int):
-        self.queries, self.table, self.k = queries, table, k
-        self.query_id, self.query_vec, self.group_rows = query_id, query_vec, group_rows
-        self.blocks = np.maximum(-(-table.counts // block_rows), 1)
+                 shard: str | None, block_bytes: int):
+        self.queries = queries.withColumn("_floor", F.lit(float("-inf")))
+        self.table, self.k, self.query_id, self.query_vec = table, k, query_id, query_vec
+        self.carried = list(dict.fromkeys(table.ids + ([shard] if shard else [])))
+        self.most = max(1, block_bytes // (8 * max(table.geometry.dim, 1)))  # vectors of a block, queries of a group
+        self.blocks = np.maximum(-(-table.counts // self.most), 1)
 
     def _visits(self, queries: DataFrame, choose) -> DataFrame:
         """The cells every query has to visit; ``choose`` gives their mask for a batch."""
         geometry, pivots, name = self.table.geometry, self.table.pivots, self.query_vec
-        id_field, vec_field = self.queries.schema.fields
-        cells_field = ST.StructField("_cells", ST.ArrayType(ST.IntegerType()))
-        schema = ST.StructType([id_field, vec_field, cells_field])
-        order = [id_field.name, vec_field.name]
+        schema = ST.StructType(self.queries.schema.fields + [ST.StructField("_cells", ST.ArrayType(ST.IntegerType()))])
+        order = self.queries.columns
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -266,7 +294,7 @@ class _CellSearch:
         table = self.table
         visits = stage(visits, "search-visits").withColumn("_cell", F.explode("_cells")).drop("_cells")
         asked = {row._cell: row["count"] for row in visits.groupBy("_cell").count().collect()}  # one row per cell
-        groups = [max(1, -(-asked.get(cell, 0) // self.group_rows)) for cell in range(len(self.blocks))]
+        groups = [max(1, -(-asked.get(cell, 0) // self.most)) for cell in range(len(self.blocks))]
 
         def per_cell(counts) -> Column:
             return F.element_at(F.array(*[F.lit(int(n)) for n in counts] or [F.lit(1)]), F.col("_cell") + 1)
@@ -279,28 +307,28 @@ class _CellSearch:
 
         blocks, groups = per_cell(self.blocks), per_cell(groups)
         left = (
-            table.rows.where(F.col("_cell").isin(list(asked)))
+            table.rows.select(*self.carried, table.vec, "_cell").where(F.col("_cell").isin(list(asked)))
             .withColumn("_block", any_of(blocks, *table.ids))
             .withColumn("_group", all_of(groups))
-            .drop("_dist")
         )
         right = visits.withColumn("_block", all_of(blocks)).withColumn("_group", any_of(groups, self.query_id))
         key = ["_cell", "_block", "_group"]
         k, metric, ids, vec = self.k, table.geometry.metric, table.ids, table.vec
         query_id, query_vec = self.query_id, self.query_vec
-        schema = _hit_schema(table.rows.drop("_cell", "_dist"), vec, self.queries.schema.fields[0], [])
+        schema = _hit_schema(table.rows.select(*self.carried, "_cell"), vec, self.queries.schema.fields[0], [])
         order = [f.name for f in schema.fields]
 
         def meet(rows: pa.Table, asked: pa.Table) -> pa.Table:
             hits = None
             if rows.num_rows and asked.num_rows:
-                winners = Winners(_query_vectors(asked, query_vec), k, metric, ids)
-                block = rows.drop_columns(key)
+                floor = asked.column("_floor").to_numpy()
+                winners = Winners(_query_vectors(asked, query_vec), k, metric, ids, floor)
+                block = rows.drop_columns(["_block", "_group"])
                 for at in range(0, block.num_rows, 10_000):
                     winners.offer(block.slice(at, 10_000), vec)
                 hits = winners.result()
             if hits is None:
-                return rows.slice(0, 0).drop_columns(key + [vec]).append_column(
+                return rows.slice(0, 0).drop_columns(["_block", "_group", vec]).append_column(
                     query_id, asked.column(query_id).slice(0, 0)
                 ).append_column("_score", pa.array([], pa.float64())).select(order)
             return _named(hits, asked.column(query_id), order, query_id)
@@ -331,11 +359,12 @@ class _CellSearch:
             F.count("*").alias("_found"), F.min("_score").alias("_kth")
         )
         bounded = self.queries.join(reached, self.query_id, "left").select(
-            *self.queries.columns,
-            F.when(F.col("_found") >= k, F.col("_kth") / GRID).otherwise(F.lit(float("-inf"))).alias("_kth"),
+            self.query_id, self.query_vec,
+            F.when(F.col("_found") >= k, F.col("_kth")).otherwise(F.lit(float("-inf"))).alias("_floor"),
         )
+
         def rest(points, part, pivots):
-            kth = part.column("_kth").to_numpy()
+            kth = part.column("_floor").to_numpy() / GRID
             bound = geometry.upper_bounds(points, pivots, radius)
             return (bound >= kth[:, None]) & (counts > 0)[None, :] & ~first(points, part, pivots)
 

@@ -5,8 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from corpuscle.operators.cells import build_cells
-from corpuscle.operators.search import _Scan, top_k, top_k_in_cells, top_k_single
+from corpuscle.operators.cells import build_cells, temporary_cells
+from corpuscle.operators.search import _CellSearch, _Scan, top_k, top_k_in_cells, top_k_single
 
 DIM = 8
 
@@ -59,15 +59,17 @@ def check(got, want):
 
 FORMS = {
     "scan": {},
-    "scan_with_floor": {"floor_bytes": 0, "floor_stride": 2},
-    "cells": {"scan_queries": 0, "cells": 7, "block_rows": 25, "group_rows": 6},
-    "one_cell": {"scan_queries": 0, "cells": 1, "block_rows": 10_000},
+    "scan_without_floor": {"floor_rows": 0},
+    "scan_in_groups": {"group_queries": 3},
+    "cells": {"form": "cells", "cells": 7, "block_bytes": 25 * 8 * DIM},
+    "one_cell": {"form": "cells", "cells": 1},
+    "derived_cells": {"form": "cells"},
 }
 
 
 @pytest.mark.parametrize(
     "form,metric",
-    [(f, m) for f in ("scan", "scan_with_floor", "cells") for m in ("cosine", "euclidean", "dot")] + [("one_cell", "cosine")],
+    [(f, m) for f in ("scan", "scan_without_floor", "scan_in_groups", "cells") for m in ("cosine", "euclidean", "dot")] + [("one_cell", "cosine")],
 )
 def test_exact_search_equals_brute_force(spark, metric, form):
     corpus, queries = make_corpus(1, 240), make_corpus(2, 25)
@@ -146,8 +148,52 @@ def test_floor_lets_tasks_emit_less(spark):
     few = frame(spark, queries, "qid", "query_vec").toArrow()
     rows = frame(spark, corpus, "id", "vec").repartition(20)
     scan = _Scan(few, rows, 5, "qid", "query_vec", ["id"], "vec", "cosine")
-    floor = scan.floor(4)
+    floor = scan.floor(400)
     assert np.isfinite(floor).all() and scan.hits(floor).count() < scan.hits().count() / 2
+    assert not np.isfinite(scan.floor(0)).any() and not np.isfinite(scan.floor(3)).any()
+
+
+def test_late_visits_emit_only_what_reaches_the_kth_score_and_no_text(spark):
+    corpus, queries = make_corpus(19, 900), make_corpus(20, 30)
+    rows = frame(spark, corpus, "id", "vec").withColumn("text", F.lit("x" * 100))
+    asked = frame(spark, queries, "qid", "query_vec")
+    table = temporary_cells(rows, ["id"], "vec", "cosine", 12, DIM, apart=True)
+    search = _CellSearch(asked, table, 5, "qid", "query_vec", None, 1 << 20)
+    hits = search.exact()
+    assert "text" not in hits.columns
+    kth = brute(queries, corpus, 5, "cosine").groupby("qid").score.min()
+    late = hits.toPandas().groupby("qid").apply(lambda g: g.sort_values("_score", ascending=False).iloc[5:], include_groups=False)
+    early = hits.toPandas().groupby("qid")["_score"].nlargest(5)
+    assert len(early) == 150 and len(late) < 150
+    everything = top_k(asked, rows, 5, "qid", ["id"], form="cells", cells=12)
+    assert everything.columns == ["qid", "id", "text", "score", "rank"] and {r.text for r in everything.collect()} == {"x" * 100}
+    assert (collected(everything).groupby("qid").score.min() - kth).abs().max() < 3e-9
+
+
+@pytest.mark.parametrize("form", FORMS)
+@pytest.mark.parametrize("metric", ["cosine", "cosine_strict", "euclidean", "dot"])
+def test_vectors_that_are_not_finite_take_no_part(spark, form, metric):
+    corpus, queries = make_corpus(21, 200), make_corpus(22, 6)
+    bad = {3: float("nan"), 40: float("inf"), 77: float("-inf"), 100: None, 101: float("nan"), 150: None}
+    rows = [(i, [None if bad[i] is None else bad[i] if j == 2 else float(x) for j, x in enumerate(v)] if i in bad else v.tolist())
+            for i, v in enumerate(corpus)]
+    rows[150] = (150, [*corpus[150].tolist()[:-1], None])
+    asked = [(i, v.tolist()) for i, v in enumerate(queries)] + [(6, [float("nan")] * DIM), (7, [None] * DIM)]
+    hits = top_k(spark.createDataFrame(asked, "qid long, query_vec array<float>"),
+                 spark.createDataFrame(rows, "id long, vec array<float>").repartition(3), 9, "qid", ["id"], metric=metric, **FORMS[form])
+    good = [i for i in range(200) if i not in bad]
+    want = brute(queries, corpus[good], 9, metric)
+    want["id"] = [good[i] for i in want.id]
+    check(collected(hits), want)
+
+
+def test_overflowing_and_wrong_length_vectors_agree_in_all_forms(spark):
+    rows = [(i, [1e200 * (i % 3), 1.0, float(i)]) for i in range(60)] + [(60, [1.0]), (61, []), (62, [1.0, 2.0, 3.0, 4.0])]
+    corpus = spark.createDataFrame(rows, "id long, vec array<double>").repartition(3)
+    asked = spark.createDataFrame([(0, [1.0, 1.0, 1.0]), (1, [0.0, 0.0, -1.0])], "qid long, query_vec array<double>")
+    for metric in ("cosine", "cosine_strict", "dot"):
+        found = [collected(top_k(asked, corpus, 8, "qid", ["id"], metric=metric, **options)).values.tolist() for options in FORMS.values()]
+        assert all(f == found[0] for f in found) and all(r[2] % 3 == 0 or r[2] >= 60 for r in found[0])
 
 
 def test_single_query_form(spark):
