@@ -6,24 +6,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
+from corpuscle.functions.binding import bind
+
+
+def _cut(text: Column, size: int | Column) -> Column:
+    """The text in pieces of ``size`` code points, the last one shorter; one pass over the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
 
 def fixed_windows(clean: Column, max_chars: int, overlap: int) -> Column:
     """Windows of ``max_chars`` at every multiple of the stride below the length.
 
     The last window may lie fully inside the one before it.  Lengths count
-    code points.
+    code points.  The text is cut once into pieces of one stride, and a window is
+    put together from the pieces it covers, so the work is in proportion to the text.
     """
     if max_chars < 1:
         raise ValueError("max_chars must be at least 1")
     stride = max(max_chars - overlap, 1)
-    n = F.length(clean)
-    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride))
-    return (
-        F.when(n == 0, F.array().cast("array<string>"))
-        .when(n <= max_chars, F.array(clean))
-        .otherwise(F.transform(starts, lambda at: F.substring(clean, at + 1, F.lit(max_chars))))
-    )
+    covered = -(-max_chars // stride)
+
+    def windows(pieces: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(pieces)),
+            lambda at: F.substring(F.array_join(F.slice(pieces, at, F.lit(covered)), ""), F.lit(1), F.lit(max_chars)),
+        )
+
+    def cut(text: Column) -> Column:
+        n = F.length(text)
+        return (
+            F.when(n == 0, F.array().cast("array<string>"))
+            .when(n <= max_chars, F.array(text))
+            .otherwise(bind(_cut(text, stride), windows))
+        )
+
+    return bind(clean, cut)
 
 
 def packed_paragraphs(
@@ -32,34 +49,42 @@ def packed_paragraphs(
     """Pack paragraphs greedily, joined by a newline, into pieces of ``max_len``.
 
     A paragraph longer than ``max_len`` is cut into pieces of its own.  Pieces
-    are sanitised, and those shorter than ``min_len`` dropped.
+    are sanitised, and those shorter than ``min_len`` dropped.  The greedy pass
+    runs over lengths and notes which paragraphs make a piece; texts are joined
+    once, at the end.
     """
     if max_len < 1 or min_len < 1:
         raise ValueError("max_len and min_len must be at least 1")
     paragraphs = F.filter(F.transform(F.split(raw, separator), T.edge_trim), T.has_text)
 
-    def state(open_piece: Column, closed: Column) -> Column:
-        return F.struct(open_piece.alias("open"), closed.alias("closed"))
+    def run(first: Column, count: Column) -> Column:
+        return F.array(F.struct(first.alias("first"), count.alias("count")))
 
-    def wrapped(paragraph: Column) -> Column:
-        last = F.ceil(F.length(paragraph) / max_len).cast("int") - 1
-        return F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.substring(paragraph, i * max_len + 1, F.lit(max_len)),
-        )
+    def state(at: Column, first: Column, length: Column, closed: Column) -> Column:
+        """Next paragraph, where the open piece starts, its length (0: none open), and the closed pieces."""
+        return F.struct(at.alias("at"), first.alias("first"), length.alias("length"), closed.alias("closed"))
+
+    def close(acc: Column) -> Column:
+        return F.when(acc.length > 0, F.concat(acc.closed, run(acc.first, acc.at - acc.first))).otherwise(acc.closed)
 
-    def take(acc: Column, paragraph: Column) -> Column:
-        grown = F.when(acc.open == "", paragraph).otherwise(F.concat(acc.open, F.lit("\n"), paragraph))
-        closed = F.concat(acc.closed, F.array(acc.open))
+    def take(acc: Column, length: Column) -> Column:
+        after, none = acc.at + 1, F.lit(0)
         return (
-            F.when(F.length(acc.open) + F.length(paragraph) + 1 <= max_len, state(grown, acc.closed))
-            .when(F.length(paragraph) > max_len, state(F.lit(""), F.concat(closed, wrapped(paragraph))))
-            .otherwise(state(paragraph, closed))
+            F.when((acc.length > 0) & (acc.length + length + 1 <= max_len),
+                   state(after, acc.first, acc.length + length + 1, acc.closed))
+            .when(length > max_len, state(after, acc.at, none, F.concat(close(acc), run(acc.at, none))))
+            .otherwise(state(after, acc.at, length, close(acc)))
         )
 
-    start = state(F.lit(""), F.array().cast("array<string>"))
-    pieces = F.aggregate(paragraphs, start, take, lambda acc: F.concat(acc.closed, F.array(acc.open)))
-    return F.filter(F.transform(pieces, T.sanitize), lambda piece: T.long_enough(piece, min_len))
+    def pieces(texts: Column) -> Column:
+        start = state(F.lit(0), F.lit(0), F.lit(0), F.array().cast("array<struct<first:int,count:int>>"))
+        runs = F.aggregate(F.transform(texts, F.length), start, take, close)
+        return F.flatten(F.transform(runs, lambda r: F.when(
+            r["count"] == 0, _cut(F.get(texts, r.first), max_len)
+        ).otherwise(F.array(F.array_join(F.slice(texts, r.first + 1, r["count"]), "\n")))))
+
+    cleaned = F.transform(bind(paragraphs, pieces), T.sanitize)
+    return F.filter(cleaned, lambda piece: T.long_enough(piece, min_len))
 
 
 def chunk(docs: DataFrame, text: str = "text", max_chars: int = 1000, overlap: int = 200) -> DataFrame:

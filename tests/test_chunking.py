@@ -80,3 +80,28 @@ def test_paragraph_packing_against_plain_loop(spark):
     )
     got = {r.id: r.c for r in rows.collect()}
     assert [got.get(i, []) for i in range(len(texts))] == [expected(t) for t in texts]
+
+
+def test_one_long_document_takes_time_in_proportion(spark):
+    text = "word é " * 600_000  # the form that walked from the start for every window took minutes
+    cleaned = text.strip()
+    rows = spark.createDataFrame([(text,)], "text string")
+    got = [r.text for r in chunk(rows, "text", 800, 160).orderBy("chunk_id").collect()]
+    assert got == [cleaned[i : i + 800] for i in range(0, len(cleaned), 640)]
+
+
+def test_many_short_and_one_long_paragraph(spark):
+    text = "\n\n".join(f"paragraph {i}" for i in range(60_000)) + "\n\n" + "x" * 3_000_000
+    got = packed(spark, text, 1200, 120)
+    assert all(len(c) <= 1200 for c in got) and got[-2500:] == ["x" * 1200] * 2500
+    assert " ".join(got[:-2500]) == " ".join(f"paragraph {i}" for i in range(60_000))
+
+
+@pytest.mark.parametrize("size,overlap", [(7, 0), (7, 3), (7, 6), (7, 9), (1, 0), (3, 1)])
+def test_windows_are_slices_at_each_stride(spark, size, overlap):
+    rng = random.Random(size * 10 + overlap)
+    for n in (1, 6, 7, 8, 20, 63):
+        text = "".join(rng.choice("abé😀") for _ in range(n))
+        step = max(size - overlap, 1)
+        want = [text] if n <= size else [text[i : i + size] for i in range(0, n, step)]
+        assert windows(spark, text, size, overlap) == want
