@@ -213,6 +213,19 @@ def clean_answer(text: Column, refusal: str = REFUSAL) -> Column:
     return edge_trim(F.regexp_replace(without, r"(?m)^(\s*\n){2,}", "\n"))
 
 
+def escape_lines(text: Column) -> Column:
+    """One line: backslashes doubled, line feeds and returns as ``\\n`` and ``\\r``."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_lines(text: Column) -> Column:
+    """What ``escape_lines`` was given."""
+    parts = F.split(text, r"\\\\", -1)  # at doubled backslashes
+    back = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(text.contains("\\"), F.array_join(back, "\\")).otherwise(text)
+
+
 def pack_vector(vec: Column) -> Column:
     """Vector as numbers separated by one space."""
     return F.array_join(vec.cast("array<string>"), " ")

@@ -38,31 +38,27 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def upsert(incoming: DataFrame, path: str, keys: list[str] = VERSION_KEY, few_keys: int = 200_000) -> None:
+def upsert(incoming: DataFrame, path: str, keys: list[str] = VERSION_KEY) -> None:
     """Create the table at ``path`` or append the versions it does not hold yet.
 
     An insert-only merge never rewrites rows, so appending is all there is to
     do.  Running it again after a failure adds only what is still missing.  One
     writer at a time.
 
-    First the keys alone are compared, so texts are not shuffled to find out
-    that nothing changed.  Up to ``few_keys`` new keys are then shipped to the
-    scan of the incoming rows; beyond that the rows are joined as a whole.
+    The incoming rows are worked out once and written to the shared folder.  Keys
+    alone are compared with the table; the new ones then pick the rows to append, so
+    no text is shuffled to find out that nothing changed.
     """
     spark = incoming.sparkSession
     if not table_exists(spark, path):
         incoming.write.mode("overwrite").parquet(path)
         return
     existing = spark.read.parquet(path)
-    new_keys = stage(unmatched(incoming.select(*keys), existing, keys).distinct(), "new-keys")
-    found = new_keys.count()
-    if not found:
+    staged = stage(incoming, "incoming")
+    new_keys = stage(unmatched(staged.select(*keys), existing, keys).distinct(), "new-keys")
+    if new_keys.isEmpty():
         return
-    if found <= few_keys:
-        named = new_keys.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
-        # A null key is new by definition and must find itself again.
-        same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
-        new_rows = incoming.join(F.broadcast(named), same, "left_semi")
-    else:
-        new_rows = unmatched(incoming, existing, keys)
-    new_rows.write.mode("append").parquet(path)
+    named = new_keys.select(*[F.col(key).alias(f"_new_{key}") for key in keys])
+    # A null key is new by definition and must find itself again.
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
+    staged.join(named, same, "left_semi").write.mode("append").parquet(path)

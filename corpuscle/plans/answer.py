@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from corpuscle.functions import text as T
 from corpuscle.functions.binding import bind
 from corpuscle.operators.embed import Embedder, embed_column
-from corpuscle.operators.search import top_k
+from corpuscle.operators.search import top_k, top_k_in_cells
+from corpuscle.plans.index import answerable
+from corpuscle.sources.records import current_build
 
 
 def retrieve(
@@ -29,18 +31,35 @@ def retrieve(
     angle instead.
     Chunks without text are left out, missing ids named.
     """
-    asked = embed_column(questions.select("question_id", "question"), make_embedder, "question", "query_vec")
-    usable = index.where(T.has_text(F.coalesce("text", F.lit("")))).select(
-        "shard",
-        F.coalesce("doc_id", F.lit("unknown.pdf")).alias("doc_id"),
-        # The id decides between equal scores, so it stays a number next to its printed form.
-        F.coalesce("chunk_id", F.lit(-1)).alias("chunk_order"),
-        F.coalesce(F.col("chunk_id").cast("string"), F.lit("?")).alias("chunk_id"),
-        "text",
-        "vec",
-    )
-    hits = top_k(asked, usable, k, "question_id", ["doc_id", "chunk_order"], metric=metric,
+    asked = _asked(questions, make_embedder)
+    hits = top_k(asked, answerable(index), k, "question_id", ["doc_id", "chunk_order"], metric=metric,
                  shard="shard", fetch=fetch, **search)
+    return _labelled(hits)
+
+
+def retrieve_from(
+    questions: DataFrame,
+    path: str,
+    k: int = 8,
+    fetch: int = 8,
+    make_embedder: Callable[[], Embedder] | None = None,
+    probes: int | None = None,
+) -> DataFrame:
+    """As ``retrieve``, from the cells of the index ``build_index`` has written to ``path``.
+
+    Only visited cells are read: the ``probes`` nearest of each question, or without
+    ``probes`` as many as it takes to be exact.
+    """
+    asked = _asked(questions, make_embedder)
+    cells = f"{current_build(questions.sparkSession, path)}/cells"
+    return _labelled(top_k_in_cells(asked, cells, k, "question_id", probes=probes, shard="shard", fetch=fetch))
+
+
+def _asked(questions: DataFrame, make_embedder: Callable[[], Embedder] | None) -> DataFrame:
+    return embed_column(questions.select("question_id", "question"), make_embedder, "question", "query_vec")
+
+
+def _labelled(hits: DataFrame) -> DataFrame:
     return hits.select(
         "question_id", "rank", "doc_id", "chunk_id",
         T.hit_label(F.col("doc_id"), F.col("chunk_id")).alias("label"), "score", "text",

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import hashing as H
 from corpuscle.functions import text as T
+from corpuscle.operators.cells import build_cells
 from corpuscle.operators.chunking import chunk, chunk_by_paragraph
 from corpuscle.operators.embed import Embedder, embed_column
 from corpuscle.sources.records import docs_table
-from corpuscle.sources.sinks import write_csv_index, write_json_chunks, write_sharded_index
+from corpuscle.sources.sinks import publish_build, write_build, write_csv_index, write_json_chunks
 
 MakeEmbedder = Callable[[], Embedder]
 
@@ -24,6 +25,7 @@ def index_rows(
     max_chars: int = 800,
     overlap: int = 160,
     batch: int = 16,
+    **embedding,
 ) -> DataFrame:
     """Index records ``shard, doc_id, chunk_id, text, vec`` of a docs table.
 
@@ -31,16 +33,61 @@ def index_rows(
     document, before the document is cut.
     """
     placed = docs.select(F.col("docId").alias("doc_id"), "text", H.shard_of(F.col("docId"), shards).alias("shard"))
-    embedded = embed_column(chunk(placed, "text", max_chars, overlap), make_embedder, batch=batch)
+    embedded = embed_column(chunk(placed, "text", max_chars, overlap), make_embedder, batch=batch, **embedding)
     return embedded.select("shard", "doc_id", "chunk_id", "text", "vec", "embed_error")
 
 
+class TooManyFailures(RuntimeError):
+    """More texts than allowed got no vector; nothing was published."""
+
+
+def _counts(rows: DataFrame, vec: str) -> tuple[DataFrame, Observation]:
+    """Rows that count themselves as they are written."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("prepared"), F.count(vec).alias("embedded")), seen
+
+
+def _checked(seen: Observation, max_failed: float) -> dict[str, int]:
+    counts = {"prepared": seen.get["prepared"], "embedded": seen.get["embedded"]}
+    counts["failed"] = counts["prepared"] - counts["embedded"]
+    if counts["failed"] > max_failed * counts["prepared"]:
+        raise TooManyFailures(f"{counts['failed']} of {counts['prepared']} texts got no vector")
+    return counts
+
+
 def build_index(
-    spark: SparkSession, table: str, path: str, shards: int, make_embedder: MakeEmbedder | None = None, **chunking
-) -> None:
-    """Write the sharded index of the docs table; texts without a vector stay out of it."""
-    rows = index_rows(docs_table(spark, table), shards, make_embedder, **chunking)
-    write_sharded_index(rows.where(F.col("vec").isNotNull()).drop("embed_error"), path)
+    spark: SparkSession, table: str, path: str, shards: int, make_embedder: MakeEmbedder | None = None,
+    max_failed: float = 0.1, metric: str | None = None, cells: int | None = None, **options,
+) -> dict[str, int]:
+    """Write the sharded index of the docs table; returns texts prepared, embedded and failed.
+
+    Texts without a vector stay out.  If they are more than the share ``max_failed``
+    of all, ``TooManyFailures`` is raised and readers keep the index that was there, as
+    they do until the new one is complete.  With ``metric`` the index is also split into
+    cells for that metric, and ``answer.retrieve_from`` then reads only the cells near
+    a question.
+    """
+    rows, seen = _counts(index_rows(docs_table(spark, table), shards, make_embedder, **options), "vec")
+    build = write_build(rows.where(F.col("vec").isNotNull()).drop("embed_error"), path)
+    counts = _checked(seen, max_failed)
+    if metric is not None:
+        written = spark.read.parquet(f"{path}/{build}/rows")
+        build_cells(answerable(written), f"{path}/{build}/cells", ["doc_id", "chunk_order"], metric=metric, cells=cells)
+    publish_build(spark, path, build)
+    return counts
+
+
+def answerable(index: DataFrame) -> DataFrame:
+    """Index rows as retrieval takes them: those with text, missing ids named."""
+    return index.where(T.has_text(F.coalesce("text", F.lit("")))).select(
+        "shard",
+        F.coalesce("doc_id", F.lit("unknown.pdf")).alias("doc_id"),
+        # The id decides between equal scores, so it stays a number next to its printed form.
+        F.coalesce("chunk_id", F.lit(-1)).alias("chunk_order"),
+        F.coalesce(F.col("chunk_id").cast("string"), F.lit("?")).alias("chunk_id"),
+        "text",
+        "vec",
+    )
 
 
 def chunk_records(
@@ -69,23 +116,32 @@ def chunk_records(
     )
 
 
-def export_chunks(files: DataFrame, path: str, make_embedder: MakeEmbedder | None = None, **options) -> None:
-    records = chunk_records(files, make_embedder, **options)
+def export_chunks(
+    files: DataFrame, path: str, make_embedder: MakeEmbedder | None = None, max_failed: float = 0.1, **options
+) -> dict[str, int]:
+    """Write chunk records as JSON lines; counts and limit as in ``build_index``."""
+    records, seen = _counts(chunk_records(files, make_embedder, **options), "embedding")
     write_json_chunks(records.where(F.col("embedding").isNotNull()), path)
+    return _checked(seen, max_failed)
 
 
 def csv_index_rows(
     docs: DataFrame, make_embedder: MakeEmbedder | None = None, max_chars: int = 800, overlap: int = 160, batch: int = 8
 ) -> DataFrame:
-    """Rows of the CSV vector index of ``doc`` and ``text`` columns."""
+    """Rows of the CSV vector index of ``doc`` and ``text`` columns; ``vec`` is null where the model failed."""
     embedded = embed_column(chunk(docs.select("doc", "text"), "text", max_chars, overlap), make_embedder, batch=batch)
-    return embedded.where(F.col("vec").isNotNull()).select(
+    return embedded.select(
         "doc", F.col("chunk_id").cast("int").alias("chunk_idx"), F.length("text").alias("chars"), "vec"
     )
 
 
-def export_csv_index(docs: DataFrame, path: str, make_embedder: MakeEmbedder | None = None, **options) -> None:
-    write_csv_index(csv_index_rows(docs, make_embedder, **options), path)
+def export_csv_index(
+    docs: DataFrame, path: str, make_embedder: MakeEmbedder | None = None, max_failed: float = 0.1, **options
+) -> dict[str, int]:
+    """Write the CSV vector index; counts and limit as in ``build_index``."""
+    rows, seen = _counts(csv_index_rows(docs, make_embedder, **options), "vec")
+    write_csv_index(rows.where(F.col("vec").isNotNull()), path)
+    return _checked(seen, max_failed)
 
 
 def postings(chunks: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_fresh: dict[str, list[str]] = {}  # paths given out, by application
 
 
 def local_session(cores: int | str = "*", partitions: int = 8) -> SparkSession:
@@ -61,7 +62,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark)}/corpuscle/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/corpuscle/{name}-{uuid.uuid4().hex}"
+    _fresh.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,19 +72,32 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage in a way that survives lost executors, keeps the columns
     prunable and makes every later pass see the same rows.  Results read the
-    staged tables when they are used, so these stay until the folder is cleaned
-    out, as checkpoints do.
+    staged tables when they are used, so these stay until ``discard_staged``.
     """
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rebalance a scan that has fewer splits than the session has cores.
+def discard_staged(spark: SparkSession) -> int:
+    """Delete what this application has put below the shared folder; returns how many folders went.
 
-    A table of many files passes through unchanged.  Call it on plain scans
-    only, where the split count is known without running a job.
+    Call it when the results that read them have been written or collected.
+    """
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    gone = 0
+    for path in _fresh.pop(context.applicationId, []):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True))
+    return gone
+
+
+def spread(scan: DataFrame, few: int = 8) -> DataFrame:
+    """Rebalance a scan of fewer splits than ``few`` and than the session has cores.
+
+    Only small tables are, those of a few files; others pass through unchanged,
+    however many cores there are.  Call it on plain scans only, where the split
+    count is known without running a job.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < min(cores, few) else scan

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +13,18 @@ from corpuscle.functions import text as T
 BYTE_ORDER_MARK = "﻿"
 
 
-def binary_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def binary_files(spark: SparkSession, paths: str | list[str], glob: str | None = None) -> DataFrame:
     """One row per file below ``paths``: path, modificationTime, length, content.
 
-    Takes any URI the session's Hadoop file systems know.
+    Takes any URI the session's Hadoop file systems know.  With ``glob`` only files
+    whose name matches are listed; the others are never opened.
     """
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return (reader.option("pathGlobFilter", glob) if glob else reader).load(paths)
+
+
+# Suffixes in either case: a Hadoop glob has no flag for that.
+DOCUMENT_GLOB = "*.{[pP][dD][fF],[tT][xX][tT]}"
 
 
 def document_files(spark: SparkSession, root: str) -> DataFrame:
@@ -25,10 +32,14 @@ def document_files(spark: SparkSession, root: str) -> DataFrame:
 
     ``root`` may also be one file; that is taken whatever its name.
     """
-    files = binary_files(spark, root)
-    folder = F.lit(root.rstrip("/"))
-    itself = F.regexp_replace("path", "^[a-z0-9]+:/*", "/") == F.regexp_replace(folder, "^[a-z0-9]+:/*", "/")
-    return files.where(F.lower("path").rlike(r"\.(pdf|txt)$") | itself)
+
+    def plain(path: str) -> str:
+        return re.sub("^[a-z0-9]+:/*", "/", path).rstrip("/")
+
+    first = binary_files(spark, root).select("path").first()  # no content is read for it
+    if first is not None and plain(first.path) == plain(root):
+        return binary_files(spark, root)
+    return binary_files(spark, root, DOCUMENT_GLOB)
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
 from corpuscle.sources.files import lines
+from corpuscle.sources.sinks import BUILDS
 
 # Ids and texts are read as variants first: a number in their place is a broken record.
 CHUNK_RECORD = "id variant, source string, text variant, embedding array<double>"
@@ -20,17 +21,18 @@ def _json_chunks(spark: SparkSession, path: str) -> DataFrame:
     def is_string(field: str):
         return F.coalesce(F.schema_of_variant(field) == "STRING", F.lit(False))
 
+    whole = F.coalesce(F.forall("embedding", lambda x: x.isNotNull()), F.lit(False))
     return parsed.select(
         F.try_variant_get("id", "$", "string").alias("id"),
         "source",
         F.try_variant_get("text", "$", "string").alias("text"),
         "embedding",
-        (is_string("id") & is_string("text") & F.col("embedding").isNotNull()).alias("usable"),
+        (is_string("id") & is_string("text") & whole).alias("usable"),
     )
 
 
 def json_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """Chunk records; lines that are blank, malformed or lack a required field are left out."""
+    """Chunk records; lines that are blank, malformed, lack a required field or have a gap in the vector are left out."""
     return _json_chunks(spark, path).where("usable").drop("usable")
 
 
@@ -44,8 +46,8 @@ def json_chunk_counts(spark: SparkSession, path: str) -> DataFrame:
 def csv_index(spark: SparkSession, path: str) -> DataFrame:
     """CSV vector index: doc, chunk_idx (-1 if no number), chars (0 if none), vec.
 
-    Rows without exactly four fields are left out; so are the parts of a vector
-    that are no numbers.
+    Rows of fewer than four fields are left out; what follows a fourth comma belongs
+    to the vector, of which the parts that are no numbers are left out.
     """
     rows = (
         spark.read.schema("doc string, chunk_idx string, chars string, vec string, _bad string")
@@ -54,11 +56,14 @@ def csv_index(spark: SparkSession, path: str) -> DataFrame:
         .option("escape", '"')
         .csv(path)
     )
-    return rows.where(F.col("_bad").isNull() & F.col("vec").isNotNull()).select(
-        "doc",
+    # A row is marked when its number of fields is not four.  Beyond four the vector goes to the line's end.
+    more = F.regexp_extract(F.col("_bad"), r'^(?:"(?:[^"]|"")*"|[^",]*),[^,]*,[^,]*,(.*)$', 1)
+    vec = F.when(F.col("_bad").isNull(), F.col("vec")).otherwise(F.regexp_replace(more, '^"|"$', ""))
+    return rows.where(F.col("vec").isNotNull()).select(
+        T.unescape_lines(F.col("doc")).alias("doc"),
         F.coalesce(F.col("chunk_idx").try_cast("int"), F.lit(-1)).alias("chunk_idx"),
         F.coalesce(F.col("chars").try_cast("int"), F.lit(0)).alias("chars"),
-        T.unpack_vector(F.col("vec")).alias("vec"),
+        T.unpack_vector(vec).alias("vec"),
     )
 
 
@@ -94,9 +99,11 @@ def wide_embeddings(spark: SparkSession, path: str) -> DataFrame:
     if dim < 1:
         raise BadEmbeddingTable(BadEmbeddingTable.NO_DIMENSION, "the header names no dimension")
     # The header of every file drops out with the rows whose fields are no numbers.
-    fields = lines(spark, path).select(F.split("value", ",").alias("f"), "line_at")
-    vec = F.transform(F.slice("f", 2, dim), lambda part: part.try_cast("float"))
-    rows = fields.where(F.size("f") == dim + 1).select(F.col("f")[0].alias("token"), vec.alias("vec"), "line_at")
+    listed = ", ".join(["token string", *(f"d{i} string" for i in range(dim)), "_bad string"])
+    parsed = F.from_csv("value", listed, {"columnNameOfCorruptRecord": "_bad", "escape": '"'}).alias("r")
+    fields = lines(spark, path).select(parsed, "line_at").where("r._bad IS NULL")
+    vec = F.array(*[F.col(f"r.d{i}").try_cast("float") for i in range(dim)])
+    rows = fields.select(T.unescape_lines(F.col("r.token")).alias("token"), vec.alias("vec"), "line_at")
     whole = rows.where(F.forall("vec", lambda value: value.isNotNull()))
     return whole.groupBy("token").agg(F.max_by("vec", "line_at").alias("vec"))
 
@@ -126,10 +133,23 @@ def docs_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("docId", "uri", "text")
 
 
+def current_build(spark: SparkSession, path: str) -> str:
+    """The folder of the last finished build of the index at ``path``."""
+    try:
+        build = spark.read.parquet(f"{path}/{BUILDS}").orderBy(F.desc("at"), "build").first()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise FileNotFoundError(f"no index at {path}") from error
+        raise
+    if build is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return f"{path}/{build.build}"
+
+
 def sharded_index(spark: SparkSession, path: str, shards: list[int] | None = None) -> DataFrame:
     """The index at ``path``; only the directories of ``shards`` are read if given."""
     try:
-        index = spark.read.parquet(path)
+        index = spark.read.parquet(f"{current_build(spark, path)}/rows")
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(f"no shards under {path}") from error

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
@@ -13,8 +15,12 @@ def write_json_chunks(chunks: DataFrame, path: str) -> None:
 
 
 def write_csv_index(chunks: DataFrame, path: str) -> None:
-    """doc, chunk_idx, chars and the vector as numbers separated by spaces."""
-    chunks.select("doc", "chunk_idx", "chars", T.pack_vector(F.col("vec")).alias("vec")).write.option(
+    """doc, chunk_idx, chars and the vector as numbers separated by spaces.
+
+    A line end in ``doc`` is written escaped, so that a row is one line and files
+    can be split; ``records.csv_index`` turns it back.
+    """
+    chunks.select(T.escape_lines(F.col("doc")).alias("doc"), "chunk_idx", "chars", T.pack_vector(F.col("vec")).alias("vec")).write.option(
         "header", True
     ).option("escape", '"').csv(path)
 
@@ -25,23 +31,44 @@ def write_csv(table: DataFrame, path: str) -> None:
 
 
 def write_wide_embeddings(embeddings: DataFrame, path: str, dim: int | None = None) -> None:
-    """``token, d0, ...``; the dimension is looked up when not given."""
+    """``token, d0, ...``; the dimension is looked up when not given.
+
+    Line ends in a token are written escaped, commas and quotes the CSV way.
+    """
     if dim is None:
         low, high = embeddings.agg(F.min(F.size("vec")), F.max(F.size("vec"))).first()
         if low != high:
             raise ValueError(f"vectors of {low} to {high} dimensions do not fit one table")
         dim = high or 0
     columns = [F.col("vec")[i].alias(f"d{i}") for i in range(dim)]
-    embeddings.select("token", *columns).write.option("header", True).csv(path)
+    embeddings.select(T.escape_lines(F.col("token")).alias("token"), *columns).write.option("header", True).option(
+        "escape", '"'
+    ).csv(path)
 
 
-def write_sharded_index(index: DataFrame, path: str) -> None:
-    """One directory per shard, replacing the index that was there.
+BUILDS = "_builds"  # one row per finished build of an index; the last one counts
+
 
-    A shard holds a fixed share of the corpus, so it must not be one task:
-    the rebalance hint splits the rows of a shard into files of even size.
+def write_build(index: DataFrame, path: str) -> str:
+    """Write the rows of an index to a folder of their own below ``path`` and return it.
+
+    One directory per shard.  A shard holds a fixed share of the corpus, so it must not
+    be one task: the rebalance hint splits its rows into files of even size.
     """
-    index.hint("rebalance", "shard").write.mode("overwrite").partitionBy("shard").parquet(path)
+    build = f"build-{uuid.uuid4().hex}"
+    index.hint("rebalance", "shard").write.partitionBy("shard").parquet(f"{path}/{build}/rows")
+    return build
+
+
+def publish_build(spark: SparkSession, path: str, build: str) -> None:
+    """Make a finished build the one that readers see; until then they see the one before."""
+    done = spark.range(1).select(F.lit(build).alias("build"), F.current_timestamp().alias("at"))
+    done.coalesce(1).write.mode("append").parquet(f"{path}/{BUILDS}")
+
+
+def write_sharded_index(index: DataFrame, path: str) -> None:
+    """Build the index beside the one that is there, then put it in its place."""
+    publish_build(index.sparkSession, path, write_build(index, path))
 
 
 def write_job_output(table: DataFrame, path: str) -> None:

@@ -14,7 +14,8 @@ from corpuscle.sources import records, sinks
 from corpuscle.sources.files import lines
 from corpuscle.workload import sql as S
 from corpuscle.workload import tables as D
-from corpuscle.workload.registry import query
+from corpuscle.workload.registry import SQL, query
+from corpuscle.workload.texts import failing_embedder
 
 INDEX_SQL = f"""
     {S.RAW},
@@ -148,3 +149,47 @@ def index_job_output(spark: SparkSession, folder: str) -> DataFrame:
     return lines(spark, path).select(
         part[0].cast("int").alias("shard"), part[1].cast("long").alias("chunks"), part[2].cast("long").alias("chars")
     )
+
+
+def _built(spark: SparkSession, folder: str, **options) -> tuple[str, dict[str, int]]:
+    docs, path = fresh_path(spark, "docs"), fresh_path(spark, "index")
+    D.index_source(spark, folder).write.parquet(docs)
+    return path, index_plan.build_index(spark, docs, path, D.SHARDS, **options)
+
+
+@query(SQL["rag_retrieve"])
+def rag_retrieve_built(spark: SparkSession, folder: str) -> DataFrame:
+    """The index is built once, with cells; questions read the cells they need to be exact."""
+    path, _ = _built(spark, folder, metric="cosine", cells=32)
+    return _shown(answer_plan.retrieve_from(D.questions(spark, folder), path))
+
+
+@query(f"""
+    WITH {INDEX_SQL}
+    SELECT count(*) AS prepared, count_if(length(text) % 7 <> 0)::BIGINT AS embedded,
+           count_if(length(text) % 7 = 0)::BIGINT AS failed,
+           count(DISTINCT doc_id) FILTER (length(text) % 7 <> 0) AS documents
+    FROM chunks
+""")
+def index_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """What the job counts, and documents in the index, when the model fails on known texts."""
+    path, counts = _built(spark, folder, make_embedder=failing_embedder, max_failed=0.9, retries=0)
+    return records.sharded_index(spark, path).agg(F.count_distinct("doc_id").alias("documents")).select(
+        *[F.lit(n).cast("long").alias(name) for name, n in counts.items()], "documents")
+
+
+@query("""
+    SELECT coalesce(CASE WHEN doc_id % 5 > 0 THEN doc_id || '.txt' END, 'unknown.pdf') AS doc_id,
+           coalesce(CASE WHEN doc_id % 3 > 0 THEN doc_id::VARCHAR END, '?') AS chunk_id,
+           coalesce(CASE WHEN doc_id % 3 > 0 THEN doc_id END, -1) AS chunk_order, length(text) AS chars
+    FROM documents WHERE doc_id % 7 > 0 AND text <> ''
+""")
+def index_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Index rows without id, chunk number or text, as retrieval takes them."""
+    number = F.col("doc_id")
+    rows = D.documents(spark, folder, "doc_id", "text").select(
+        F.lit(0).alias("shard"), F.when(number % 5 > 0, F.concat(number.cast("string"), F.lit(".txt"))).alias("doc_id"),
+        F.when(number % 3 > 0, number).alias("chunk_id"), F.when(number % 7 > 0, F.col("text")).otherwise("").alias("text"),
+        F.array(F.lit(1.0)).alias("vec"),
+    )
+    return index_plan.answerable(rows).select("doc_id", "chunk_id", "chunk_order", F.length("text").cast("long").alias("chars"))

@@ -51,8 +51,8 @@ def label_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_files(spark: SparkSession, folder: str) -> str:
-    """One text file per document below a fresh folder, in one folder per source."""
+    """One file per web page below a fresh folder, in eight folders: a fixture of many small files."""
     path = fresh_path(spark, "raw-files")
-    docs = documents(spark, folder, "source", "text")
-    docs.write.partitionBy("source").option("maxRecordsPerFile", 1).text(path)
+    pages = table(spark, folder, "pages").select((F.col("page_id") % 8).alias("part"), F.coalesce("html", F.lit("")).alias("text"))
+    pages.write.partitionBy("part").option("maxRecordsPerFile", 1).text(path)
     return path

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from corpuscle.functions import hashing as H
 from corpuscle.functions import text as T
 from corpuscle.operators.chunking import chunk, chunk_by_paragraph
+from corpuscle.operators.embed import embed_column, hashing_embedder
 from corpuscle.operators.upsert import upsert
 from corpuscle.plans import index as index_plan
 from corpuscle.plans import ingest as ingest_plan
 from corpuscle.plans import stats
 from corpuscle.session import fresh_path
 from corpuscle.sources import files as files_source
-from corpuscle.sources import records
+from corpuscle.sources import records, sinks
 from corpuscle.streaming.ingest import file_stream, ingest_stream
 from corpuscle.workload import sql as S
 from corpuscle.workload import tables as D
-from corpuscle.workload.registry import query
+from corpuscle.workload.registry import SQL, query
 
 
 @query(f"SELECT doc_id, {S.sanitized('text')} AS text FROM documents WHERE length({S.sanitized('text')}) > 0")
@@ -200,11 +201,21 @@ def vocab_topn(spark: SparkSession, folder: str) -> DataFrame:
     return stats.frequent_tokens(D.documents(spark, folder, "text"), 3000)
 
 
-@query(f"WITH {VOCAB_SQL} SELECT token, token_id, freq FROM vocab WHERE token_id < 5000")
-def vocab_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+def _vocabulary_file(spark: SparkSession, folder: str) -> str:
     path = fresh_path(spark, "vocab-csv")
     stats.export_vocabulary(D.documents(spark, folder, "text"), path)
-    return records.top_vocabulary(spark, path, 5000)
+    return path
+
+
+@query(f"WITH {VOCAB_SQL} SELECT token, token_id, freq FROM vocab")
+def vocab_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    return records.vocabulary(spark, _vocabulary_file(spark, folder))
+
+
+@query(f"WITH {VOCAB_SQL} SELECT token, token_id, freq FROM vocab WHERE token_id < 5000")
+def vocab_csv_top(spark: SparkSession, folder: str) -> DataFrame:
+    """The first tokens of the file, as the graph job reads them."""
+    return records.top_vocabulary(spark, _vocabulary_file(spark, folder), 5000)
 
 
 @query(f"WITH {S.RAW} SELECT uri FROM raw")
@@ -227,17 +238,31 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-    SELECT source, {S.sanitized('text')} AS text, sha256({S.sanitized('text')}) AS "contentHash" FROM documents
+    SELECT (page_id % 8)::VARCHAR AS part, {S.sanitized("coalesce(html, '')")} AS text,
+           sha256({S.sanitized("coalesce(html, '')")}) AS "contentHash" FROM pages
 """)
 def decode_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as files, read back as bytes through the path the ingest job takes."""
+    """Pages as files, read back as bytes through the path the ingest job takes."""
     files = files_source.document_files(spark, D.write_files(spark, folder))
     docs = ingest_plan.docs_from_files(files)
-    return docs.select(F.regexp_extract("uri", "source=([^/]+)/", 1).alias("source"), "text", "contentHash")
+    return docs.select(F.regexp_extract("uri", "part=([^/]+)/", 1).alias("part"), "text", "contentHash")
+
+
+@query("""
+    SELECT (page_id % 8)::VARCHAR AS part, count(*) AS files, sum(strlen(coalesce(html, '')) + 1)::BIGINT AS bytes
+    FROM pages GROUP BY 1
+""")
+def bytes_by_uri(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files through a list of URIs with their scheme; the writer ends each with a line feed."""
+    path = D.write_files(spark, folder)
+    scheme = "" if ":" in path.split("/")[0] else "file:"
+    there = files_source.binary_files(spark, [f"{scheme}{path}/part={i}" for i in range(8)])
+    return there.groupBy(F.regexp_extract("path", "part=([^/]+)/", 1).alias("part")).agg(
+        F.count("*").alias("files"), F.sum(F.octet_length("content")).alias("bytes"))
 
 
 @query(f"""
-    SELECT sha256({S.sanitized('text')}) AS "contentHash", count(*) AS files FROM documents GROUP BY 1
+    SELECT sha256({S.sanitized("coalesce(html, '')")}) AS "contentHash", count(*) AS files FROM pages GROUP BY 1
 """)
 def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The same files taken in as a stream, twice: the second run must add nothing."""
@@ -334,10 +359,72 @@ def csv_index_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     {S.dense('documents', 'w', 'doc_id', 's.doc_id')}
 """)
 def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
-    from corpuscle.operators.embed import embed_column
-
     embedded = embed_column(D.documents(spark, folder, "doc_id", "text"))
     vec = F.array_join(F.col("vec").cast("array<int>").cast("array<string>"), " ")
     return embedded.select("doc_id", vec.alias("vec"))
 
 
+
+
+def failing_embedder():
+    """The default model, out of order on every text whose length is a multiple of seven."""
+    model = hashing_embedder()()
+
+    def embed(texts: list[str]):
+        if any(len(text) % 7 == 0 for text in texts):
+            raise RuntimeError("out of order")
+        return model(texts)
+
+    return embed
+
+
+@query("SELECT doc_id, length(text) % 7 = 0 AS failed FROM documents")
+def embed_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """A failing group is embedded text by text; only the texts at fault have no vector, and a reason."""
+    docs = D.documents(spark, folder, "doc_id", "text")
+    rows = embed_column(docs, failing_embedder, retries=1, pause=0.0)
+    reason = F.col("embed_error").eqNullSafe("RuntimeError: out of order")
+    return rows.select("doc_id", (F.col("vec").isNull() & reason).alias("failed")).where(
+        F.col("failed") | F.col("vec").isNotNull())
+
+
+@query(SQL["jsonl_roundtrip"])
+def json_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The chunk records through the job that writes them."""
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
+    path = fresh_path(spark, "chunks-json")
+    index_plan.export_chunks(D.documents(spark, folder, "doc_id", "text").select(name.alias("name"), "text"), path)
+    vec = F.array_join(F.col("embedding").cast("array<int>").cast("array<string>"), " ")
+    return records.json_chunks(spark, path).select("id", "source", "text", vec.alias("vec"))
+
+
+ODD_NAME = "concat('a,\"b\"', chr(10), doc_id, chr(13), '\\n\\', lang, ',')"
+
+
+@query(f"""
+    SELECT {ODD_NAME} AS doc, 7 AS chunk_idx, length(text)::INTEGER AS chars, doc_id::DOUBLE AS first FROM documents
+""")
+def csv_odd_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names with commas, quotes, line ends and backslashes through the CSV index."""
+    path = fresh_path(spark, "odd-csv")
+    rows = D.documents(spark, folder, "doc_id", "lang", "text").select(
+        _odd_name().alias("doc"), F.lit(7).alias("chunk_idx"), F.length("text").alias("chars"),
+        F.array(F.col("doc_id").cast("float"), F.lit(0.5).cast("float")).alias("vec"),
+    )
+    sinks.write_csv_index(rows, path)
+    return records.csv_index(spark, path).select("doc", "chunk_idx", "chars", F.col("vec")[0].cast("double").alias("first"))
+
+
+def _odd_name():
+    return F.concat(F.lit('a,"b"\n'), F.col("doc_id").cast("string"), F.lit("\r\\n\\"), "lang", F.lit(","))
+
+
+@query(f"SELECT {ODD_NAME} AS token, 2 AS dim, doc_id::DOUBLE AS first FROM documents")
+def wide_odd_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """The same names as tokens of a wide embedding table."""
+    path = fresh_path(spark, "odd-wide")
+    rows = D.documents(spark, folder, "doc_id", "lang").select(
+        _odd_name().alias("token"), F.array(F.col("doc_id").cast("float"), F.lit(0.5).cast("float")).alias("vec"))
+    sinks.write_wide_embeddings(rows, path)
+    return records.wide_embeddings(spark, path).select(
+        "token", F.size("vec").alias("dim"), F.col("vec")[0].cast("double").alias("first"))

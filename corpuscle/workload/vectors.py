@@ -14,7 +14,7 @@ from corpuscle.session import fresh_path, stage
 from corpuscle.sources import records, sinks
 from corpuscle.workload import sql as S
 from corpuscle.workload import tables as D
-from corpuscle.workload.registry import query
+from corpuscle.workload.registry import SQL, query
 from corpuscle.workload.texts import VOCAB_SQL
 
 
@@ -312,3 +312,57 @@ def token_neighbors(spark: SparkSession, folder: str) -> DataFrame:
     tokens = stats.frequent_tokens(D.documents(spark, folder, "text"), 3000)
     edges = stats.knn_graph(stage(stats.token_embeddings(tokens), "token-vectors"), 5)
     return edges.withColumn("cosine", V.fixed_point(F.col("cosine")))
+
+
+@query(f"SELECT token, neighbor, cosine FROM ({SQL['token_neighbors']})")
+def neighbors_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The same graph through the files of the job: vocabulary, token vectors, neighbours."""
+    vocabulary, vectors, neighbors = (fresh_path(spark, name) for name in ("vocab-csv", "token-vectors-csv", "neighbors-csv"))
+    stats.export_vocabulary(D.documents(spark, folder, "text"), vocabulary)
+    stats.export_neighbors(spark, vocabulary, vectors, neighbors, top_n=3000, k=5)
+    written = spark.read.schema("token string, neighbor string, cosine double").option("header", True).csv(neighbors)
+    return written.withColumn("cosine", V.fixed_point(F.col("cosine")))
+
+
+@query(f"""
+    SELECT w1 AS a, w2 AS b, NULL::BIGINT AS c, NULL::BIGINT AS predicted, cosine FROM ({SQL['similarity_pairs']})
+    UNION ALL SELECT a, b, c, predicted, cosine FROM ({SQL['analogy']})
+""")
+def evaluation_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Similarity and analogy through the files of the evaluation job."""
+    tokens = D.vectors(spark, folder).withColumnRenamed("vec_id", "token")
+    a = F.col("token")
+    pairs = tokens.select(a.alias("w1"), (a + 1).alias("w2"))
+    triples = tokens.select(a.alias("a"), (a + 1).alias("b"), (a + 2).alias("c"))
+    similarity, analogy = fresh_path(spark, "similarity-csv"), fresh_path(spark, "analogy-csv")
+    stats.evaluate(pairs, triples, tokens, similarity, analogy)
+    none = F.lit(None).cast("long")
+    first = spark.read.schema("w1 long, w2 long, cosine double").option("header", True).csv(similarity).select(
+        F.col("w1").alias("a"), F.col("w2").alias("b"), none.alias("c"), none.alias("predicted"), "cosine")
+    second = spark.read.schema("a long, b long, c long, predicted long, cosine double").option("header", True).csv(analogy)
+    return first.unionByName(second).withColumn("cosine", V.fixed_point(F.col("cosine")))
+
+
+@query("""
+    SELECT n.n::INTEGER AS code, count(*) AS rows FROM embeddings, (VALUES (2), (4), (5), (6)) AS n(n) GROUP BY 1
+""")
+def embedding_table_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables made of the vectors that cannot be used, each refused with its code."""
+    rows = D.vectors(spark, folder).select(F.col("vec_id").cast("string").alias("token"), F.array_join(F.col("vec").cast("array<string>"), " ").alias("d0"))
+    bad = {
+        records.BadEmbeddingTable.MISSING: None,
+        records.BadEmbeddingTable.NO_TOKEN: rows.withColumnRenamed("token", "word"),
+        records.BadEmbeddingTable.NO_DIMENSION: rows.select("token"),
+        records.BadEmbeddingTable.NO_ROWS: rows,  # all numbers in one field
+    }
+    found = []
+    for table in bad.values():
+        path = fresh_path(spark, "bad-embeddings")
+        if table is not None:
+            sinks.write_csv(table, path)
+        try:
+            records.check_embeddings(records.wide_embeddings(spark, path))
+        except records.BadEmbeddingTable as error:
+            found.append(error.code)
+    codes = F.explode(F.array(*[F.lit(code) for code in found]).cast("array<int>"))
+    return rows.select(codes.alias("code")).groupBy("code").agg(F.count("*").alias("rows"))

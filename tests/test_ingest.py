@@ -4,8 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpuscle.operators.upsert import merged_view, upsert
-from corpuscle.plans.index import build_index, chunk_records, index_counters, index_rows, postings, record_shape_of_json
+from corpuscle.plans import answer
+from corpuscle.plans.index import (
+    TooManyFailures, build_index, chunk_records, export_chunks, export_csv_index, index_counters, index_rows, postings,
+    record_shape_of_json,
+)
 from corpuscle.plans.ingest import docs_from_text, ingest
+from corpuscle.session import discard_staged, stage
 from corpuscle.sources.records import sharded_index
 from corpuscle.streaming.ingest import file_stream, ingest_stream
 
@@ -23,15 +28,14 @@ def test_docs_table_columns(spark):
     assert docs_from_text(raw, title_from_raw=True).first().title == "one"
 
 
-@pytest.mark.parametrize("few_keys", [200_000, 0])
-def test_upsert_inserts_only_unknown_versions(spark, tmp_path, few_keys):
+def test_upsert_inserts_only_unknown_versions(spark, tmp_path):
     path = str(tmp_path / "docs")
     first = docs(spark, [("a", "one"), ("b", "two")])
     second = docs(spark, [("a", "one"), ("b", "two changed"), ("c", "three"), ("c", "three ")])
     upsert(first, path)
     assert merged_view(spark.read.parquet(path), second).count() == 5
     for _ in range(2):
-        upsert(second, path, few_keys=few_keys)
+        upsert(second, path)
     rows = spark.read.parquet(path).orderBy("uri", "text").collect()
     assert [(r.uri, r.text) for r in rows] == [("a", "one"), ("b", "two"), ("b", "two changed"), ("c", "three"), ("c", "three")]
 
@@ -41,7 +45,7 @@ def test_upsert_null_keys_never_match(spark, tmp_path):
     row = spark.sql("select 'u' uri, cast(null as string) docId, 'h' contentHash")
     upsert(row, path)
     upsert(row, path)
-    upsert(row, path, few_keys=0)
+    upsert(row, path)
     assert spark.read.parquet(path).count() == 3
 
 
@@ -104,3 +108,65 @@ def test_postings_and_record_shape(spark):
         "value string",
     )
     assert tuple(record_shape_of_json(lines).first()) == (3, 1, 2, 1)
+
+
+def test_every_incoming_row_is_worked_out_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(text):
+        seen.add(1)
+        return text
+
+    rows = spark.createDataFrame([(str(i), f"h{i}", "text") for i in range(20)], "docId string, contentHash string, text string")
+    counting = F.udf(count, "string").asNondeterministic()
+    upsert(rows.where("CAST(docId AS INT) < 12"), path)
+    for _ in range(2):
+        upsert(rows.withColumn("text", counting("text")), path)
+    assert seen.value == 40 and spark.read.parquet(path).count() == 20
+
+
+def failing_model():
+    def failing():
+        def embed(texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("no")
+            return [[1.0, float(len(t))] for t in texts]
+
+        return embed
+
+    return failing
+
+
+def test_jobs_count_and_refuse_too_many_failures(spark, tmp_path):
+    failing = failing_model()
+    docs = spark.createDataFrame([(f"d{i}", f"u{i}", ("bad " if i % 4 == 0 else "good ") * 40) for i in range(20)], "docId string, uri string, text string")
+    table, path = str(tmp_path / "docs"), str(tmp_path / "index")
+    docs.write.parquet(table)
+    with pytest.raises(TooManyFailures):
+        build_index(spark, table, path, 2, failing, retries=0)
+    with pytest.raises(FileNotFoundError):
+        sharded_index(spark, path)
+    assert build_index(spark, table, path, 2, failing, max_failed=0.25, retries=0, metric="cosine") == {"prepared": 20, "embedded": 15, "failed": 5}
+    with pytest.raises(TooManyFailures):
+        build_index(spark, table, path, 2, failing, retries=0)
+    assert sharded_index(spark, path).count() == 15
+
+    asked = spark.createDataFrame([(1, "good " * 30), (2, "good")], "question_id long, question string")
+    exact = answer.retrieve(asked, sharded_index(spark, path), k=4, make_embedder=failing, metric="cosine")
+    near = answer.retrieve_from(asked, path, k=4, make_embedder=failing)
+    assert near.columns == exact.columns and sorted(near.collect()) == sorted(exact.collect())
+    assert answer.retrieve_from(asked, path, k=4, make_embedder=failing, probes=1).count() > 0
+
+    named = docs.selectExpr("uri AS name", "text", "uri AS doc")
+    for export in (export_chunks, export_csv_index):
+        with pytest.raises(TooManyFailures):
+            export(named, str(tmp_path / f"x-{export.__name__}"), failing)
+        assert export(named, str(tmp_path / export.__name__), failing, max_failed=0.5)["failed"] == 5
+
+
+def test_staged_tables_can_be_discarded(spark):
+    staged = stage(spark.range(3), "gone")
+    assert staged.count() == 3 and discard_staged(spark) >= 1 and discard_staged(spark) == 0
+    with pytest.raises(Exception):
+        staged.collect()

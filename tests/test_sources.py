@@ -44,10 +44,11 @@ def test_file_text_uses_the_extractor_for_pdf_only(spark, tmp_path):
 def test_json_chunks_skip_and_count(spark, tmp_path):
     good = '{"id":"a","source":"s","text":"t","embedding":[0.5,1]}'
     path = put(tmp_path / "chunks.jsonl", "\n".join([good, "", "{bad", '{"id":"b","text":"t"}', '{"id":1,"text":"t","embedding":[1]}',
-                                                     '{"id":"c","text":null,"embedding":[1]}']) + "\n")
+                                                     '{"id":"c","text":null,"embedding":[1]}',
+                                                     '{"id":"d","text":"t","embedding":[1.0,null]}']) + "\n")
     rows = records.json_chunks(spark, path).collect()
     assert [(r.id, r.source, r.text, r.embedding) for r in rows] == [("a", "s", "t", [0.5, 1.0])]
-    assert records.json_chunk_counts(spark, path).first() == (1, 5)
+    assert records.json_chunk_counts(spark, path).first() == (1, 6)
 
 
 def test_json_chunks_round_trip(spark, tmp_path):
@@ -132,3 +133,38 @@ def test_table_exists_passes_other_errors_on(spark, tmp_path):
     (tmp_path / "hollow").mkdir()
     with pytest.raises(AnalysisException):
         table_exists(spark, str(tmp_path / "hollow"))
+
+
+ODD = ["a,b", 'q"u"o', "line\nend", "ret\rurn", "back\\n\\\\slash\\", '",\n"', "plain"]
+
+
+def test_odd_names_survive_both_tables(spark, tmp_path):
+    index = spark.createDataFrame([(t, i, 3, [0.5, float(i)]) for i, t in enumerate(ODD)], "doc string, chunk_idx int, chars int, vec array<float>")
+    sinks.write_csv_index(index, str(tmp_path / "index"))
+    assert sorted(records.csv_index(spark, str(tmp_path / "index")).collect(), key=lambda r: r.chunk_idx) == index.collect()
+    wide = index.select(F.col("doc").alias("token"), "vec")
+    sinks.write_wide_embeddings(wide, str(tmp_path / "wide"))
+    back = records.wide_embeddings(spark, str(tmp_path / "wide"))
+    assert {r.token: r.vec for r in back.collect()} == {r.token: r.vec for r in wide.collect()}
+
+
+def test_a_fifth_field_belongs_to_the_vector(spark, tmp_path):
+    path = put(tmp_path / "five.csv", 'doc,chunk_idx,chars,vec\n"a,b.pdf",0,12,"1 2",3 x 4\nb.pdf,1,2,5 6,7\n')
+    assert [(r.doc, r.vec) for r in records.csv_index(spark, path).orderBy("chunk_idx").collect()] == [("a,b.pdf", [1.0, 4.0]), ("b.pdf", [5.0])]
+
+
+def test_suffix_filter_lists_matching_files_only(spark, tmp_path):
+    put(tmp_path / "a.txt", "x")
+    put(tmp_path / "b.mp4", "y" * 1000)
+    found = files.document_files(spark, str(tmp_path))
+    assert len(found.inputFiles()) == 1 and found.select("length").first()[0] == 1
+
+
+def test_a_rebuilt_index_takes_the_place_of_the_old_one(spark, tmp_path):
+    path, df = str(tmp_path / "index"), spark.createDataFrame([(0, "a"), (1, "b")], "shard int, doc_id string")
+    sinks.write_sharded_index(df, path)
+    before = records.sharded_index(spark, path)
+    sinks.write_build(df.where("shard = 0"), path)  # a build that was never finished
+    assert records.sharded_index(spark, path).count() == 2
+    sinks.write_sharded_index(df.where("shard = 1"), path)
+    assert [r.doc_id for r in records.sharded_index(spark, path).collect()] == ["b"] and before.count() == 2
