@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuscle.functions.binding import bind
 from corpuscle.llm.common import without
 
 SEED = "mix-1"
@@ -20,25 +21,33 @@ def _uniform(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
-def _inverse(mean: Column, u: Column) -> Column:
-    """Smallest k whose distribution function exceeds ``u``, for means up to ``PART``."""
-    state = F.aggregate(
-        F.sequence(F.lit(1), F.lit(TERMS)),
-        F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("below"), F.lit(0).alias("n")),
-        lambda s, k: F.struct(
-            (s.p * mean / k).alias("p"), (s.below + s.p * mean / k).alias("below"),
-            (s.n + F.when(s.below <= u, 1).otherwise(0)).alias("n"),
-        ),
-    )
-    return state.n
-
+def distribution(mean: Column) -> Column:
+    """Struct of the number of equal parts a mean is cut into, and the distribution function of one part.
 
-def poisson_count(mean: Column, key: Column) -> Column:
-    """A Poisson number with the given mean, fixed by ``key``; a large mean is a sum of equal parts."""
+    The function is an array from k = 0, as far as it lies below every number
+    ``_uniform`` can exceed; it is worked out once per mean.
+    """
     parts = F.greatest(F.ceil(mean / PART), F.lit(1)).cast("int")
+
+    def steps(part: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(TERMS)),
+            F.struct(F.exp(-part).alias("p"), F.exp(-part).alias("below"), F.array().cast("array<double>").alias("all")),
+            lambda s, k: F.struct(
+                (s.p * part / k).alias("p"), (s.below + s.p * part / k).alias("below"),
+                F.when(s.below <= 1 - 2.0**-52, F.array_append(s["all"], s.below)).otherwise(s["all"]).alias("all"),
+            ),
+            lambda s: s["all"],
+        )
+
+    return F.struct(parts.alias("parts"), bind(mean / parts, steps).alias("below"))
+
+
+def poisson_count(drawn: Column, key: Column) -> Column:
+    """A Poisson number fixed by ``key``: per part the smallest k whose distribution function exceeds a uniform number."""
     return F.aggregate(
-        F.sequence(F.lit(1), parts), F.lit(0),
-        lambda total, i: total + _inverse(mean / parts, _uniform(key, i)),
+        F.sequence(F.lit(1), drawn.parts), F.lit(0),
+        lambda total, i: total + bind(_uniform(key, i), lambda u: F.size(F.filter(drawn.below, lambda b: b <= u))),
     )
 
 
@@ -46,7 +55,7 @@ def mix(
     docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0,
     key: str = "doc_id", source: str = "source", text: str = "text",
 ) -> DataFrame:
-    """``docs`` with every row repeated a Poisson number of times, in a global random order, and ``replica``.
+    """``docs`` with every row repeated a Poisson number of times and shuffled, with ``replica`` and ``order_key``.
 
     The mean of a row is that of its source: weight times ``epochs`` times all characters,
     over the characters of the source, so that a source makes up its weight of the text.
@@ -59,7 +68,9 @@ def mix(
     without a character has a mean of weight times epochs.  An empty table gives no rows.
     Input columns named ``replica`` or ``order_key`` are replaced.  Sizes are combined before
     they are shuffled; the means are broadcast if there are at most ``BROADCAST_SOURCES``
-    sources, else joined.  The rows are shuffled once, by range of ``order_key``.
+    sources, else joined.  The rows are shuffled once, to a task by the hash of their
+    random ``order_key`` and in its order within the task, so that any part of the output
+    is a random sample and sorting by the key gives one order for all.
     """
     rows = without(docs, "replica", "order_key")
     name, chars = F.col(f"`{source}`"), F.char_length(F.coalesce(F.col(f"`{text}`"), F.lit("")))
@@ -73,7 +84,7 @@ def mix(
         for label, weight in weights.items():
             share = F.when(F.col("__s").eqNullSafe(F.lit(label)), float(weight)).otherwise(share)
     mean = F.when(F.col("__n") > 0, share * F.lit(epochs * total) / F.col("__n")).otherwise(share * epochs)
-    means = sizes.select(F.col("__s"), mean.alias("__mean"))
+    means = sizes.select(F.col("__s"), bind(mean, distribution).alias("__mean"))
     if count <= BROADCAST_SOURCES:
         means = F.broadcast(means)
     ident = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
@@ -82,4 +93,4 @@ def mix(
         *[F.col(f"`{c}`") for c in rows.columns], F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("replica"),
     )
     order = F.md5(F.concat_ws("|", F.lit(SEED), F.lit("order"), ident, F.col("replica").cast("string")).cast("binary"))
-    return copies.withColumn("order_key", order).orderBy("order_key")
+    return copies.withColumn("order_key", order).repartition("order_key").sortWithinPartitions("order_key")
