@@ -273,6 +273,16 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).groupBy("contentHash").agg(F.count("*").alias("files"))
 
 
+@query(f"""
+    WITH long AS (SELECT doc_id, repeat(text, 10) AS text FROM documents), {S.chunks('long', 'doc_id', 800, 160)}
+    SELECT doc_id, count(*) AS chunks, sum(length(text))::BIGINT AS chars FROM chunks GROUP BY doc_id
+""")
+def chunks_long(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of documents ten times as long; a document's windows are counted where they are cut."""
+    docs = D.documents(spark, folder, "doc_id", "text").withColumn("text", F.repeat("text", F.lit(10)))
+    return chunk(docs, "text", 800, 160).groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(F.length("text")).alias("chars"))
+
+
 # Fixed value: the refusal sentence, with quotes doubled for SQL.
 REFUSAL_SQL = "I don''t know based on the MSR corpus."
 
