@@ -11,7 +11,8 @@ r += f(l) mod b, with f taken from SHA-256 of key, kind, round and value, which
 permutation for any a and b.
 
 Kinds and their domains: payment cards (13 to 19 digits, Luhn check; all digits but the
-last are permuted and the check digit is set anew), telephone numbers (the digits after
+last are permuted and the check digit is set anew), IBANs (remainder check; up to 18 digits
+of the account are permuted and the check digits set anew), telephone numbers (the digits after
 the country code), IPv4 addresses (2^32), social security numbers (all valid ones),
 dates from 1700-01-01 to 2099-12-31 (all days of that 400-year cycle) as yyyy-mm-dd,
 yyyy/mm/dd, dd.mm.yyyy or mm/dd/yyyy.  Two kinds have no numeric domain: local part and
@@ -51,7 +52,11 @@ PHONE = (
     r"|(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])"
 )
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
-NUMBER = rf"(?=[0-9+(a-fA-F])(?:{SECRET}|{IPV4}|{DATE}|{SSN}|{PHONE}|{CARD})"
+IBAN = (
+    r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[0-9A-Z]{11,30}"
+    r"|(?: [0-9A-Z]{4})(?: (?=[A-Z]{0,3}[0-9])[0-9A-Z]{4}){1,6}(?: [0-9]{1,3})?)(?![0-9A-Za-z])"
+)
+NUMBER = rf"(?=[0-9+(a-fA-Z])(?:{SECRET}|{IBAN}|{IPV4}|{DATE}|{SSN}|{PHONE}|{CARD})"
 
 Rewrite = Callable[[Column], Column]
 
@@ -134,6 +139,33 @@ def _card(value: Column, key: str) -> Column:
     return _let(_digits(value), use)
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder of a number written with letters for 10 to 35."""
+    def add(rest: Column, k: Column) -> Column:
+        value = F.conv(F.substr(text, k, F.lit(1)), 36, 10).cast("int")
+        return (rest * F.when(value > 9, 100).otherwise(10) + value) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(text)), F.lit(0), add)
+
+
+def _iban(value: Column, key: str) -> Column:
+    def use(whole: Column) -> Column:
+        country, account = F.substr(whole, F.lit(1), F.lit(2)), F.substr(whole, F.lit(5))
+        valid = _mod97(F.concat(account, F.substr(whole, F.lit(1), F.lit(4)))) == 1
+
+        def moved(digits: Column) -> Column:
+            kept = F.greatest(F.char_length(digits) - 18, F.lit(0))
+            return _let(F.concat(F.substr(digits, F.lit(1), kept), _permuted_digits(F.substr(digits, kept + 1), key, "iban")), lambda d: _let(
+                F.lpad((98 - _mod97(F.concat(_fill(account, d), country, F.lit("00")))).cast("string"), 2, "0"),
+                lambda check: _fill(value, F.concat(check, d)),
+            ))
+
+        digits = _digits(account)
+        return F.when(valid & (F.char_length(digits) >= 2), _let(digits, moved)).otherwise(value)
+
+    return _let(F.replace(value, F.lit(" "), F.lit("")), use)
+
+
 def _phone(value: Column, key: str) -> Column:
     code = F.when(value.startswith("+1"), 2).when(value.startswith("+"), 3).otherwise(0)
     return _let(F.substr(value, code + 1), lambda rest: F.concat(
@@ -186,7 +218,8 @@ def _secret(value: Column, key: str) -> Column:
 def _number(value: Column, key: str) -> Column:
     """The pseudonym of what ``NUMBER`` has found; a value that fails its check stays."""
     return (
-        F.when(value.rlike("[a-fA-F]"), _secret(value, key))
+        F.when(value.rlike(rf"^{IBAN}$"), _iban(value, key))
+        .when(value.rlike("[a-fA-F]"), _secret(value, key))
         .when(value.rlike(rf"^{IPV4}$"), _ipv4(value, key))
         .when(value.rlike(rf"^{DATE}$"), _date(value, key))
         .when(value.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), _ssn(value, key))

@@ -129,6 +129,10 @@ def luhn(body):
     return (10 - total % 10) % 10
 
 
+def mod97(text):
+    return int("".join(str(int(c, 36)) for c in text)) % 97
+
+
 def fill(layout, digits):
     it = iter(digits)
     return "".join(next(it) if c.isdigit() else c for c in layout)
@@ -145,6 +149,15 @@ def pseudonym(kind, value, key, back=False):
         code = 2 if value.startswith("+1") else 3 if value.startswith("+") else 0
         rest = value[code:]
         return value[:code] + fill(rest, digits_permuted(re.sub(r"\D", "", rest), key, "phone", back))
+    if kind == "iban":
+        whole = value.replace(" ", "")
+        digits = re.sub(r"\D", "", whole[4:])
+        if mod97(whole[4:] + whole[:4]) != 1 or len(digits) < 2:
+            return value
+        kept = max(len(digits) - 18, 0)
+        digits = digits[:kept] + digits_permuted(digits[kept:], key, "iban", back)
+        check = f"{98 - mod97(fill(whole[4:], digits) + whole[:2] + '00'):02d}"
+        return fill(value, check + digits)
     if kind == "ipv4":
         o = list(map(int, value.split(".")))
         x, y = feistel(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, "ipv4", back)
@@ -176,6 +189,7 @@ def pseudonym(kind, value, key, back=False):
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d{2}|[1-9]?\d)"
 FOUND = re.compile(
     r"(?P<lead>(?i:token|secret|key|password)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<secret>[0-9a-f]{16,128}|[0-9A-F]{16,128})(?![0-9A-Za-z])"
+    r"|(?<![0-9A-Za-z])(?P<iban>[A-Z]{2}\d\d(?:[0-9A-Z]{11,30}|(?: [0-9A-Z]{4})(?: (?=[A-Z]{0,3}\d)[0-9A-Z]{4}){1,6}(?: \d{1,3})?))(?![0-9A-Za-z])"
     rf"|(?<![0-9.])(?P<ipv4>(?:{_OCTET}\.){{3}}{_OCTET})(?!\.?[0-9])"
     r"|(?<![0-9])(?P<date>\d{4}-\d\d-\d\d|\d{4}/\d\d/\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![0-9])"
     r"|(?<![0-9-])(?P<ssn>(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4})(?![0-9-])"
@@ -198,7 +212,7 @@ def pseudonymised(text, key):
 
     def number(m):
         nonlocal changed
-        kind = next(k for k in ("secret", "ipv4", "date", "ssn", "phone", "card") if m.group(k))
+        kind = next(k for k in ("secret", "iban", "ipv4", "date", "ssn", "phone", "card") if m.group(k))
         fresh = pseudonym(kind, m.group(kind), key)
         changed += fresh != m.group(kind)
         return (m.group("lead") or "") + fresh

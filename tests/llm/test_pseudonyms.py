@@ -21,6 +21,8 @@ def values():
     out += [("card", " ".join(re.findall("....", card(draw)))), ("card", "-".join(re.findall("....", card(draw))))]
     out += [("phone", f"+1 ({num(3)}) 555-{num(4)}") for _ in range(6)] + [("phone", "+49 30 1234567"), ("phone", "(212) 555-0100"), ("phone", "212-555-0100")]
     out += [("ipv4", ".".join(str(draw.randint(0, 255)) for _ in range(4))) for _ in range(8)]
+    out += [("iban", v) for v in ("DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR14 2004 1010 0505 0001 3M02 606", "ES9121000418450200051332",
+                                  "NO9386011117947", "MT84MALT011000012345MTLCAST001S")]
     out += [("ssn", s) for s in ("001-01-0001", "899-99-9999", "665-12-3456", "667-12-3456", "123-45-6789")]
     out += [("date", d) for d in ("1700-01-01", "2099-12-31", "2024-02-29", "2024/03/01", "29.02.2000", "12/31/1999", "1969-07-20")]
     return out
@@ -44,13 +46,15 @@ def test_values_are_permuted_within_their_format(spark):
         if kind == "card":
             digits = re.sub(r"\D", "", fresh)
             assert brute.luhn(digits[:-1]) == int(digits[-1])
+        if kind == "iban":
+            assert brute.mod97(fresh.replace(" ", "")[4:] + fresh[:4]) == 1
         if kind == "ssn":
             assert re.fullmatch(r"(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}", fresh)
 
 
 @pytest.mark.parametrize("text", [
     None, "", "no data here", "1234567812345678", "version 2.0 and 3.14", "2023-02-30", "1650-01-01", "000-12-3456", "256.1.1.1",
-    "call 555", "123456", "a @ b", "@home", "deadbeefdeadbeef", "1.2.3.4.5", "x" * 50_000, "9" * 5000, "." * 5000 + "@", "a" * 50_000 + "@",
+    "call 555", "123456", "a @ b", "@home", "deadbeefdeadbeef", "1.2.3.4.5", "DE88370400440532013000", "AB12 CDEF GHIJ 1", "x" * 50_000, "9" * 5000, "." * 5000 + "@", "a" * 50_000 + "@",
 ])
 def test_what_is_not_valid_stays(spark, text):
     assert rewritten(spark, [text]) == [(text, 0)]
