@@ -59,7 +59,8 @@ def record_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 def _hits(spark: SparkSession, folder: str, metric: str = "cosine") -> DataFrame:
     index = index_plan.index_rows(D.index_source(spark, folder), D.SHARDS)
-    return answer_plan.retrieve(D.questions(spark, folder), index, metric=metric)
+    # The index is worked out on the way, so no first rows of it are read to set floors.
+    return answer_plan.retrieve(D.questions(spark, folder), index, metric=metric, floor_rows=0)
 
 
 def _guarded(spark: SparkSession, folder: str, **limits) -> DataFrame:
