@@ -134,6 +134,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return marked.join(found, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
+def identity(key: str, text: str) -> Column:
+    """A digest of key and text together."""
+    return F.sha2(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("-")), F.lit("|"),
+                           F.coalesce(F.col(f"`{text}`"), F.lit(""))), 256)
+
+
+def only(docs: DataFrame, kept: DataFrame, row: Column) -> DataFrame:
+    """One row of ``docs`` for each ``__row`` of ``kept``, where ``row`` is its value."""
+    rows = docs.withColumn("__row", row)
+    single = rows.groupBy("__row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return single.join(stage(kept, "kept-rows"), "__row", "left_semi").drop("__row")
+
+
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that with the smallest key.
 
@@ -141,10 +154,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     keys come last.  The texts are shuffled once, by that identity, after copies of a
     row within a task were dropped.
     """
-    identity = F.sha2(F.concat(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("-")), F.lit("|"),
-                               F.coalesce(F.col(f"`{text}`"), F.lit(""))), 256)
+    row = identity(key, text)
     marked = stage(
-        fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), identity.alias("row"))),
+        fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), row.alias("row"))),
         "fingerprints",
     )
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key"), F.col("row"))
@@ -152,6 +164,4 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     roots = stage(connected_components(links(distinct)), "components")
     rooted = distinct.join(roots, distinct.fp == roots.node, "left")
     kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-    rows = docs.withColumn("__row", identity)
-    single = rows.groupBy("__row").agg(*[F.first(F.col(f"`{c}`")).alias(c) for c in docs.columns])
-    return single.join(stage(kept.select(F.col("first.row").alias("__row")), "kept-rows"), "__row", "left_semi").drop("__row")
+    return only(docs, kept.select(F.col("first.row").alias("__row")), row)
