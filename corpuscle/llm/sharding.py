@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuscle.llm.common import without
 from corpuscle.session import stage
 
 LIMIT = 16 * 1024 * 1024
@@ -39,12 +40,16 @@ def assign_shards(
     told apart by 64 more bits from a row number, and so are split like any others.  An
     empty table gives no rows.  Only ``key`` and sizes are read, whatever else there is.
     """
+    return _assigned(df, key, size, limit, F.monotonically_increasing_id()).drop("row").withColumnRenamed("key", key)
+
+
+def _assigned(df: DataFrame, key: str, size: Column | None, limit: int, row: Column) -> DataFrame:
+    """key, n_bytes, shard, depth and ``row``, a number no other row has."""
     size = F.octet_length("text") if size is None else size
     rows = stage(df.select(
-        F.col(f"`{key}`").alias("key"), F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("n_bytes"),
-        F.monotonically_increasing_id().alias("row"),
+        F.col(f"`{key}`").alias("key"), F.coalesce(size.cast("long"), F.lit(0).cast("long")).alias("n_bytes"), row.alias("row"),
     ).select(
-        "key", "n_bytes",
+        "key", "n_bytes", "row",
         F.conv(F.substring(F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")), 1, 16), 16, -10).cast("long").alias("h"),
         F.xxhash64("row").alias("h2"),
     ), "shard-rows")
@@ -62,7 +67,7 @@ def assign_shards(
         done = found.where("depth IS NOT NULL").withColumn("shard", F.substring("child", F.lit(1), F.col("depth")))
         n_done, n_open = found.agg(F.count("depth"), F.count("*") - F.count("depth")).first()
         keyed = open_rows.withColumn("child", _bits(reach))
-        parts.append(keyed.join(F.broadcast(done) if n_done <= BROADCAST_ROWS else done, "child").select("key", "n_bytes", "shard", "depth"))
+        parts.append(keyed.join(F.broadcast(done) if n_done <= BROADCAST_ROWS else done, "child").select("key", "n_bytes", "shard", "depth", "row"))
         if not n_open:
             break
         left = found.where("depth IS NULL").select("child")
@@ -71,10 +76,15 @@ def assign_shards(
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)
-    return out.withColumnRenamed("key", key)
+    return out
 
 
 def write_shards(df: DataFrame, path: str, key: str = "doc_id", limit: int = LIMIT) -> None:
-    """Write the rows of ``df`` below ``path``, one folder per shard; keys must be distinct."""
-    shards = assign_shards(df.select(key, "text"), key, limit=limit).select(key, F.concat(F.lit("s"), "shard").alias("shard"))
-    df.join(shards, key).repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the rows of ``df`` below ``path``, one folder per shard, each row once.
+
+    Keys may be null and may repeat: rows are numbered and written, and meet their
+    shards by that number.  An input column ``shard`` is replaced.
+    """
+    rows = stage(without(df, "shard", "__row").withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    shards = _assigned(rows, key, None, limit, F.col("__row")).select(F.col("row").alias("__row"), F.concat(F.lit("s"), "shard").alias("shard"))
+    rows.join(shards, "__row").drop("__row").repartition("shard").write.partitionBy("shard").parquet(path)

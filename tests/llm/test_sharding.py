@@ -62,6 +62,19 @@ def test_shards_are_written_apart(spark):
     assert back.count() == 60 and all(r["count"] <= 10 for r in back.groupBy("shard").count().collect())
 
 
+def test_written_rows_are_those_given_whatever_their_keys(spark):
+    rows = [(7, f"x{i:09d}") for i in range(300)] + [(None, "z" * 30)] * 40 + [(i, "y") for i in range(100, 200)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = fresh_path(spark, "shards")
+    sharding.write_shards(docs, path, limit=200)
+    back = spark.read.schema("doc_id long, text string, shard string").parquet(path).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in back) == Counter(rows)
+    load = Counter()
+    for r in back:
+        load[r["shard"]] += len(r["text"] or "")
+    assert max(load.values()) <= 200
+
+
 def test_no_python_in_the_plan(spark):
     plan = sharding.assign_shards(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
