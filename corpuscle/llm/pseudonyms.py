@@ -14,8 +14,8 @@ Kinds and their domains: payment cards (13 to 19 digits, Luhn check; all digits
 last are permuted and the check digit is set anew), IBANs (remainder check; up to 18 digits
 of the account are permuted and the check digits set anew), telephone numbers (the digits after
 the country code), IPv4 addresses (2^32), social security numbers (all valid ones),
-dates from 1700-01-01 to 2099-12-31 (all days of that 400-year cycle) as yyyy-mm-dd,
-yyyy/mm/dd, dd.mm.yyyy or mm/dd/yyyy.  Two kinds have no numeric domain: local part and
+dates from 1700-01-01 to 2099-12-31 (all days of that 400-year cycle) as year, month, day or
+with the year last, days and months of one or two digits, between '-', '.' or '/'.  Two kinds have no numeric domain: local part and
 domain of an e-mail address become letters of a keyed digest at a reserved domain, and
 hexadecimal secrets after a word such as ``token`` become a keyed digest of their length
 and case; both link equal values too, but cannot be undone.
@@ -42,14 +42,22 @@ SECRET = (
 )
 IPV4 = rf"(?<![0-9.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?[0-9])"
 DATE = (
-    r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
-    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"
+    r"(?<![0-9])(?:(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}"
+    r"|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])|(?<![0-9][./-])(?:"
+    + "|".join(rf"[0-9]{{4}}{c}[0-9]{{1,2}}{c}[0-9]{{1,2}}|[0-9]{{1,2}}{c}[0-9]{{1,2}}{c}[0-9]{{4}}" for c in ("-", "/", r"\."))
+    + r")(?![0-9]|[./-][0-9]))"
 )
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
+# Country codes are of one, two or three digits, and none begins another.
+CALLING = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})(?:[ .-]?\(0\))?"
+SPACED_CARD = r"(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 PHONE = (
     r"(?<![0-9+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
-    r"|\+[2-9][0-9](?:[ .-]?[0-9]{2,4}){2,4}"
-    r"|(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4})(?![0-9])"
+    rf"|(?!\+1){CALLING}(?:[ .-]?\([0-9]{{1,4}}\))?(?:[ ./-]?[0-9]){{4,16}}"
+    r"|(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+    rf"|(?<![0-9][.,])(?!{SPACED_CARD})(?=0[1-9][0-9]{{0,3}}[ ./-])0(?:[ ./-]?[0-9]){{8,11}}"
+    r"|\(0[1-9][0-9]{0,3}\)(?:[ ./-]?[0-9]){5,9}"
+    r"|(?<![0-9][.,])[6-9][0-9](?: [0-9]{3}|[0-9] [0-9]{2})(?: [0-9]{2}){2})(?![0-9])"
 )
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 IBAN = (
@@ -148,14 +156,18 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.char_length(text)), F.lit(0), add)
 
 
-def _iban(value: Column, key: str) -> Column:
+def _iban(value: Column, key: str, whole_iban: bool) -> Column:
     def use(whole: Column) -> Column:
         country, account = F.substr(whole, F.lit(1), F.lit(2)), F.substr(whole, F.lit(5))
         valid = _mod97(F.concat(account, F.substr(whole, F.lit(1), F.lit(4)))) == 1
 
         def moved(digits: Column) -> Column:
             kept = F.greatest(F.char_length(digits) - 18, F.lit(0))
-            return _let(F.concat(F.substr(digits, F.lit(1), kept), _permuted_digits(F.substr(digits, kept + 1), key, "iban")), lambda d: _let(
+            fresh = F.concat(F.substr(digits, F.lit(1), kept), _permuted_digits(F.substr(digits, kept + 1), key, "iban"))
+            if whole_iban:  # the first 18 digits once more, which overlap with the last
+                fresh = _let(fresh, lambda d: F.when(kept > 0, F.concat(
+                    _permuted_digits(F.substr(d, F.lit(1), F.lit(18)), key, "iban2"), F.substr(d, F.lit(19)))).otherwise(d))
+            return _let(fresh, lambda d: _let(
                 F.lpad((98 - _mod97(F.concat(_fill(account, d), country, F.lit("00")))).cast("string"), 2, "0"),
                 lambda check: _fill(value, F.concat(check, d)),
             ))
@@ -167,7 +179,7 @@ def _iban(value: Column, key: str) -> Column:
 
 
 def _phone(value: Column, key: str) -> Column:
-    code = F.when(value.startswith("+1"), 2).when(value.startswith("+"), 3).otherwise(0)
+    code = F.char_length(F.regexp_extract(value, f"^{CALLING}", 0))
     return _let(F.substr(value, code + 1), lambda rest: F.concat(
         F.substr(value, F.lit(1), code),
         _let(_permuted_digits(_digits(rest), key, "phone"), lambda d: _fill(rest, d)),
@@ -192,21 +204,43 @@ def _ssn(value: Column, key: str) -> Column:
 
 
 def _date(value: Column, key: str) -> Column:
-    year_first, german = value.rlike("^[0-9]{4}"), value.contains(".")
-    piece = lambda at, n: F.substring(value, at, n)
-    iso = F.when(year_first, F.concat_ws("-", piece(1, 4), piece(6, 2), piece(9, 2))).when(
-        german, F.concat_ws("-", piece(7, 4), piece(4, 2), piece(1, 2))
-    ).otherwise(F.concat_ws("-", piece(7, 4), piece(1, 2), piece(4, 2)))
+    """Read as year-month-day, mm/dd/yyyy, dd.mm.yyyy or dd-mm-yyyy; if that is no day, with day and month exchanged.
 
-    def use(day: Column) -> Column:
-        moved = feistel(F.floor(day / DAYS[1]), day % DAYS[1], _long(DAYS[0]), _long(DAYS[1]), key, "date")
-        fresh = _let(moved, lambda x: F.date_add(F.lit(FIRST_DAY).cast("date"), (x.l * DAYS[1] + x.r).cast("int")))
-        text = _let(fresh, lambda d: F.when(
-            year_first, F.concat(F.date_format(d, "yyyy"), piece(5, 1), F.date_format(d, "MM"), piece(5, 1), F.date_format(d, "dd"))
-        ).when(german, F.date_format(d, "dd.MM.yyyy")).otherwise(F.date_format(d, "MM/dd/yyyy")))
-        return F.when((day >= 0) & (day < CYCLE), text).otherwise(value)
-
-    return _let(F.datediff(F.try_to_timestamp(iso, F.lit("yyyy-MM-dd")).cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long"), use)
+    An exchanged reading has a day above 12.  It is moved among such days only, so
+    that its pseudonym reads the same way and is no other day's.
+    """
+    year_first, slashed = value.rlike("^[0-9]{4}"), value.contains("/")
+    mark = F.regexp_extract(value, "[./-]", 0)
+    start = F.lit(FIRST_DAY).cast("date")
+
+    def use(part: Column) -> Column:
+        year, low, high = F.when(year_first, part[0]).otherwise(part[2]), part[1], F.when(year_first, part[2]).otherwise(part[0])
+        number = lambda month, day: F.datediff(F.try_to_timestamp(
+            F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd")).cast("date"), start).cast("long")
+        usual = F.when(year_first | ~slashed, number(low, high)).otherwise(number(high, low))
+        other = F.when(year_first, F.lit(None).cast("long")).when(slashed, number(low, high)).otherwise(number(high, low))
+        date = lambda n: F.date_add(start, n.cast("int"))
+        moved = lambda n: _let(feistel(
+            F.floor(n / DAYS[1]), n % DAYS[1], _long(DAYS[0]), _long(DAYS[1]), key, "date"), lambda x: x.l * DAYS[1] + x.r)
+        walked = lambda n: F.aggregate(
+            F.sequence(F.lit(1), F.lit(100)), moved(n), lambda at, _: F.when(F.dayofmonth(date(at)) > 12, at).otherwise(moved(at)))
+        short = (F.char_length(low) == 1) | (F.char_length(high) == 1)
+
+        def written(fresh: Column, exchanged: Column) -> Column:
+            piece = lambda long, brief: F.when(short, F.date_format(fresh, brief)).otherwise(F.date_format(fresh, long))
+            y, m, d = F.date_format(fresh, "yyyy"), piece("MM", "M"), piece("dd", "d")
+            month_first = slashed != exchanged
+            return F.when(year_first, F.concat_ws(mark_text, y, m, d)).when(
+                month_first, F.concat_ws(mark_text, m, d, y)).otherwise(F.concat_ws(mark_text, d, m, y))
+
+        mark_text = "\x00"
+        inside = lambda n: (n >= 0) & (n < CYCLE)
+        text = lambda n, exchanged: _let(date(n), lambda d: F.replace(written(d, F.lit(exchanged)), F.lit(mark_text), mark))
+        return _let(F.struct(usual.alias("usual"), other.alias("other")), lambda n: F.when(
+            n.usual.isNotNull(), F.when(inside(n.usual), _let(moved(n.usual), lambda m: text(m, False))).otherwise(value)
+        ).when(inside(n.other), _let(walked(n.other), lambda m: text(m, True))).otherwise(value))
+
+    return _let(F.split(value, "[./-]"), use)
 
 
 def _secret(value: Column, key: str) -> Column:
@@ -215,10 +249,10 @@ def _secret(value: Column, key: str) -> Column:
     return F.when(value == F.lower(value), text).otherwise(F.upper(text))
 
 
-def _number(value: Column, key: str) -> Column:
+def _number(value: Column, key: str, whole_iban: bool) -> Column:
     """The pseudonym of what ``NUMBER`` has found; a value that fails its check stays."""
     return (
-        F.when(value.rlike(rf"^{IBAN}$"), _iban(value, key))
+        F.when(value.rlike(rf"^{IBAN}$"), _iban(value, key, whole_iban))
         .when(value.rlike("[a-fA-F]"), _secret(value, key))
         .when(value.rlike(rf"^{IPV4}$"), _ipv4(value, key))
         .when(value.rlike(rf"^{DATE}$"), _date(value, key))
@@ -246,13 +280,14 @@ def _rewritten(text: Column, pattern: str, rewrite: Rewrite) -> Column:
     ))
 
 
-def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", whole_iban: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and ``n_pii``, the number of replaced places.
 
     A null text stays null with ``n_pii`` 0; a text without any stays as it is, to the
     byte.  Values that look like a kind but fail its check (a number without a valid
     check digit, a day no calendar has) stay.  Rows are independent: repeated rows give
-    equal results, an empty table none.  An input column ``n_pii`` is replaced.
+    equal results, an empty table none.  An input column ``n_pii`` is replaced.  With
+    ``whole_iban`` all digits of accounts of more than 18 digits are permuted, else the last 18.
     """
     own = without(docs, "n_pii")
     body = F.col(f"`{text}`")
@@ -260,16 +295,16 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     names = [c for c in own.columns]
     first = own.withColumn("__e", F.when(F.contains(body, F.lit("@")), _rewritten(body, EMAIL, lambda v: _email(v, key))).otherwise(same(body)))
     mailed = F.col("__e.text")
-    second = first.withColumn("__n", F.when(mailed.rlike("[0-9]"), _rewritten(mailed, NUMBER, lambda v: _number(v, key))).otherwise(same(mailed)))
+    second = first.withColumn("__n", F.when(mailed.rlike("[0-9]"), _rewritten(mailed, NUMBER, lambda v: _number(v, key, whole_iban))).otherwise(same(mailed)))
     return second.select(
         *[F.col("__n.text").alias(c) if c.lower() == text.lower() else F.col(f"`{c}`") for c in names],
         (F.col("__e.n") + F.col("__n.n")).alias("n_pii"),
     )
 
 
-def pseudonymised_documents(docs: DataFrame, key: str) -> DataFrame:
+def pseudonymised_documents(docs: DataFrame, key: str, whole_iban: bool = False) -> DataFrame:
     """The same columns as ``docs``; ``n_chars`` follows the text."""
-    done = pseudonymise(docs, key)
+    done = pseudonymise(docs, key, whole_iban=whole_iban)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)

@@ -97,3 +97,37 @@ def test_columns_repeats_and_no_rows(spark):
     whole = pseudonyms.pseudonymised_documents(docs, KEY)
     assert whole.columns == docs.columns and whole.first()["n_chars"] == len(whole.first()["text"])
     assert pseudonyms.pseudonymise(docs.limit(0), KEY).count() == 0
+
+
+@pytest.mark.parametrize("value, kept", [
+    ("+33 1 42 68 53 00", "+33"), ("+7 495 123-45-67", "+7"), ("+61 2 9876 5432", "+61"), ("+353 1 234 5678", "+353"),
+    ("+44 (0)20 7946 0958", "+44 (0)"), ("+49 (30) 1234567", "+49"), ("555 123 4567", ""), ("(555) 123 4567", ""), ("01 42 68 53 00", ""),
+    ("020 7946 0958", ""), ("(030) 1234567", ""), ("91 234 56 78", ""),
+])
+def test_telephone_numbers_of_other_countries(spark, value, kept):
+    text, n = rewritten(spark, [f"See {value}, 2 of them."])[0]
+    fresh = re.fullmatch(r"See (.*), 2 of them\.", text)[1]
+    assert n == 1 and fresh.startswith(kept) and re.sub(r"\d", "0", fresh) == re.sub(r"\d", "0", value)
+    digits = brute.digits_permuted(re.sub(r"\D", "", value[len(kept):]), KEY, "phone")
+    assert fresh == kept + brute.fill(value[len(kept):], digits)
+
+
+def test_days_in_other_forms(spark):
+    moved = lambda y, m, d: brute.pseudonym("date", f"{y:04d}-{m:02d}-{d:02d}", KEY)
+    y, m, d = moved(1990, 2, 1).split("-")
+    a, b, c = moved(1990, 12, 25).split("-")
+    p, q, r = moved(1990, 3, 4).split("-")
+    got = [t for t, _ in rewritten(spark, ["1.2.1990", "25-12-1990", "3/4/1990", "1990-3-4", "31/02/1990", "1.2.1990.5", "99-99-1990"])]
+    assert got == [f"{int(d)}.{int(m)}.{y}", f"{c}-{b}-{a}", f"{int(q)}/{int(r)}/{p}", f"{p}-{int(q)}-{int(r)}", "31/02/1990", "1.2.1990.5", "99-99-1990"]
+
+
+def test_days_read_with_day_and_month_exchanged_keep_apart(spark):
+    values = [f"{d}/{m:02d}/{y}" for y in (1990, 2000) for m in range(1, 13) for d in range(13, 29)]
+    fresh = [t for t, _ in rewritten(spark, values)]
+    assert len(set(fresh)) == len(values) and not set(fresh) & set(values[:1])
+    assert all(re.fullmatch(r"(1[3-9]|2\d|3[01])/(0[1-9]|1[0-2])/\d{4}", t) for t in fresh)
+
+
+@pytest.mark.parametrize("text", ["3.01 42 68 53 00 0", "1 234 567 890", "0.123456789", "10-20-30", "0123 4567 8901 2345"])
+def test_other_numbers_stay(spark, text):
+    assert rewritten(spark, [text]) == [(text, 0)]
