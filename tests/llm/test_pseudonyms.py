@@ -131,3 +131,15 @@ def test_days_read_with_day_and_month_exchanged_keep_apart(spark):
 @pytest.mark.parametrize("text", ["3.01 42 68 53 00 0", "1 234 567 890", "0.123456789", "10-20-30", "0123 4567 8901 2345"])
 def test_other_numbers_stay(spark, text):
     assert rewritten(spark, [text]) == [(text, 0)]
+
+
+def test_long_accounts_are_permuted_whole(spark):
+    values = ["ES9121000418450200051332", "FR1420041010050500013M02606", "PL61109010140000071219812874", "DE89370400440532013000"]
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, text string")
+    got = [r["text"] for r in pseudonyms.pseudonymise(docs, KEY, whole_iban=True).orderBy("doc_id").collect()]
+    for value, fresh in zip(values, got):
+        assert brute.mod97(fresh[4:] + fresh[:4]) == 1 and re.sub(r"\d", "0", fresh) == re.sub(r"\d", "0", value)
+        digits = re.sub(r"\D", "", value[4:])
+        cut = max(len(digits) - 18, 0)
+        once = digits[:cut] + brute.digits_permuted(digits[cut:], KEY, "iban")
+        assert re.sub(r"\D", "", fresh[4:]) == (brute.digits_permuted(once[:18], KEY, "iban2") + once[18:] if cut else once)
