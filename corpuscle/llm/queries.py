@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import classifier, licenses, mixing, packing, pseudonyms, rules, sharding, simhash, topk, warc
+from corpuscle.llm import (
+    classifier, language, licenses, mixing, packing, pseudonyms, rules, sharding, simhash, spelling, topk, warc, whitening,
+)
 from corpuscle.llm.common import table
 from corpuscle.llm.registry import register
 
@@ -213,3 +215,30 @@ def op10_nb_svm(spark: SparkSession, folder: str) -> DataFrame:
 
 # No SQL: the model is trained; its accuracy on held-out rows is tested.
 register("op10_nb_svm", op10_nb_svm)
+
+
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# No SQL: it has no eigenvectors.
+register("op11_whitening", op11_whitening)
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs.drop("lang"), language.learn(docs))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+# No SQL: it has no compression.
+register("op12_language_id", op12_language_id)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+# No SQL: DuckDB has no CRC-32.
+register("op13_spelling_variants", op13_spelling_variants)

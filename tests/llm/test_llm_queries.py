@@ -17,7 +17,7 @@ def connection():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys()
 
 
