@@ -78,6 +78,15 @@ def score(queries: Vectors, part: slice, block: Vectors, metric: str) -> np.ndar
     return np.floor(s, out=s)
 
 
+def paired(x: np.ndarray, y: np.ndarray, metric: str) -> np.ndarray:
+    """Cosine or dot product of each row of ``x`` with the same row of ``y``, on the grid."""
+    s = np.einsum("ij,ij->i", x, y)
+    if metric != "dot":
+        scale = np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y))
+        s = np.where(scale > 0, s / np.where(scale > 0, scale, 1.0), 0.0)
+    return np.floor(s * GRID + 0.5)
+
+
 def best_per_row(s: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the ``k`` largest entries per row, none below ``floor``.
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import hashing as H
 from corpuscle.functions import text as T
+from corpuscle.functions import vectors as V
+from corpuscle.operators import textsearch
 from corpuscle.operators.chunking import chunk, chunk_by_paragraph
 from corpuscle.operators.embed import embed_column, hashing_embedder
 from corpuscle.operators.upsert import upsert
@@ -237,6 +239,31 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
     return index_plan.postings(chunk(D.documents(spark, folder, "doc_id", "text"), "text", 800, 160))
 
 
+@query(f"""
+    WITH {S.chunks('documents', 'doc_id', 800, 160)},
+    words AS (SELECT doc_id, chunk_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')) AS token
+              FROM chunks),
+    tf AS (SELECT token, doc_id, chunk_id, count(*) AS f FROM words GROUP BY ALL),
+    sizes AS (SELECT doc_id, chunk_id, count(*) AS size FROM words GROUP BY ALL),
+    whole AS (SELECT count(*) AS n, avg(size) AS mean FROM sizes),
+    df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+    asked AS (SELECT item_id, token, count(*) AS times FROM (
+                SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')) AS token FROM benchmark) GROUP BY ALL),
+    scored AS (
+        SELECT item_id, doc_id, chunk_id,
+               {S.grid(f"sum(times * ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * f / (f + {textsearch.K1}::DOUBLE * (1 - {textsearch.B}::DOUBLE + {textsearch.B}::DOUBLE * size / mean)))")} AS g
+        FROM asked JOIN tf USING (token) JOIN df USING (token) JOIN sizes USING (doc_id, chunk_id), whole
+        GROUP BY item_id, doc_id, chunk_id),
+    hits AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY g DESC, doc_id, chunk_id)::INTEGER AS rank FROM scored QUALIFY rank <= 8)
+    SELECT item_id AS question_id, doc_id, chunk_id, {S.fixed('g / 1e9::DOUBLE')} AS score, rank FROM hits
+""")
+def text_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The eight chunks that rank highest by their words for every question, from blocks of postings."""
+    path = textsearch.text_index(chunk(D.documents(spark, folder, "doc_id", "text"), "text", 800, 160), ["doc_id", "chunk_id"])
+    hits = textsearch.ranked_text(D.questions(spark, folder), path)
+    return hits.select("question_id", "doc_id", "chunk_id", V.fixed_point(F.col("score")).alias("score"), "rank")
+
+
 @query(f"""
     SELECT (page_id % 8)::VARCHAR AS part, {S.sanitized("coalesce(html, '')")} AS text,
            sha256({S.sanitized("coalesce(html, '')")}) AS "contentHash" FROM pages

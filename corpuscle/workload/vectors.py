@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions import hashing as H
 from corpuscle.functions import vectors as V
 from corpuscle.operators.cells import build_cells
+from corpuscle.operators.descent import knn_descent
+from corpuscle.operators.quantized import build_quantized, top_k_quantized
 from corpuscle.operators.search import top_k, top_k_in_cells, top_k_single
 from corpuscle.plans import stats
 from corpuscle.session import fresh_path, stage
@@ -343,6 +345,42 @@ def evaluation_files(spark: SparkSession, folder: str) -> DataFrame:
     return first.unionByName(second).withColumn("cosine", V.fixed_point(F.col("cosine")))
 
 
+RECALL_SQL = """
+    WITH v AS (SELECT count(*) AS n FROM embeddings)
+    SELECT n AS vectors, n * least(n - 1, 10) AS edges, true AS recall_reached FROM v
+"""
+
+
+def _recall(found: DataFrame, spark: SparkSession, folder: str, least: float = 0.95) -> DataFrame:
+    """Vectors, edges given and whether enough of the exact edges are among them."""
+    exact = _edges(spark, folder).select("token", "neighbor", F.lit(1).alias("hit"))
+    met = found.select("token", "neighbor").join(exact, ["token", "neighbor"], "left")
+    return met.agg(F.count_distinct("token").alias("vectors"), F.count("*").alias("edges"),
+                   (F.count("hit") >= least * F.count("*")).alias("recall_reached"))
+
+
+@query(RECALL_SQL)
+def knn_descent_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """The neighbour graph by neighbour descent, held against the exact one."""
+    found, _ = knn_descent(D.vectors(spark, folder).withColumnRenamed("vec_id", "token"), 10)
+    return _recall(found, spark, folder)
+
+
+def _quantized(spark: SparkSession, folder: str, k: int, rerank: int, **search) -> DataFrame:
+    corpus, path = D.vectors(spark, folder).withColumnRenamed("vec_id", "neighbor"), fresh_path(spark, "quantized")
+    build_quantized(corpus, path, ["neighbor"], cells=16)
+    asked = corpus.select(F.col("neighbor").alias("token"), F.col("vec").alias("query_vec"))
+    return top_k_quantized(asked, path, k, "token", rerank=rerank, **search)
+
+
+@query(RECALL_SQL)
+def ann_quantized_recall(spark: SparkSession, folder: str) -> DataFrame:
+    """Search over codes of 32 bytes, 48 vectors read per query, held against the exact graph."""
+    near = _quantized(spark, folder, 11, 48).where(F.col("token") != F.col("neighbor"))
+    place = F.row_number().over(Window.partitionBy("token").orderBy("rank"))
+    return _recall(near.withColumn("place", place).where(F.col("place") <= 10), spark, folder)
+
+
 @query("""
     SELECT n.n::INTEGER AS code, count(*) AS rows FROM embeddings, (VALUES (2), (4), (5), (6)) AS n(n) GROUP BY 1
 """)
