@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.llm.common import without
-from corpuscle.llm.components import connected_components
+from corpuscle.llm.components import connected_components, sent
 from corpuscle.session import stage
 
 SEED = 42
@@ -86,27 +86,76 @@ def _cells(half: str, number: int) -> str:
             'own', j < 0))"""
 
 
-def links(marks: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the distinct fingerprints ``fp`` of ``marks`` at most three bits apart.
-
-    Each pair of different fingerprints comes at least once.  Whatever share of the
-    rows one cell has, Spark splits it, as both sides of the join are plain shuffles.
-    """
-    halves = marks.select("fp").withColumn(
+def _points(marks: DataFrame, *names: str) -> DataFrame:
+    """The fingerprints with the halves of their bit counts."""
+    return marks.select("fp", *names).withColumn(
         "u", F.expr(f"((fp | shiftrightunsigned(fp, 1)) & {LOW_BITS})"
                     f" | shiftleft(fp & shiftrightunsigned(fp, 1) & {LOW_BITS}, 1)"),
     ).withColumn("h0", F.expr("u & 4294967295L")).withColumn("h1", F.expr("shiftrightunsigned(u, 32)"))
-    stored = halves.select("fp", "u", F.explode(F.expr(f"array(h0, {1 << 32}L | h1)")).alias("cell"))
-    probes = halves.select(
-        F.col("fp").alias("fp2"), F.col("u").alias("u2"),
+
+
+def _stored(points: DataFrame, *names: str) -> DataFrame:
+    return points.select("fp", "u", *names, F.explode(F.expr(f"array(h0, {1 << 32}L | h1)")).alias("cell"))
+
+
+def _probes(points: DataFrame, *names: str) -> DataFrame:
+    return points.select(
+        F.col("fp").alias("fp2"), F.col("u").alias("u2"), *[F.col(n).alias(f"{n}2") for n in names],
         F.inline(F.expr(f"concat({_cells('h0', 0)}, {_cells('h1', 1)})")),
     )
-    near = probes.join(
-        stored,
-        (probes.cell == stored.cell) & (~F.col("own") | (F.col("fp2") < F.col("fp")))
-        & F.expr(f"bit_count(u ^ u2) <= {MAX_BITS}") & F.expr(f"bit_count(fp ^ fp2) <= {MAX_BITS}"),
-    )
-    return near.select(F.col("fp").alias("a"), F.col("fp2").alias("b"))
+
+
+NEAR = f"bit_count(u ^ u2) <= {MAX_BITS} AND bit_count(fp ^ fp2) <= {MAX_BITS}"
+
+
+def leader_links(marks: DataFrame) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints at most three bits apart, b the leader of a cell that a looks into.
+
+    The leader of a cell is the smallest of its points, so pairs are at most as many as the
+    cells looked into, whatever share of the rows one cell has.
+    """
+    points = _points(marks)
+    leaders = _stored(points).groupBy("cell").agg(F.min(F.struct("fp", "u")).alias("first")).select("cell", "first.*")
+    probes = _probes(points).drop("own")
+    met = probes.join(leaders, (probes.cell == leaders.cell) & F.expr(f"fp <> fp2 AND {NEAR}"))
+    return met.select(F.col("fp2").alias("a"), F.col("fp").alias("b"))
+
+
+def links(marks: DataFrame, apart: str | None = None) -> DataFrame:
+    """Pairs (a, b) of the distinct fingerprints ``fp`` of ``marks`` at most three bits apart.
+
+    Each pair of different fingerprints comes at least once, or with ``apart``, the name of a
+    column, each that differs in it.  Whatever share of the rows one cell has, Spark splits it,
+    as both sides of the join are plain shuffles.
+    """
+    names = [apart] if apart else []
+    points = _points(marks, *names)
+    stored, probes = _stored(points, *names), _probes(points, *names)
+    near = (probes.cell == stored.cell) & (~F.col("own") | (F.col("fp2") < F.col("fp"))) & F.expr(NEAR)
+    if apart:
+        near = near & (F.col(apart) != F.col(f"{apart}2"))
+    return probes.join(stored, near).select(F.col("fp").alias("a"), F.col("fp2").alias("b"), *names, *[f"{n}2" for n in names])
+
+
+def _moved(rooted: DataFrame, roots: DataFrame) -> DataFrame:
+    """(fp, root) after the roots of ``rooted`` were joined further."""
+    roots = stage(roots, "roots")
+    further = sent(roots.select(F.col("node").alias("root"), F.col("root").alias("last")), roots.count())
+    return rooted.join(further, "root", "left").select("fp", F.coalesce("last", "root").alias("root"))
+
+
+def components(marks: DataFrame) -> DataFrame:
+    """(fp, root) of distinct fingerprints ``fp``; links within three bits are followed to the smallest.
+
+    A dense group has links in the square of its size, of which a forest is enough.  So first
+    only leaders of cells are linked, and what that joins is one component.  Then all pairs
+    are linked that are still in different components.  No link between components is lost,
+    and those within one are not written.
+    """
+    rooted = marks.select("fp", F.col("fp").alias("root"))
+    rooted = stage(_moved(rooted, connected_components(leader_links(marks))), "rooted")
+    left = links(rooted, "root").select(F.col("root").alias("a"), F.col("root2").alias("b"))
+    return stage(_moved(rooted, connected_components(left)), "rooted")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,15 +171,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         fingerprints(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))), "fingerprints"
     )
     distinct = stage(marked.groupBy("fp").agg(F.min("key").alias("least")), "distinct-fingerprints")
-    roots = stage(connected_components(links(distinct)), "components")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = stage(
-        stage(rooted.select("fp", "root"), "rooted").join(stage(ids, "component-ids"), "root").select("fp", "component_id"),
-        "component-of",
-    )
+    rooted = components(distinct)
+    # Groups of one, which most are, keep their own smallest key and need no join.
+    grouped = rooted.where("fp <> root").select("root").distinct().withColumn("grouped", F.lit(True))
+    members = stage(rooted.join(grouped, "root").select("fp", "root"), "grouped")
+    ids = members.join(distinct, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
+    ids = members.join(ids, "root").select("fp", "component_id")
+    found = stage(distinct.join(ids, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id")), "component-of")
     return marked.join(found, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
@@ -161,7 +208,5 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     order = F.struct(F.col("key").isNull().alias("last"), F.col("key"), F.col("row"))
     distinct = stage(marked.groupBy("fp").agg(F.min(order).alias("first")), "distinct-fingerprints")
-    roots = stage(connected_components(links(distinct)), "components")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left")
-    kept = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = components(distinct).join(distinct, "fp").groupBy("root").agg(F.min("first").alias("first"))
     return only(docs, kept.select(F.col("first.row").alias("__row")), row)

@@ -99,6 +99,18 @@ def components(nodes, linked):
 
 # pseudonyms
 
+def shingle_set(text, width=5):
+    words = WORD.findall(lowered(text))
+    return {tuple(words[i:i + width]) for i in range(len(words) - width + 1)} or {tuple(words)}
+
+
+def smallest_ids(texts, similarity=0.8):
+    """The smallest id of each group of texts linked by the similarity of their shingle sets, all pairs compared."""
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    near = lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9
+    return sorted(set(components(list(sets), near).values()))
+
+
 def _sha(*parts):
     return hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()
 

@@ -48,6 +48,19 @@ def test_pairs_at_each_pattern_of_three_bits_are_found(spark):
         assert met == {signed(o) for o in others if 0 < (o ^ base).bit_count() <= 3}
 
 
+def test_a_dense_group_is_joined_by_few_links(spark):
+    """Ten thousand near copies in 211 partitions: links do not grow with the square of the group."""
+    draw = random.Random(11)
+    center = draw.getrandbits(64)
+    marks = {signed(center ^ sum(1 << b for b in draw.sample(range(64), draw.randint(0, 3)))) for _ in range(10_000)}
+    far = {signed(draw.getrandbits(64)) for _ in range(5000)}
+    rows = spark.createDataFrame([(m,) for m in marks | far], "fp long").repartition(211)
+    led = simhash.leader_links(rows).count()
+    assert led < 16 * len(marks | far)
+    roots = {r["fp"]: r["root"] for r in simhash.components(rows).collect()}
+    assert {roots[m] for m in marks} == {min(marks)} and all(roots[m] == m for m in far)
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(1, 2), (2, 1)], [(i, i + 1) for i in range(200)], [(0, i) for i in range(1, 300)],
                                    [(i, (i * 7 + 3) % 101) for i in range(101)] + [(500, 400), (400, 300)]])
 def test_components(spark, edges):
