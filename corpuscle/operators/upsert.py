@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpuscle.operators.keyfilter import add_filters, files_to_open
 from corpuscle.session import stage
 
 VERSION_KEY = ["docId", "contentHash"]
@@ -46,15 +47,19 @@ def upsert(incoming: DataFrame, path: str, keys: list[str] = VERSION_KEY) -> Non
     writer at a time.
 
     The incoming rows are worked out once and written to the shared folder.  Keys
-    alone are compared with the table; the new ones then pick the rows to append, so
-    no text is shuffled to find out that nothing changed.
+    alone are compared with the table, and only those of files whose filter does not rule
+    all of them out; the new ones then pick the rows to append, so no text is shuffled
+    to find out that nothing changed.
     """
     spark = incoming.sparkSession
     if not table_exists(spark, path):
         incoming.write.mode("overwrite").parquet(path)
+        add_filters(spark, path, keys)
         return
-    existing = spark.read.parquet(path)
     staged = stage(incoming, "incoming")
+    add_filters(spark, path, keys)
+    there = files_to_open(staged, path, keys)
+    existing = spark.read.parquet(*[f"{path}/{f}" for f in there]) if there else staged.limit(0)
     new_keys = stage(unmatched(staged.select(*keys), existing, keys).distinct(), "new-keys")
     if new_keys.isEmpty():
         return
@@ -62,3 +67,4 @@ def upsert(incoming: DataFrame, path: str, keys: list[str] = VERSION_KEY) -> Non
     # A null key is new by definition and must find itself again.
     same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(f"_new_{key}")) for key in keys])
     staged.join(named, same, "left_semi").write.mode("append").parquet(path)
+    add_filters(spark, path, keys)

@@ -12,8 +12,10 @@ from corpuscle.functions import text as T
 from corpuscle.operators.cells import build_cells
 from corpuscle.operators.chunking import chunk, chunk_by_paragraph
 from corpuscle.operators.embed import Embedder, embed_column
+from corpuscle.operators.upsert import table_exists
+from corpuscle.session import stage
 from corpuscle.sources.records import docs_table
-from corpuscle.sources.sinks import publish_build, write_build, write_csv_index, write_json_chunks
+from corpuscle.sources.sinks import publish_build, retire_builds, write_build, write_csv_index, write_json_chunks
 
 MakeEmbedder = Callable[[], Embedder]
 
@@ -37,6 +39,39 @@ def index_rows(
     return embedded.select("shard", "doc_id", "chunk_id", "text", "vec", "embed_error")
 
 
+def reused_rows(
+    docs: DataFrame, shards: int, vectors: str, make_embedder: MakeEmbedder | None = None, max_chars: int = 800, overlap: int = 160,
+    batch: int = 16, model: str = "default", **embedding,
+) -> DataFrame:
+    """``index_rows``, with vectors kept in the table at ``vectors`` under the hash of their chunk.
+
+    Only texts that have no vector of that ``model`` yet reach the embedder, each once, and
+    theirs are added to the table.  To find them hashes are compared, not texts.  A text
+    the model fails on is tried again in the next run.
+    """
+    placed = docs.select(F.col("docId").alias("doc_id"), "text", H.shard_of(F.col("docId"), shards).alias("shard"))
+    chunks = stage(chunk(placed, "text", max_chars, overlap).withColumn("hash", H.sha256(F.col("text"))), "index-chunks")
+    spark = docs.sparkSession
+    kept = "model string, hash string, vec array<float>"
+    hashes = chunks.select("hash").distinct()
+    if table_exists(spark, vectors):
+        have = spark.read.schema(kept).parquet(vectors).where(F.col("model") == model)
+        hashes = hashes.join(have.select("hash"), "hash", "left_anti")
+    hashes = stage(hashes, "unknown-chunks")
+    errors = None
+    if not hashes.isEmpty():
+        unknown = chunks.join(hashes, "hash", "left_semi").groupBy("hash").agg(F.first("text").alias("text"))
+        embedded = stage(embed_column(unknown, make_embedder, batch=batch, **embedding), "new-vectors")
+        embedded.where(F.col("vec").isNotNull()).select(F.lit(model).alias("model"), "hash", "vec").write.mode("append").parquet(vectors)
+        errors = embedded.where(F.col("vec").isNull()).select("hash", "embed_error")
+    have = spark.read.schema(kept).parquet(vectors).where(F.col("model") == model) if table_exists(spark, vectors) else None
+    found = chunks.withColumn("vec", F.lit(None).cast("array<float>")) if have is None else chunks.join(
+        have.groupBy("hash").agg(F.first("vec").alias("vec")), "hash", "left")
+    found = found.withColumn("embed_error", F.lit(None).cast("string")) if errors is None else found.join(errors, "hash", "left")
+    # Written, as rows count themselves and a plan that turns out empty would not.
+    return stage(found.select("shard", "doc_id", "chunk_id", "text", "vec", "embed_error"), "index-rows")
+
+
 class TooManyFailures(RuntimeError):
     """More texts than allowed got no vector; nothing was published."""
 
@@ -57,7 +92,8 @@ def _checked(seen: Observation, max_failed: float) -> dict[str, int]:
 
 def build_index(
     spark: SparkSession, table: str, path: str, shards: int, make_embedder: MakeEmbedder | None = None,
-    max_failed: float = 0.1, metric: str | None = None, cells: int | None = None, **options,
+    max_failed: float = 0.1, metric: str | None = None, cells: int | None = None, reuse: bool = False, earlier: int | None = None,
+    **options,
 ) -> dict[str, int]:
     """Write the sharded index of the docs table; returns texts prepared, embedded and failed.
 
@@ -66,14 +102,22 @@ def build_index(
     they do until the new one is complete.  With ``metric`` the index is also split into
     cells for that metric, and ``answer.retrieve_from`` then reads only the cells near
     a question.
+
+    With ``reuse`` vectors are kept beside the builds, and only chunks that no run has seen
+    reach the model.  With ``earlier`` that many builds before the new one stay for readers
+    that still use them, and older and broken ones are deleted.
     """
-    rows, seen = _counts(index_rows(docs_table(spark, table), shards, make_embedder, **options), "vec")
+    docs = docs_table(spark, table)
+    made = reused_rows(docs, shards, f"{path}/_vectors", make_embedder, **options) if reuse else index_rows(docs, shards, make_embedder, **options)
+    rows, seen = _counts(made, "vec")
     build = write_build(rows.where(F.col("vec").isNotNull()).drop("embed_error"), path)
     counts = _checked(seen, max_failed)
     if metric is not None:
         written = spark.read.parquet(f"{path}/{build}/rows")
         build_cells(answerable(written), f"{path}/{build}/cells", ["doc_id", "chunk_order"], metric=metric, cells=cells)
     publish_build(spark, path, build)
+    if earlier is not None:
+        retire_builds(spark, path, earlier)
     return counts
 
 

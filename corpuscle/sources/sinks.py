@@ -66,6 +66,24 @@ def publish_build(spark: SparkSession, path: str, build: str) -> None:
     done.coalesce(1).write.mode("append").parquet(f"{path}/{BUILDS}")
 
 
+def retire_builds(spark: SparkSession, path: str, earlier: int) -> list[str]:
+    """Delete builds but the last and ``earlier`` before it; returns the folders that went.
+
+    Builds that were never published were left by runs that failed, and go too: one writer
+    at a time.
+    """
+    done = [r["build"] for r in spark.read.parquet(f"{path}/{BUILDS}").orderBy(F.desc("at"), "build").collect()]  # one row per build
+    kept = set(done[:earlier + 1])
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    gone = [n for n in names if n.startswith("build-") and n not in kept]
+    for name in gone:
+        files.delete(jvm.org.apache.hadoop.fs.Path(place, name), True)
+    return gone
+
+
 def write_sharded_index(index: DataFrame, path: str) -> None:
     """Build the index beside the one that is there, then put it in its place."""
     publish_build(index.sparkSession, path, write_build(index, path))

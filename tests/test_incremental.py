@@ -1,0 +1,64 @@
+import os
+
+from corpuscle.operators.embed import hashing_embedder
+from corpuscle.plans.index import build_index
+from corpuscle.sources.records import sharded_index
+
+KIND = "docId string, uri string, text string"
+
+
+def counting(folder):
+    """An embedder that leaves a file for every text it is given, and fails on some."""
+
+    def make():
+        plain = hashing_embedder()()
+
+        def embed(texts):
+            for text in texts:
+                open(os.path.join(folder, f"{abs(hash(text))}-{os.getpid()}-{os.urandom(4).hex()}"), "w").close()
+                if "broken" in text:
+                    raise ValueError("no vector")
+            return plain(texts)
+
+        return embed
+
+    return make
+
+
+def seen(folder):
+    names = os.listdir(folder)
+    for name in names:
+        os.remove(os.path.join(folder, name))
+    return len(names)
+
+
+def rows(spark, path):
+    return {(r["doc_id"], r["chunk_id"]): (r["text"], tuple(r["vec"])) for r in sharded_index(spark, path).collect()}
+
+
+def test_only_unknown_chunks_reach_the_model(spark, tmp_path):
+    docs, path, calls = str(tmp_path / "docs"), str(tmp_path / "index"), str(tmp_path / "calls")
+    os.mkdir(calls)
+    text = " ".join(f"word{i}" for i in range(400))
+    spark.createDataFrame([("a", "u", text), ("b", "u", text), ("c", "u", "another text")], KIND).write.parquet(docs)
+    options = dict(make_embedder=counting(calls), reuse=True, earlier=0)
+    first = build_index(spark, docs, path, 2, **options)
+    chunks = first["prepared"]
+    # Equal chunks of a and b are asked for once.
+    assert first["failed"] == 0 and seen(calls) == (chunks - 1) // 2 + 1
+    before = rows(spark, path)
+    assert build_index(spark, docs, path, 2, **options) == first
+    assert seen(calls) == 0 and rows(spark, path) == before
+    assert len([n for n in os.listdir(path) if n.startswith("build-")]) == 1
+
+    plain = str(tmp_path / "plain")
+    build_index(spark, docs, plain, 2)
+    assert rows(spark, plain) == before
+
+    spark.createDataFrame([("d", "u", "new"), ("e", "u", "it is broken")], KIND).write.mode("append").parquet(docs)
+    for _ in range(2):  # a text that failed is tried again
+        counts = build_index(spark, docs, path, 2, retries=0, max_failed=0.5, **options)
+        assert counts == {"prepared": chunks + 2, "embedded": chunks + 1, "failed": 1}
+    assert rows(spark, path).keys() == before.keys() | {("d", 0)}
+    assert build_index(spark, docs, path, 2, make_embedder=counting(calls), reuse=True, earlier=1, model="other", max_failed=0.5, retries=0)["embedded"] == chunks + 1
+    assert len([n for n in os.listdir(path) if n.startswith("build-")]) == 2
