@@ -54,10 +54,8 @@ def upsert(incoming: DataFrame, path: str, keys: list[str] = VERSION_KEY) -> Non
     spark = incoming.sparkSession
     if not table_exists(spark, path):
         incoming.write.mode("overwrite").parquet(path)
-        add_filters(spark, path, keys)
         return
     staged = stage(incoming, "incoming")
-    add_filters(spark, path, keys)
     there = files_to_open(staged, path, keys)
     existing = spark.read.parquet(*[f"{path}/{f}" for f in there]) if there else staged.limit(0)
     new_keys = stage(unmatched(staged.select(*keys), existing, keys).distinct(), "new-keys")
