@@ -9,6 +9,9 @@ from corpuscle.functions import text as T
 from corpuscle.functions.binding import bind
 
 
+_MARK, _NOT_MARK = "\x1e", "\x1f"  # two control characters
+
+
 def _cut(text: Column, size: int | Column) -> Column:
     """The text in pieces of ``size`` code points, the last one shorter; one pass over the text."""
     return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
@@ -49,41 +52,20 @@ def packed_paragraphs(
     """Pack paragraphs greedily, joined by a newline, into pieces of ``max_len``.
 
     A paragraph longer than ``max_len`` is cut into pieces of its own.  Pieces
-    are sanitised, and those shorter than ``min_len`` dropped.  The greedy pass
-    runs over lengths and notes which paragraphs make a piece; texts are joined
-    once, at the end.
+    are sanitised, and those shorter than ``min_len`` dropped.
+
+    The paragraphs are joined by a mark none of them holds, and one pass of a pattern takes
+    the pieces: from the start of a paragraph as far as the last mark within reach, or, where
+    there is none, from within the long paragraph.  Sanitising turns every control
+    character into a space, so the mark stands for the newline, and a mark that a
+    paragraph holds by itself may give way to another control character.
     """
     if max_len < 1 or min_len < 1:
         raise ValueError("max_len and min_len must be at least 1")
-    paragraphs = F.filter(F.transform(F.split(raw, separator), T.edge_trim), T.has_text)
-
-    def run(first: Column, count: Column) -> Column:
-        return F.array(F.struct(first.alias("first"), count.alias("count")))
-
-    def state(at: Column, first: Column, length: Column, closed: Column) -> Column:
-        """Next paragraph, where the open piece starts, its length (0: none open), and the closed pieces."""
-        return F.struct(at.alias("at"), first.alias("first"), length.alias("length"), closed.alias("closed"))
-
-    def close(acc: Column) -> Column:
-        return F.when(acc.length > 0, F.concat(acc.closed, run(acc.first, acc.at - acc.first))).otherwise(acc.closed)
-
-    def take(acc: Column, length: Column) -> Column:
-        after, none = acc.at + 1, F.lit(0)
-        return (
-            F.when((acc.length > 0) & (acc.length + length + 1 <= max_len),
-                   state(after, acc.first, acc.length + length + 1, acc.closed))
-            .when(length > max_len, state(after, acc.at, none, F.concat(close(acc), run(acc.at, none))))
-            .otherwise(state(after, acc.at, length, close(acc)))
-        )
-
-    def pieces(texts: Column) -> Column:
-        start = state(F.lit(0), F.lit(0), F.lit(0), F.array().cast("array<struct<first:int,count:int>>"))
-        runs = F.aggregate(F.transform(texts, F.length), start, take, close)
-        return F.flatten(F.transform(runs, lambda r: F.when(
-            r["count"] == 0, _cut(F.get(texts, r.first), max_len)
-        ).otherwise(F.array(F.array_join(F.slice(texts, r.first + 1, r["count"]), "\n")))))
-
-    cleaned = F.transform(bind(paragraphs, pieces), T.sanitize)
+    trimmed = F.transform(F.split(raw, separator), lambda p: F.replace(T.edge_trim(p), F.lit(_MARK), F.lit(_NOT_MARK)))
+    joined = F.array_join(F.filter(trimmed, T.has_text), _MARK)
+    piece = rf"(?s)(?<![^{_MARK}]).{{1,{max_len}}}(?={_MARK}|\z)|[^{_MARK}]{{1,{max_len}}}"
+    cleaned = F.transform(F.regexp_extract_all(joined, F.lit(piece), F.lit(0)), T.sanitize)
     return F.filter(cleaned, lambda piece: T.long_enough(piece, min_len))
 
 
