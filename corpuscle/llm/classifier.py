@@ -25,7 +25,7 @@ FEATURES = 1 << 17
 SMOOTHING = 1.0
 COST = 1.0
 PASSES = 20
-SAMPLE = 6000  # labelled rows that the hinge-loss model is fitted to; counts use them all
+SAMPLE = 6000  # labelled documents that the hinge-loss model is fitted to; counts use them all
 THRESHOLD = 0.7
 BROADCAST_LABELS = 2_000_000
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -108,8 +108,8 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, feature = features(part.column("text").cast(pa.string()))
             ends = np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [part.column("key"), part.column("label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))],
-                names=["key", "label", "features"],
+                [part.column("rank"), part.column("label"), pa.ListArray.from_arrays(pa.array(ends), pa.array(feature.astype(np.int32)))],
+                names=["rank", "label", "features"],
             )
 
 
@@ -154,17 +154,22 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     Feature counts are taken over all labelled documents, in the tasks, and summed by
     feature: at most ``FEATURES`` rows reach the driver.  The hinge-loss model is fitted
-    to the ``sample`` labelled keys with the smallest MD5, or to all if they are fewer.
+    to the ``sample`` labelled documents with the smallest MD5 of key and text, or to all if
+    they are fewer; no more rows than that reach the driver, however often a key or a
+    whole document is repeated.  Keys may be of any type that has a text form.
     Labels other than 0 and 1 and null keys are ignored, repeated label rows count as
     often as they are, null texts are empty.  Without labelled documents every score is
     one half.  Labels are broadcast if they are at most ``BROADCAST_LABELS`` rows, else joined.
     """
-    known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).where(
+    known = labels.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{label}`").cast("int").alias("label")).where(
         "key IS NOT NULL AND label IN (0, 1)"
     ).where(~held_out(F.col("key")))
-    texts = docs.select(F.col(f"`{key}`").alias("d_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).where(~held_out(F.col("d_key")))
+    texts = docs.select(F.col(f"`{key}`").cast("string").alias("d_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    texts = texts.where(~held_out(F.col("d_key")))
     few = labels.count() <= BROADCAST_LABELS
-    joined = texts.join(F.broadcast(known) if few else known, F.col("d_key") == F.col("key")).select("key", "label", "text")
+    joined = texts.join(F.broadcast(known) if few else known, F.col("d_key") == F.col("key")).select(
+        F.md5(F.concat_ws("|", "key", F.md5(F.col("text").cast("binary"))).cast("binary")).alias("rank"), "label", "text",
+    )
     counts = np.zeros((2, FEATURES))
     summed = joined.select("label", "text").mapInArrow(_counted, "feature long, bad long, good long").groupBy("feature").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"))
@@ -174,9 +179,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     smooth = counts + SMOOTHING
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
 
-    chosen = known.orderBy(F.md5(F.col("key").cast("string").cast("binary")), "key", "label").limit(sample)
-    picked = texts.join(F.broadcast(chosen), F.col("d_key") == F.col("key")).select("key", "label", "text").mapInArrow(
-        _listed, "key long, label int, features array<int>").toArrow().sort_by([("key", "ascending"), ("label", "ascending")])
+    # The ranks say how far the sample reaches, so that only its texts are cut into features again.
+    reach = joined.select("rank").orderBy("rank").limit(sample).agg(F.max("rank")).first()[0]
+    listed = joined.where(F.col("rank") <= F.lit(reach)).mapInArrow(_listed, "rank string, label int, features array<int>")
+    picked = listed.orderBy("rank", "label").limit(sample).toArrow().sort_by([("rank", "ascending"), ("label", "ascending")])
     good = picked["label"].to_numpy() == 1
     if not len(good):
         return Model(np.zeros(FEATURES), ratio**2, 0.0, 1.0, 0.0)

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions.binding import bind
 from corpuscle.llm.common import without
+from corpuscle.session import stage
 
 SEED = "mix-1"
 TEMPERATURE = 0.5
 PART = 16.0  # largest mean that one uniform number is inverted for
 TERMS = 120  # of a distribution with mean PART; what lies beyond is below 2^-52
 BROADCAST_SOURCES = 100_000
+BLOCK = 4096  # equal rows that are written out by one task at a time
 
 
 def _uniform(*parts: Column) -> Column:
@@ -51,9 +53,30 @@ def poisson_count(drawn: Column, key: Column) -> Column:
     )
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__d``, a digest of all columns, and ``__i``, a number from 0 among equal rows.
+
+    Digests are counted before anything else moves.  Of rows that occur once nothing is
+    shuffled; of equal rows one is kept per digest and written out again by its count, in
+    blocks that any task may take.
+    """
+    parts = [F.coalesce(F.md5(F.col(f"`{c}`").cast("string").cast("binary")), F.lit("null")) for c in rows.columns]
+    marked = rows.withColumn("__d", F.md5(F.concat_ws("|", *parts).cast("binary")))
+    repeated = stage(marked.groupBy("__d").agg(F.count("*").alias("__c")).where("__c > 1"), "repeated-rows")
+    if repeated.isEmpty():
+        return marked.withColumn("__i", F.lit(0).cast("long"))
+    once = marked.join(repeated, "__d", "left_anti").withColumn("__i", F.lit(0).cast("long"))
+    names = [F.col(f"`{c}`") for c in rows.columns]
+    one = marked.join(repeated, "__d").groupBy("__d").agg(F.first("__c").alias("__c"), F.first(F.struct(*names)).alias("__row"))
+    blocks = one.withColumn("__b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__c") - 1) / BLOCK)))).repartition("__d", "__b")
+    start = F.col("__b") * BLOCK
+    number = F.explode(F.sequence(start, F.least(start + BLOCK, F.col("__c")) - 1))
+    return once.unionByName(blocks.select("__row.*", "__d", number.alias("__i")))
+
+
 def mix(
     docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = 1.0,
-    key: str = "doc_id", source: str = "source", text: str = "text",
+    source: str = "source", text: str = "text",
 ) -> DataFrame:
     """``docs`` with every row repeated a Poisson number of times and shuffled, with ``replica`` and ``order_key``.
 
@@ -61,10 +84,11 @@ def mix(
     over the characters of the source, so that a source makes up its weight of the text.
     ``weights`` names the shares, a source without one gets none; without ``weights`` a
     source's share is in proportion to its characters to the power ``temperature``.  A
-    row's number depends on its ``key`` and the seed alone, so repeated keys are repeated
-    alike, and any retried task draws the same.  Replicas count from 0.
+    row's number depends on the seed, a digest of all its columns and, among equal rows, its
+    number there, so that rows of one key, or without one, are drawn one by one, and any
+    retried task draws the same.  Replicas count from 0.
 
-    Null is a source of its own, null texts are empty, a null key is an empty one; a source
+    Null is a source of its own, null texts are empty, the key plays no part; a source
     without a character has a mean of weight times epochs.  An empty table gives no rows.
     Input columns named ``replica`` or ``order_key`` are replaced.  Sizes are combined before
     they are shuffled; the means are broadcast if there are at most ``BROADCAST_SOURCES``
@@ -72,7 +96,7 @@ def mix(
     random ``order_key`` and in its order within the task, so that any part of the output
     is a random sample and sorting by the key gives one order for all.
     """
-    rows = without(docs, "replica", "order_key")
+    rows = without(docs, "replica", "order_key", "__d", "__i")
     name, chars = F.col(f"`{source}`"), F.char_length(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     sizes = rows.groupBy(name.alias("__s")).agg(F.sum(chars.cast("long")).alias("__n"))
     totals = sizes.agg(F.count("*"), F.sum("__n"), F.sum(F.pow(F.col("__n").cast("double"), F.lit(float(temperature))))).first()
@@ -87,10 +111,11 @@ def mix(
     means = sizes.select(F.col("__s"), bind(mean, distribution).alias("__mean"))
     if count <= BROADCAST_SOURCES:
         means = F.broadcast(means)
-    ident = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    drawn = rows.join(means, name.eqNullSafe(F.col("__s"))).withColumn("__k", poisson_count(F.col("__mean"), ident)).where("__k > 0")
+    drawn = _numbered(rows).join(means, name.eqNullSafe(F.col("__s"))).withColumn(
+        "__k", poisson_count(F.col("__mean"), F.concat_ws("|", "__d", "__i"))
+    ).where("__k > 0")
     copies = drawn.select(
-        *[F.col(f"`{c}`") for c in rows.columns], F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("replica"),
+        *[F.col(f"`{c}`") for c in rows.columns], "__d", "__i", F.explode(F.sequence(F.lit(0), F.col("__k") - 1)).alias("replica"),
     )
-    order = F.md5(F.concat_ws("|", F.lit(SEED), F.lit("order"), ident, F.col("replica").cast("string")).cast("binary"))
-    return copies.withColumn("order_key", order).repartition("order_key").sortWithinPartitions("order_key")
+    order = F.md5(F.concat_ws("|", F.lit(SEED), F.lit("order"), "__d", "__i", "replica").cast("binary"))
+    return copies.withColumn("order_key", order).drop("__d", "__i").repartition("order_key").sortWithinPartitions("order_key")

@@ -145,7 +145,8 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 register("op5_source_mixing", op5_source_mixing, f"""
-    WITH RECURSIVE d AS (SELECT doc_id, source, text, coalesce(doc_id::VARCHAR, '') AS ident FROM documents),
+    WITH RECURSIVE d AS (SELECT doc_id, source, text, md5(concat_ws('|', coalesce(md5(doc_id::VARCHAR), 'null'), coalesce(md5(source), 'null'),
+                 coalesce(md5(text), 'null'))) || '|' || (row_number() OVER (PARTITION BY doc_id, source, text) - 1) AS ident FROM documents),
     s AS (SELECT source, sum(length(coalesce(text, '')))::DOUBLE AS n FROM d GROUP BY source),
     m AS (SELECT source, CASE WHEN n > 0 THEN pow(n, {mixing.TEMPERATURE}) / (SELECT sum(pow(n, {mixing.TEMPERATURE})) FROM s)
                  * (SELECT sum(n) FROM s) / n ELSE 0 END AS mean FROM s),
@@ -156,9 +157,9 @@ register("op5_source_mixing", op5_source_mixing, f"""
     steps AS (SELECT source, list(below ORDER BY k) AS below FROM cdf GROUP BY source),
     draws AS (SELECT d.doc_id, d.source, d.text, d.ident, below, unnest(range(1, parts + 1)) AS i
               FROM d JOIN parts ON parts.source IS NOT DISTINCT FROM d.source JOIN steps ON steps.source IS NOT DISTINCT FROM d.source),
-    counted AS (SELECT doc_id, any_value(source) AS source, any_value(text) AS text, any_value(ident) AS ident,
+    counted AS (SELECT any_value(doc_id) AS doc_id, any_value(source) AS source, any_value(text) AS text, ident,
                        sum(len(list_filter(below, lambda b: b <= ('0x' || left(md5('{mixing.SEED}|' || ident || '|' || i), 13))::BIGINT
-                           / 4503599627370496.0::DOUBLE)))::BIGINT AS n FROM draws GROUP BY doc_id),
+                           / 4503599627370496.0::DOUBLE)))::BIGINT AS n FROM draws GROUP BY ident),
     copies AS (SELECT doc_id, source, text, ident, unnest(range(0, n))::INTEGER AS replica FROM counted)
     SELECT doc_id, source, text, replica, md5('{mixing.SEED}|order|' || ident || '|' || replica) AS order_key FROM copies
 """)

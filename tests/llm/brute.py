@@ -253,16 +253,18 @@ def poisson(mean, key):
     return sum(inverse_poisson(mean / parts, int(_md5(mixing.SEED, key, i)[:13], 16) / 2**52) for i in range(1, parts + 1))
 
 
-def mixed(rows, temperature=0.5):
-    """(doc_id, replica, order_key) of every copy of rows (doc_id, source, text)."""
-    sizes = Counter()
+def mixed(rows, temperature=0.5, wholes=None):
+    """(doc_id, replica, order_key) of every copy of rows (doc_id, source, text); ``wholes``: all columns of each row."""
+    sizes, seen = Counter(), Counter()
     for _, source, text in rows:
         sizes[source] += len(text or "")
     total, scaled = sum(sizes.values()), sum(n**temperature for n in sizes.values())
     out = []
-    for doc, source, _ in rows:
+    for (doc, source, _), whole in zip(rows, wholes or rows):
         n = sizes[source]
         mean = n**temperature / scaled * total / n if n else 0.0
-        ident = "" if doc is None else doc
+        digest = _md5(*["null" if v is None else hashlib.md5(str(v).encode()).hexdigest() for v in whole])
+        ident = f"{digest}|{seen[digest]}"
+        seen[digest] += 1
         out += [(doc, r, _md5(mixing.SEED, "order", ident, r)) for r in range(poisson(mean, ident))]
     return sorted(out, key=lambda r: r[2])

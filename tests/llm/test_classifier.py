@@ -1,3 +1,4 @@
+import hashlib
 import zlib
 
 import numpy as np
@@ -61,3 +62,30 @@ def test_few_labels(spark, labels):
     rows = classifier.score(docs, model).collect()
     assert len(rows) == 4 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7) for r in rows)
     assert classifier.score(docs.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("sample", [1, 5, 10_000])
+def test_fit_and_scores_equal_plain_ones(spark, sample):
+    """Ids are strings, one document makes up a third of all rows, and the sample bounds rows, not keys."""
+    rows = [("hot", "same words again")] * 40 + [(f"d{i}", f"good line number {i} ." if i % 2 else f"BAD ## {i} !!") for i in range(80)]
+    known = [("hot", 1)] + [(f"d{i}", i % 2) for i in range(80)]
+    docs, labels = spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame(known, "doc_id string, quality int")
+    model = classifier.fit(docs.repartition(5), labels, sample=sample)
+
+    kept = [(k, t, dict(known)[k]) for k, t in rows if zlib.crc32(k.encode()) % 4 != 2]
+    bag = lambda t: np.sort(classifier.features(pa.array([t]))[1])
+    counts = np.ones((2, classifier.FEATURES))
+    for _, text, label in kept:
+        counts[label][bag(text)] += 1
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    md5 = lambda s: hashlib.md5(s.encode()).hexdigest()
+    chosen = sorted((md5(f"{k}|{md5(t)}"), label, t) for k, t, label in kept)[:sample]
+    bags = [bag(t) for _, _, t in chosen]
+    values = [ratio[b] / max(np.sqrt((ratio[b] ** 2).sum()), 1e-12) for b in bags]
+    good = np.array([label == 1 for _, label, _ in chosen])
+    solved = classifier.descend(bags, values, np.where(good, 1.0, -1.0), classifier.FEATURES)
+    slope, shift = classifier._calibrated(np.array([solved[b] @ v for b, v in zip(bags, values)]) + solved[-1], good)
+    for row in classifier.score(docs, model, text="text").join(docs.distinct(), "doc_id").collect():
+        b = bag(row["text"])
+        margin = solved[:-1][b] @ (ratio[b] / max(np.sqrt((ratio[b] ** 2).sum()), 1e-12)) + solved[-1]
+        assert abs(row["score"] - 1 / (1 + np.exp(-np.clip(slope * margin + shift, -30, 30)))) < 1e-6

@@ -43,5 +43,19 @@ def test_same_rows_whatever_the_partitions(spark):
 def test_repeats_clashing_columns_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a", "hello", "r", 1)] * 3, SCHEMA + ", replica string, order_key int")
     rows = mixing.mix(docs, epochs=3.0).collect()
-    assert len(rows) % 3 == 0 and {r["replica"] for r in rows} == set(range(len(rows) // 3))
+    assert {r["doc_id"] for r in rows} == {1} and 0 in {r["replica"] for r in rows}
+    assert len({r["order_key"] for r in rows}) == len(rows)
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["text {}", "text"])
+def test_rows_of_one_key_are_drawn_one_by_one(spark, text):
+    """A third of all rows has one key, or is one row over and over: they reach their share and no task holds them in lumps."""
+    rows = [(7 if i % 3 else None, "hot", text.format(i % 10_000)) for i in range(2_000)] + [(i, "rest", f"text {i}") for i in range(4_000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    mixed = mixing.mix(docs, weights={"hot": 0.5, "rest": 0.5}, epochs=3.0)
+    per_row = (len("".join(t for _, _, t in rows)) * 1.5) / len("".join(t for _, s, t in rows if s == "hot"))
+    got = mixed.where("source = 'hot'").collect()
+    assert abs(len(got) - 2_000 * per_row) <= 5 * (2_000 * per_row) ** 0.5
+    assert len({r["order_key"] for r in got}) == len(got)
+    assert sorted(r["order_key"] for r in mixing.mix(docs).collect()) == [k for _, _, k in brute.mixed(rows)]

@@ -39,7 +39,7 @@ def test_personal_data_goes(outputs):
 
 
 def test_sources_are_mixed(outputs):
-    want = brute.mixed([(r["doc_id"], r["source"], r["text"]) for r in outputs[3]])
+    want = brute.mixed([(r["doc_id"], r["source"], r["text"]) for r in outputs[3]], wholes=[tuple(r) for r in outputs[3]])
     assert sorted(r["doc_id"] for r in outputs[4]) == sorted(d for d, _, _ in want)
 
 
@@ -80,9 +80,11 @@ def test_run_gives_the_rows_of_the_last_stage(spark, outputs):
 def test_whole_run_equals_brute_force(outputs):
     kept = [(r, j[7]) for r in outputs[0] if (j := brute.judged(r["text"]))[6]]
     first = set(brute.smallest_ids({r["doc_id"]: t for r, t in kept}))
-    rows = [(r["doc_id"], r["source"], brute.pseudonymised(t, PII_KEY)[0]) for r, t in kept if r["doc_id"] in first]
+    new = [(r, brute.pseudonymised(t, PII_KEY)[0]) for r, t in kept if r["doc_id"] in first]
+    rows = [(r["doc_id"], r["source"], t) for r, t in new]
+    wholes = [tuple({**r.asDict(), "text": t, "n_chars": len(t)}.values()) for r, t in new]
     text = {doc: t for doc, _, t in rows}
-    packed(outputs[5], [(doc, text[doc]) for doc, _, _ in brute.mixed(rows)])
+    packed(outputs[5], [(doc, text[doc]) for doc, _, _ in brute.mixed(rows, wholes=wholes)])
 
 
 def test_no_rows_and_odd_rows(spark):
