@@ -1,26 +1,33 @@
 """License notices in texts: an exact set-similarity join with templates.
 
-A block is a line of a text, taken as the set of its words; a template is the set
-of the words of a notice.  A block carries a template when it holds at least the
-share ``threshold`` of the template's words.  Words are ordered by the number of
-blocks of the corpus they occur in, rare ones first.  If a block b holds ``need``
-words of a template t, then one of the first ``|t| - need + 1`` words of t is among
-the first ``|b| - need + 1`` words of b (prefix filter), b has at least ``need``
-words (length filter), and no more words can follow a common word than either side
+A template is the set of the words of a notice.  A block is a run of words of a text, taken
+as the set of its words, wherever its lines end: for templates of up to R words (R one of
+``SIZES``) blocks hold 2 R words and start at every R-th, so that any R words in a row lie
+whole in one block.  A block carries a template when it holds at least the share
+``threshold`` of the template's words and, word by word, one of the phrases that tell the
+licence from others (its name with its version, or an opening clause).
+
+Words are ordered by the number of blocks of the corpus they occur in, rare ones first.  If
+a block b holds ``need`` words of a template t, then one of the first ``|t| - need + 1``
+words of t is among the first ``|b| - need + 1`` words of b (prefix filter), b has at least
+``need`` words (length filter), and no more words can follow a common word than either side
 has left (positional filter).  Pairs that pass are checked exactly.
 
-Words of no template can be in no overlap, so blocks are cut down to the words of
-the templates as they are read, which keeps the join exact and makes the order one
-over the templates' words.  Column expressions throughout; no Python on executors.
+Blocks without any of the phrases can carry no template and words of no template are in no
+overlap, so both are left out as texts are read, which keeps the join exact and makes the
+order one over the templates' words.  Column expressions throughout; no Python on executors.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuscle.functions.binding import bind
 from corpuscle.llm.common import ascii_lower, without
 from corpuscle.session import stage
 
@@ -33,24 +40,54 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-# Notices as they stand at the head or foot of texts, with the label of their licence.
+SIZES = (16, 64)  # words of a template, at most
+
+# Notices as they stand in texts: label, words, and phrases of which one must stand there word by word.
 TEMPLATES = (
-    ("mit", "Released under the MIT License"),
+    ("mit", "Released under the MIT License", ("the mit license", "under mit license")),
+    ("mit", "SPDX-License-Identifier: MIT", ("spdx license identifier mit",)),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-            "documentation files, to deal in the Software without restriction"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+            "documentation files, to deal in the Software without restriction",
+     ("permission is hereby granted free of charge",)),
+    ("apache-2", "Licensed under the Apache License, Version 2.0", ("apache license version 2", "apache license 2")),
+    ("apache-2", "SPDX-License-Identifier: Apache-2.0", ("license identifier apache 2",)),
+    ("gpl-3", "This work is licensed under the GNU General Public License, version 3",
+     ("general public license version 3", "general public license v3")),
+    ("gpl-3", "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+              "Free Software Foundation, either version 3 of the License, or any later version",
+     ("either version 3 of the license",)),
+    ("gpl-3", "SPDX-License-Identifier: GPL-3.0", ("license identifier gpl 3",)),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2",
+     ("general public license version 2", "general public license v2")),
+    ("gpl-2", "You can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+              "Free Software Foundation, either version 2 of the License, or any later version",
+     ("either version 2 of the license",)),
+    ("gpl-2", "SPDX-License-Identifier: GPL-2.0", ("license identifier gpl 2",)),
+    ("cc-by-nc", "Licensed under CC BY-NC 4.0", ("cc by nc 4", "cc by nc 3", "cc by nc 2")),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+     ("commons attribution noncommercial 4", "commons attribution noncommercial 3")),
+    ("cc-by", "Licensed under CC BY 4.0", ("cc by 4", "cc by 3", "cc by 2")),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License",
+     ("commons attribution 4", "commons attribution 3")),
+    ("bsd", "Released under the BSD License", ("the bsd license", "under bsd license")),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-            "the following conditions are met"),
-    ("all-rights-reserved", "All rights reserved"),
+            "the following conditions are met", ("redistribution and use in source and binary forms",)),
+    ("all-rights-reserved", "All rights reserved", ("all rights reserved",)),
 )
 
 
+def _split(text: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
 def words_of(text: str) -> list[str]:
     """Distinct words of a template, as the blocks are split."""
-    return list(dict.fromkeys("".join(c if c.isalnum() else " " for c in text.lower()).split()))
+    return list(dict.fromkeys(_split(text)))
+
+
+def size_of(notice: str) -> int:
+    """The size of blocks, in words, that a template is looked for in."""
+    return next(size for size in SIZES if len(_split(notice)) <= size)
 
 
 def _base(norm: Column, n_words: Column, phrases) -> dict[str, Column]:
@@ -82,60 +119,79 @@ def scan(
     A null text is an empty one.  Repeated rows are told apart and get equal results;
     an empty table gives no rows; input columns named like an output are replaced.
 
-    The corpus is read once; what is kept of it, the templates' words per line, is
+    The corpus is read once; what is kept of it, the templates' words of blocks with a phrase, is
     written to the shared folder and serves both the word counts and the join.  The
     templates are an argument, so they, their words and their index are of known size.
     """
     added = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks")
     own = without(docs, text, "row", *added)
-    sets = [(label, words_of(notice)) for label, notice in templates]
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, words in sets for w in words})])
+    sets = [(label, words_of(notice), tuple(marks), size_of(notice)) for label, notice, marks in templates]
+    every_mark = list(dict.fromkeys(mark for _, _, marks, _ in sets for mark in marks))
 
-    lower = ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    spaced = F.regexp_replace(lower, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
-    rows = docs.select(*[F.col(f"`{c}`") for c in own.columns], spaced.alias("__lines"))
-    rows = rows.withColumn("__norm", F.trim(F.regexp_replace("__lines", " *\n[ \n]*", " ")))
+    norm = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
+    rows = docs.select(*[F.col(f"`{c}`") for c in own.columns], norm.alias("__norm"))
     rows = rows.withColumn("n_words", F.when(F.col("__norm") == "", 0).otherwise(
         F.char_length("__norm") - F.char_length(F.replace("__norm", F.lit(" "), F.lit(""))) + 1
     ).cast("long")).withColumn("__norm", F.concat(F.lit(" "), "__norm", F.lit(" ")))
-    cut = F.transform(F.split("__lines", "\n", -1), lambda line: F.array_intersect(F.split(line, " "), vocabulary))
+
+    def has(run: Column, mark: str) -> Column:
+        return F.contains(run, F.lit(f" {mark} "))
+
+    def blocks_of(size: int) -> Column:
+        """Blocks with a phrase: size, number, the templates' words and the phrases."""
+        marks = list(dict.fromkeys(mark for _, _, marks, s in sets if s == size for mark in marks))
+        words = F.array(*[F.lit(w) for w in sorted({w for _, own_words, _, s in sets if s == size for w in own_words})])
+        cut = lambda runs: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(runs) - 2, F.lit(0))),
+            lambda at: F.struct(at.alias("block"), F.concat(F.lit(" "), F.get(runs, at), F.coalesce(F.get(runs, at + 1), F.lit(""))).alias("run")),
+        )
+        runs = F.regexp_extract_all(F.ltrim("__norm"), F.lit(f"(?:[^ ]++ ){{1,{size}}}"), F.lit(0))
+        marked = F.filter(bind(runs, cut), lambda b: reduce(or_, [has(b.run, mark) for mark in marks]))
+        return F.transform(marked, lambda b: F.struct(
+            F.lit(size).alias("size"), b.block.alias("block"), F.array_intersect(words, F.split(b.run, " ")).alias("words"),
+            F.array_compact(F.array(*[F.when(has(b.run, mark), F.lit(mark)) for mark in marks])).alias("marks"),
+        ))
+
+    sizes = sorted({size for *_, size in sets})
+    none = F.array().cast("array<struct<size:int,block:int,words:array<string>,marks:array<string>>>")
+    marked = F.when(
+        reduce(or_, [has(F.col("__norm"), mark) for mark in every_mark]), F.concat(*[blocks_of(size) for size in sizes]),
+    ).otherwise(none)
     kept = stage(rows.select(
         F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`") for c in own.columns], "n_words",
-        *[c.alias(n) for n, c in _base(F.col("__norm"), F.col("n_words"), phrases).items()], cut.alias("__blocks"),
+        *[c.alias(n) for n, c in _base(F.col("__norm"), F.col("n_words"), phrases).items()], marked.alias("__blocks"),
     ), "license-words")
 
-    counted = kept.select(F.explode(F.flatten("__blocks")).alias("word")).groupBy("word").count().collect()  # one row per template word
+    each = kept.select("row", F.inline("__blocks"))
+    counted = each.select(F.explode("words").alias("word")).groupBy("word").count().collect()  # one row per template word
     often = {r["word"]: r["count"] for r in counted}
-    order = sorted({w for _, words in sets for w in words}, key=lambda w: (often.get(w, 0), w))
+    order = sorted({w for _, words, _, _ in sets for w in words}, key=lambda w: (often.get(w, 0), w))
     index, least = [], None
-    for number, (label, words) in enumerate(sets):
+    for label, words, marks, reach in sets:
         ordered = [w for w in order if w in words]
         need = max(1, math.ceil(threshold * len(words) - 1e-9))
         least = need if least is None else min(least, need)
         for at, word in enumerate(ordered[: len(words) - need + 1]):
             index.append(F.struct(
                 F.lit(word).alias("word"), F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(need).alias("need"),
-                F.array(*[F.lit(w) for w in ordered]).alias("template"),
+                F.lit(reach).alias("reach"), F.array(*[F.lit(w) for w in ordered]).alias("template"),
+                F.array(*[F.lit(m) for m in marks]).alias("told_by"),
             ))
-    spark = docs.sparkSession
-    prefixes = spark.range(1).select(F.inline(F.array(*index)))
-    starts = F.array(*[F.lit(w) for w in sorted({w for _, words in sets for w in words})])
-    blocks = kept.select("row", F.posexplode("__blocks").alias("line", "block")).select(
-        "row", "line", F.array_intersect(F.array(*[F.lit(w) for w in order]), "block").alias("block"),
-    ).where((F.size("block") >= least) & F.arrays_overlap("block", starts))
-    heads = blocks.select("row", "line", "block", F.posexplode(F.slice("block", F.lit(1), F.size("block") - (least - 1))).alias("pos", "word"))
-    size, whole = F.size("block"), F.size("template")
+    prefixes = docs.sparkSession.range(1).select(F.inline(F.array(*index)))
+    ranked = each.withColumn("words", F.array_intersect(F.array(*[F.lit(w) for w in order]), "words")).where(F.size("words") >= least)
+    heads = ranked.select("*", F.posexplode(F.slice("words", F.lit(1), F.size("words") - (least - 1))).alias("pos", "word"))
+    size, whole = F.size("words"), F.size("template")
     pairs = heads.join(
         F.broadcast(prefixes),
-        (heads.word == prefixes.word) & (size >= F.col("need")) & (F.col("pos") <= size - F.col("need"))
+        (heads.word == prefixes.word) & (F.col("size") == F.col("reach")) & (size >= F.col("need")) & (F.col("pos") <= size - F.col("need"))
         & (1 + F.least(whole - F.col("at") - 1, size - F.col("pos") - 1) >= F.col("need")),
     )
-    shared = F.size(F.array_intersect("block", "template"))
-    hits = pairs.where(shared >= F.col("need")).groupBy("row").agg(
-        F.array_sort(F.collect_set(F.struct("line", "label", (shared / whole).alias("share")))).alias("blocks"),
+    shared = F.size(F.array_intersect("words", "template"))
+    hits = pairs.where((shared >= F.col("need")) & F.arrays_overlap("marks", "told_by")).groupBy("row").agg(
+        F.array_sort(F.collect_set(F.struct("size", "block", "label", (shared / whole).alias("share")))).alias("blocks"),
     )
     found = kept.drop("__blocks").join(hits, "row", "left")
-    every = F.coalesce("blocks", F.array().cast("array<struct<line:int,label:string,share:double>>"))
+    every = F.coalesce("blocks", F.array().cast("array<struct<size:int,block:int,label:string,share:double>>"))
     return found.withColumn("blocks", every).withColumn(
         "labels", F.array_join(F.array_sort(F.array_union("base_labels", F.transform("blocks", lambda b: b.label))), ","),
     ).withColumn(

@@ -19,19 +19,30 @@ def op1_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     path = warc.write_archive(table(spark, folder, "pages"))
     return warc.read_archive(spark, path).select(
         F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "uri",
+        F.octet_length("record").cast("long").alias("record_bytes"), F.sha2("record", 256).alias("record_sha256"),
     )
 
 
-register("op1_warc_archive", op1_warc_archive, """
-    WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
-    f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
-    SELECT page_id, strlen(h) AS payload_bytes,
-           array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+register("op1_warc_archive", op1_warc_archive, f"""
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, chr(13) || chr(10) AS e FROM pages),
+    f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+    r AS (SELECT page_id, h, e, strlen(h) AS payload_bytes,
+           array_to_string(list_transform(range(0, 32), lambda i: substr('{warc.BASE32}',
                (1 + ((('0x' || substr(sha1(h), CAST((i // 4) * 5 + 1 AS BIGINT), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31))::BIGINT, 1)), '')
                AS payload_digest,
            CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
-           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, coalesce(url, '') AS uri
-    FROM p JOIN f USING (h)
+           CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to, coalesce(url, '') AS uri,
+           'HTTP/1.1 200 OK' || e || 'Content-Type: text/html; charset=UTF-8' || e || 'Content-Length: ' || strlen(h) || e || e AS http
+          FROM p JOIN f USING (h)),
+    whole AS (SELECT *, 'WARC/1.1' || e || 'WARC-Type: ' || record_type
+           || e || 'WARC-Target-URI: ' || replace(replace(uri, chr(13), '%0D'), chr(10), '%0A')
+           || e || 'WARC-Date: 1970-01-01T00:00:00Z' || e || 'WARC-Record-ID: <urn:page:' || page_id || '>'
+           || e || 'Content-Type: application/http; msgtype=response' || e || 'WARC-Payload-Digest: sha1:' || payload_digest
+           || CASE WHEN refers_to IS NULL THEN '' ELSE e || 'WARC-Profile: {warc.IDENTICAL}' || e || 'WARC-Refers-To: <urn:page:' || refers_to || '>' END
+           || e || 'Content-Length: ' || (strlen(http) + CASE WHEN refers_to IS NULL THEN payload_bytes ELSE 0 END) || e || e || http
+           || CASE WHEN refers_to IS NULL THEN h ELSE '' END || e || e AS record FROM r)
+    SELECT page_id, payload_bytes, payload_digest, record_type, refers_to, uri,
+           strlen(record) AS record_bytes, sha256(record) AS record_sha256 FROM whole
 """)
 
 
@@ -94,7 +105,10 @@ def _sql_list(values) -> str:
 
 WORD_ONLY = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-TEMPLATE_ROWS = ", ".join(f"('{label}', {_sql_list(licenses.words_of(notice))})" for label, notice in licenses.TEMPLATES)
+TEMPLATE_ROWS = ", ".join(
+    f"('{label}', {_sql_list(licenses.words_of(notice))}, {_sql_list(marks)}, {licenses.size_of(notice)})"
+    for label, notice, marks in licenses.TEMPLATES
+)
 BASE_ROWS = " UNION ALL ".join(
     f"SELECT doc_id, '{label}' AS label, {_places(phrase)} AS places FROM w" for phrase, label in licenses.PHRASES
 )
@@ -105,12 +119,14 @@ register("op2_license_scan", op2_license_scan, f"""
     base AS ({BASE_ROWS}),
     based AS (SELECT doc_id, sum(len(places))::BIGINT AS n_base, min(places[1] - 1) AS first_word, max(places[-1] - 1) AS last_word,
                      list(label) FILTER (len(places) > 0) AS found FROM base GROUP BY doc_id),
-    templates AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) AS v(label, words)),
-    lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '{WORD_ONLY}')) AS words
-              FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
-    hits AS (SELECT doc_id, label, len(list_intersect(l.words, t.words)) / len(t.words)::DOUBLE AS share
-             FROM lines l, templates t
-             WHERE len(list_intersect(l.words, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)),
+    templates AS (SELECT * FROM (VALUES {TEMPLATE_ROWS}) AS v(label, words, marks, size)),
+    starts AS (SELECT doc_id, size, list_slice(w, nth * size + 1, (nth + 2) * size) AS run
+               FROM (SELECT doc_id, w, size, unnest(range(0, greatest((len(w) + size - 1) // size - 1, 1))) AS nth
+                     FROM w, (SELECT DISTINCT size FROM templates))),
+    hits AS (SELECT doc_id, label, len(list_intersect(run, t.words)) / len(t.words)::DOUBLE AS share
+             FROM starts l JOIN templates t ON t.size = l.size
+             WHERE len(list_intersect(run, t.words)) >= ceil({licenses.THRESHOLD} * len(t.words) - 1e-9)
+               AND len(list_filter(t.marks, lambda m: contains(' ' || array_to_string(run, ' ') || ' ', ' ' || m || ' '))) > 0),
     method AS (SELECT doc_id, list(DISTINCT label) AS found, max(share) AS score FROM hits GROUP BY doc_id)
     SELECT w.doc_id, len(w) AS n_words, n_base, first_word, last_word,
            array_to_string(list_sort(list_distinct(coalesce(based.found, []))), ',') AS base_labels,

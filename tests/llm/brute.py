@@ -57,13 +57,14 @@ def license_row(text):
         places += at
         base |= {label} if at else set()
     best, labels = 0.0, set(base)
-    for line in lowered(text).split("\n"):
-        have = set(ALNUM.findall(line))
-        for label, notice in licenses.TEMPLATES:
-            want = set(licenses.words_of(notice))
-            if len(have & want) >= math.ceil(licenses.THRESHOLD * len(want) - 1e-9):
+    for label, notice, marks in licenses.TEMPLATES:
+        want, size = set(licenses.words_of(notice)), licenses.size_of(notice)
+        for at in range(0, max(len(words) - size, 1), size):
+            run = words[at:at + 2 * size]
+            said = any(f" {mark} " in f" {' '.join(run)} " for mark in marks)
+            if said and len(set(run) & want) >= math.ceil(licenses.THRESHOLD * len(want) - 1e-9):
                 labels.add(label)
-                best = max(best, len(have & want) / len(want))
+                best = max(best, len(set(run) & want) / len(want))
     return (len(words), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), max(best, 1.0 if places else 0.0))
 

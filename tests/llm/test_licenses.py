@@ -15,9 +15,11 @@ TEXTS = [
 
 def test_equals_brute_force(spark):
     draw = random.Random(11)
-    words = sorted({w for _, t in licenses.TEMPLATES for w in licenses.words_of(t)} | {"x", "y", "\n", "\n", "Ü"})
+    words = sorted({w for _, t, _ in licenses.TEMPLATES for w in licenses.words_of(t)} | {"x", "y", "\n", "\n", "Ü"})
     texts = TEXTS + [" ".join(draw.choices(words, k=draw.randint(1, 60))) for _ in range(200)]
-    texts += [" ".join(draw.sample(licenses.words_of(t), k=max(1, len(licenses.words_of(t)) - draw.randint(0, 4)))) for _, t in licenses.TEMPLATES for _ in range(12)]
+    texts += [f"{notice} {mark} {notice[:draw.randint(0, 60)]}" for _, notice, marks in licenses.TEMPLATES for mark in marks]
+    texts += [f"{mark} " + "x " * draw.randint(0, 70) + notice[:90] for _, notice, marks in licenses.TEMPLATES for mark in marks]
+    texts += [" ".join(draw.sample(licenses.words_of(t), k=max(1, len(licenses.words_of(t)) - draw.randint(0, 4)))) for _, t, _ in licenses.TEMPLATES for _ in range(12)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     rows = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
     for i, text in enumerate(texts):
@@ -36,3 +38,40 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "All rights reserved")], "doc_id long, text string")
     plan = licenses.scan(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\n"
+    "of this software and associated documentation files (the \"Software\"), to deal\n"
+    "in the Software without restriction, including without limitation the rights\n"
+    "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\n"
+)
+BSD = (
+    "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions are met:\n"
+)
+KNOWN = {
+    "Released under the BSD License": "bsd", "Released under the MIT License": "mit", "Released under the Apache License": "",
+    "Licensed under CC BY 4.0": "cc-by", "Licensed under CC BY-NC 4.0": "cc-by-nc",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+    "This work is licensed under the GNU General Public License, version 2": "gpl-2",
+    "This work is licensed under the GNU General Public License, version 3": "gpl-3",
+    "SPDX-License-Identifier: MIT": "mit", MIT: "mit", BSD: "bsd", "All rights\nreserved": "all-rights-reserved",
+    "rights of all are reserved": "",
+}
+
+
+def test_known_notices_wherever_they_stand(spark):
+    texts = {before + notice + after: label for notice, label in KNOWN.items()
+             for before in ("", "word " * 15, "line\n" * 63, "word " * 1_001) for after in ("", " and more" * 40)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert got == {i: label for i, label in enumerate(texts.values())}
+
+
+def test_long_lines_of_common_words_carry_nothing(spark):
+    draw = random.Random(5)
+    words = sorted({w for _, t, _ in licenses.TEMPLATES for w in licenses.words_of(t)})
+    docs = spark.createDataFrame([(i, " ".join(draw.choices(words, k=3_000))) for i in range(20)], "doc_id long, text string")
+    assert {(r["labels"], r["score"]) for r in licenses.scan(docs).collect()} == {("", 0.0)}
