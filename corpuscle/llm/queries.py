@@ -181,15 +181,18 @@ register("op5_source_mixing", op5_source_mixing, f"""
 """)
 
 
+SHARD_BYTES = 128 * 1024  # small enough that tables of a few megabytes are split too
+
+
 def op8_extendible_shards(spark: SparkSession, folder: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, folder, "documents"))
+    return sharding.assign_shards(table(spark, folder, "documents"), limit=SHARD_BYTES)
 
 
 register("op8_extendible_shards", op8_extendible_shards, f"""
     WITH d AS (SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes, array_to_string(list_transform(range(1, 17),
                  lambda i: lpad(bin(('0x' || substr(md5(doc_id::VARCHAR), i::BIGINT, 1))::INTEGER), 4, '0')), '') AS bits FROM documents),
     levels AS (SELECT doc_id, n_bytes, k, left(bits, k) AS prefix FROM (SELECT *, unnest(range(0, 33)) AS k FROM d)),
-    fits AS (SELECT *, sum(n_bytes) OVER b <= {sharding.LIMIT} OR count(*) OVER b = 1 AS fit FROM levels
+    fits AS (SELECT *, sum(n_bytes) OVER b <= {SHARD_BYTES} OR count(*) OVER b = 1 AS fit FROM levels
              WINDOW b AS (PARTITION BY k, prefix))
     SELECT doc_id, any_value(n_bytes)::BIGINT AS n_bytes, arg_min(prefix, k) AS shard, min(k)::INTEGER AS depth
     FROM fits WHERE fit GROUP BY doc_id
