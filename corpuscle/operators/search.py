@@ -2,10 +2,11 @@
 
 Two physical forms give the same rows; the caller names the one to use:
 
-* **scan**: the queries are shipped to every task in groups of bounded size, the
-  corpus is read where it lies, once per group, and each task passes on no more
-  than k rows per query.  The corpus is not shuffled.  The k-th scores among the
-  first rows of the corpus are floors below which tasks keep rows to themselves.
+* **scan**: the queries are shipped to every task in lots of bounded bytes, the
+  corpus is read where it lies, once per lot, and each task passes on no more
+  than k rows per query and block.  The corpus is not shuffled.  Of a lot that is
+  one group, the k-th scores among the first rows of the corpus are floors below which
+  tasks keep rows to themselves; a larger lot meets each block group by group.
 * **cells**: the corpus is split into cells around sampled pivots.  A query first
   visits its nearest cells; the k-th score found there bounds, through the
   triangle inequality, which other cells can still hold a better row, and only
@@ -33,9 +34,11 @@ from pyspark.sql import types as ST
 
 from corpuscle.functions.vectors import cosine, cosine_strict, dot, euclidean_score, is_finite, literal_vector
 from corpuscle.operators.cells import CellTable, nearest_first, open_cells, temporary_cells
-from corpuscle.operators.scoring import GRID, METRICS, Vectors, Winners
+from corpuscle.operators.scoring import GRID, METRICS, Block, Vectors, Winners
 from corpuscle.session import stage
 
+BLOCK = 8 << 20  # of corpus rows that many groups of queries meet at once
+
 
 def top_k_single(corpus: DataFrame, query: list[float], k: int, ids: list[str], vec: str = "vec",
                  metric: str = "cosine") -> DataFrame:
@@ -92,11 +95,12 @@ def top_k(
 
     if form == "scan" and probes is None:
         merged = []
-        for group, last in _groups(queries, query_vec, group_queries, group_bytes):
-            scan = _Scan(group, corpus, kept, query_id, query_vec, ids, vec, metric)
-            hits = _merge(scan.hits(scan.floor(floor_rows)), [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
+        for lot, last in _lots(queries, query_vec, group_queries, group_bytes):
+            scan = _Scan(lot, corpus, kept, query_id, query_vec, ids, vec, metric, group_queries)
+            floor = scan.floor(floor_rows if lot.num_rows <= group_queries else 0)
+            hits = _merge(scan.hits(floor), [query_id] + ([shard] if shard else []) + ["_part"], ids, kept)
             if not last or merged:
-                # One group of many: its hits are written, so that its queries need not stay.
+                # One lot of many: its hits are written, so that its queries need not stay.
                 hits = stage(hits, "scan-hits")
                 scan.shipped.destroy()
             merged.append(hits)
@@ -141,18 +145,18 @@ def _in_cells(queries: DataFrame, table: CellTable, k: int, query_id: str, query
     return ranked.join(named, reduce(lambda a, b: a & b, same)).select(query_id, *payload, "score", "rank")
 
 
-def _groups(queries: DataFrame, query_vec: str, rows: int, size: int) -> Iterator[tuple[pa.Table, bool]]:
-    """The queries in groups of about ``rows`` rows and ``size`` bytes at most, and whether a group is the last."""
+def _lots(queries: DataFrame, query_vec: str, rows: int, size: int) -> Iterator[tuple[pa.Table, bool]]:
+    """The queries in lots of about ``size`` bytes at most, and whether a lot is the last; ``rows`` and fewer are one."""
     head = queries.limit(rows + 1).toArrow()
     if head.num_rows <= rows and head.nbytes <= size:
         yield head, True
         return
     queries, dim = _staged(queries, query_vec)
-    most = max(1, min(rows, size // (8 * max(dim, 1))))
+    most = max(1, size // (16 * max(dim, 1)))  # half of it for ids
     count = -(-queries.count() // most)
-    grouped = queries.withColumn("_group", F.pmod(F.xxhash64(*queries.columns), F.lit(count)))
+    lots = queries.withColumn("_lot", F.pmod(F.xxhash64(*queries.columns), F.lit(count)))
     for number in range(count):
-        yield grouped.where(F.col("_group") == number).drop("_group").toArrow(), number == count - 1
+        yield lots.where(F.col("_lot") == number).drop("_lot").toArrow(), number == count - 1
 
 
 def _staged(queries: DataFrame, query_vec: str) -> tuple[DataFrame, int]:
@@ -203,9 +207,9 @@ class _Scan:
     """The search that ships the queries to the corpus; see the head of this module."""
 
     def __init__(self, few: pa.Table, corpus: DataFrame, k: int, query_id: str, query_vec: str,
-                 ids: list[str], vec: str, metric: str):
+                 ids: list[str], vec: str, metric: str, at_once: int = 4096):
         _query_vectors(few, query_vec)  # raises here rather than in every task
-        self.few, self.corpus, self.k = few, corpus, k
+        self.few, self.corpus, self.k, self.at_once = few, corpus, k, at_once
         self.query_id, self.query_vec, self.ids, self.vec, self.metric = query_id, query_vec, ids, vec, metric
         spark = corpus.sparkSession
         self.shipped = spark.sparkContext.broadcast(few)
@@ -216,7 +220,7 @@ class _Scan:
     def hits(self, floor: np.ndarray | None = None) -> DataFrame:
         """The best rows each task has seen, none below ``floor``."""
         query_id, query_vec, vec = self.query_id, self.query_vec, self.vec
-        k, metric, ids, shipped, merge_parts = self.k, self.metric, self.ids, self.shipped, self.merge_parts
+        k, metric, ids, shipped, merge_parts, at_once = self.k, self.metric, self.ids, self.shipped, self.merge_parts, self.at_once
         part_field = ST.StructField("_part", ST.IntegerType())
         schema = _hit_schema(self.corpus, vec, _arrow_field(self.few, query_id), [part_field])
         order = [f.name for f in schema.fields]
@@ -226,13 +230,31 @@ class _Scan:
 
             task = TaskContext.get().partitionId()
             table = shipped.value
-            winners = Winners(_query_vectors(table, query_vec), k, metric, ids, floor)
-            for batch in batches:
-                winners.offer(pa.Table.from_batches([batch]), vec)
-            found = winners.result()
-            if found is not None:
-                found = found.append_column("_part", pa.array(np.full(found.num_rows, task % merge_parts), pa.int32()))
-                yield from _named(found, table.column(query_id), order, query_id).to_batches(10_000)
+
+            def named(found: pa.Table | None, asked: pa.ChunkedArray) -> Iterator[pa.RecordBatch]:
+                if found is not None:
+                    found = found.append_column("_part", pa.array(np.full(found.num_rows, task % merge_parts), pa.int32()))
+                    yield from _named(found, asked, order, query_id).to_batches(10_000)
+
+            if table.num_rows <= at_once:
+                winners = Winners(_query_vectors(table, query_vec), k, metric, ids, floor)
+                for batch in batches:
+                    winners.offer(pa.Table.from_batches([batch]), vec)
+                yield from named(winners.result(), table.column(query_id))
+                return
+            # Many groups: each meets a block before the next block comes, and keeps its floors alone.
+            groups = [slice(at, min(at + at_once, table.num_rows)) for at in range(0, table.num_rows, at_once)]
+            floors = np.full(table.num_rows, -np.inf) if floor is None else floor.copy()
+            dim = _query_vectors(table.slice(0, 1), query_vec).dim
+            for rows in _blocks(batches):
+                block = Block(rows, vec, ids, dim)
+                for group in groups:
+                    asked = table.slice(group.start, group.stop - group.start)
+                    winners = Winners(_query_vectors(asked, query_vec), k, metric, ids, floors[group])
+                    winners.meet(block)
+                    found = winners.result()
+                    floors[group] = winners.floor
+                    yield from named(found, asked.column(query_id))
 
         return self.corpus.mapInArrow(run, schema)
 
@@ -252,6 +274,18 @@ class _Scan:
         return winners.floor
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches put together to tables of about ``BLOCK`` bytes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= BLOCK:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _arrow_field(table: pa.Table, name: str) -> ST.StructField:
     from pyspark.sql.pandas.types import from_arrow_type
 

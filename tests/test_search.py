@@ -2,11 +2,13 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corpuscle.operators import scoring
 from corpuscle.operators.cells import build_cells, temporary_cells
-from corpuscle.operators.search import _CellSearch, _Scan, top_k, top_k_in_cells, top_k_single
+from corpuscle.operators.search import _CellSearch, _lots, _Scan, top_k, top_k_in_cells, top_k_single
 
 DIM = 8
 
@@ -246,3 +248,33 @@ def test_bad_arguments(spark):
         top_k(asked, corpus, 0, "qid", ["id"])
     with pytest.raises(ValueError):
         top_k(asked, corpus, 1, "qid", ["id"], metric="manhattan")
+
+
+@pytest.mark.parametrize("metric", ["cosine", "cosine_strict", "dot"])
+def test_rough_scores_lose_no_row(metric, monkeypatch):
+    draw = np.random.default_rng(8)
+    corpus = draw.standard_normal((3000, 16)) * 2.0 ** draw.integers(-1, 2, 3000)[:, None]
+    corpus[::40] = corpus[0]  # copies tie
+    corpus[2005] = 0.0
+    table = pa.table({"id": pa.array(range(3000)), "vec": pa.array(list(corpus), pa.list_(pa.float64()))})
+
+    def best():
+        winners = scoring.Winners(scoring.Vectors(table.column("vec").slice(0, 300)), 6, metric, ["id"])
+        for at in range(0, 3000, 1500):
+            winners.offer(table.slice(at, 1500), "vec")
+        found = winners.result()
+        return list(zip(*(found.column(c).to_pylist() for c in ("_query", "_score", "id"))))
+
+    scored = []
+    whole = scoring.score
+    monkeypatch.setattr(scoring, "score", lambda q, part, b, m: scored.append(part.stop - part.start) or whole(q, part, b, m))
+    quick = best()
+    assert sum(scored) < 2 * 300  # some queries at least were not scored against every row
+    monkeypatch.setattr(scoring.Block, "_roughly", lambda self, metric: None)
+    assert quick == best()
+
+
+def test_many_groups_of_queries_are_one_lot(spark):
+    few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(500)], "qid long, query_vec array<double>")
+    lots = list(_lots(few, "query_vec", 10, 64 << 20))
+    assert [last for _, last in lots] == [True] and sorted(lots[0][0].column("qid").to_pylist()) == list(range(500))
