@@ -23,12 +23,13 @@ from pyspark.sql import types as ST
 
 from corpuscle.functions.vectors import is_finite
 from corpuscle.operators.cells import CellTable, build_cells, nearest_first, open_cells
-from corpuscle.operators.scoring import GRID, Vectors, paired
+from corpuscle.operators.scoring import GRID, STRIPES, Vectors, paired, shortlist, striped
 from corpuscle.session import stage
 
 SAMPLE = 20_000  # rows that typical parts are learned from, at most
 WORDS = 256  # typical parts, at most: a number of one byte
 PASSES = 12
+AT_ONCE = 16  # queries whose rough products with a block are held at once
 BLOCK = 1 << 16  # rows and queries that meet in one task, at most
 
 
@@ -49,6 +50,14 @@ class Codebook:
             out[:, p] = nearest(residuals[:, cuts[p]:cuts[p + 1]], words)
         return out
 
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """The residuals that codes stand for."""
+        cuts = self.cuts()
+        out = np.empty((len(codes), cuts[-1]))
+        for p, words in enumerate(self.words):
+            out[:, cuts[p]:cuts[p + 1]] = words[codes[:, p]]
+        return out
+
     def tables(self, queries: np.ndarray) -> np.ndarray:
         """For each query its product with every word of every part."""
         cuts = self.cuts()
@@ -58,6 +67,27 @@ class Codebook:
         return out
 
 
+def _runs(rows: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Each number of a sorted array with where it starts and ends."""
+    found, starts = np.unique(rows, return_index=True)
+    yield from zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(rows)])
+
+
+def _rough(decoded: np.ndarray) -> np.ndarray | None:
+    """Decoded residuals for ``shortlist``; none for few rows or extreme norms."""
+    most = float(np.sqrt(np.einsum("ij,ij->i", decoded, decoded).max(initial=0.0)))
+    return striped((decoded / most).astype(np.float32)) if len(decoded) >= STRIPES ** 2 and 1e-100 < most < 1e100 else None
+
+
+def _short(queries: np.ndarray, rough: np.ndarray, n: int, k: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Pairs of a query and a row that can be among its ``k`` best by their codes; none if they are many."""
+    norms = np.linalg.norm(queries, axis=1)
+    if not (1e-100 < norms.min() and norms.max() < 1e100):
+        return None
+    unit = (queries / norms[:, None]).astype(np.float32)
+    return shortlist(unit, rough, n, k, np.full(len(queries), -np.inf), np.zeros(len(queries)))
+
+
 def nearest(rows: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.argmin(np.einsum("ij,ij->i", words, words)[None, :] - 2.0 * rows @ words.T, axis=1)
 
@@ -178,12 +208,20 @@ def top_k_quantized(
         points = geometry.points(Vectors(who.column("_asked"), dim), queries=True)[:, :dim]
         base = points @ pivots[rows.column("_cell")[0].as_py()][:dim]
         chosen_rows, chosen_queries, scores = [], [], []
-        for at in range(who.num_rows):
-            near = book.tables(points[at:at + 1])[0].ravel()[places].sum(axis=1) + base[at]
-            best = np.argpartition(-near, most - 1)[:most] if len(near) > most else np.arange(len(near))
-            chosen_rows.append(best)
-            chosen_queries.append(np.full(len(best), at))
-            scores.append(near[best])
+        rough = _rough(book.decode(coded))
+        for at in range(0, who.num_rows, AT_ONCE):
+            asked_points = points[at:at + AT_ONCE]
+            short = None if rough is None else _short(asked_points, rough, rows.num_rows, most)
+            if short is None:
+                short = np.divmod(np.arange(len(asked_points) * rows.num_rows), rows.num_rows)
+            tables = book.tables(asked_points).reshape(len(asked_points), -1)
+            for q, start, end in _runs(short[0]):
+                cols = short[1][start:end]
+                near = tables[q][places[cols]].sum(axis=1) + base[at + q]
+                best = np.argpartition(-near, most - 1)[:most] if len(near) > most else np.arange(len(near))
+                chosen_rows.append(cols[best])
+                chosen_queries.append(np.full(len(best), at + q))
+                scores.append(near[best])
         taken = rows.take(pa.array(np.concatenate(chosen_rows)))
         asked_ids = who.column(query_id).take(pa.array(np.concatenate(chosen_queries)))
         return pa.table([asked_ids, *[taken.column(c) for c in ids], taken.column("_cell"), pa.array(np.concatenate(scores))],

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpuscle.operators.quantized import WORDS, Codebook, build_quantized, top_k_quantized, typical
+from corpuscle.operators.quantized import WORDS, Codebook, _rough, _short, build_quantized, top_k_quantized, typical
 from corpuscle.operators.search import top_k
 
 KIND = "id long, vec array<double>, label string"
@@ -61,3 +61,16 @@ def test_odd_rows(spark, tmp_path):
     assert top_k_quantized(asked.limit(0), str(tmp_path / "q"), 9, "q").count() == 0
     with pytest.raises(ValueError):
         build_quantized(corpus, str(tmp_path / "r"), ["id"], metric="euclidean")
+
+
+def test_short_lists_hold_the_best_rows_by_their_codes():
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(5000, 8))
+    book = Codebook([typical(x[:, p:p + 2]) for p in range(0, 8, 2)], 8)
+    codes, queries = book.encode(x), draw.normal(size=(20, 8))
+    near = np.stack([sum(t[p, codes[:, p]] for p in range(4)) for t in book.tables(queries)])
+    found, cols = _short(queries, _rough(book.decode(codes)), len(x), 12)
+    assert len(cols) < near.size // 20
+    for q in range(20):
+        kth = np.sort(near[q])[-12]
+        assert set(np.flatnonzero(near[q] > kth)) <= set(cols[found == q]) and (found == q).sum() >= 12
