@@ -170,3 +170,11 @@ def test_staged_tables_can_be_discarded(spark):
     assert staged.count() == 3 and discard_staged(spark) >= 1 and discard_staged(spark) == 0
     with pytest.raises(Exception):
         staged.collect()
+
+
+def test_a_stream_lists_its_files_in_few_tasks_and_leaves_the_session_alone(spark, tmp_path):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    files = file_stream(spark, str(tmp_path))
+    assert files.sparkSession.conf.get(name) == "32" and spark.conf.get(name) == before
+    assert files.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
