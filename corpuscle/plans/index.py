@@ -153,8 +153,12 @@ def chunk_records(
         chunks = chunk_by_paragraph(named, min_len=min_chars, separator=separator)
     else:
         chunks = chunk(named.withColumn("text", T.sanitize(F.col("text"))))
-    cleaned = chunks.withColumn("text", T.sanitize(F.col("text")))
-    kept = cleaned.where(T.long_enough(F.col("text"), min_chars) & ~T.looks_corrupted(F.col("text")))
+    # As arrays of one: a filter on rows would sanitise a chunk again for every rule.
+    cleaned = F.filter(
+        F.array(F.struct(T.sanitize(F.col("text")).alias("text"))),
+        lambda c: T.long_enough(c.text, min_chars) & ~T.looks_corrupted(c.text),
+    )
+    kept = chunks.select("source", F.inline(cleaned))
     return embed_column(kept, make_embedder, vec="embedding").select(
         H.chunk_key(F.col("source"), F.col("text")).alias("id"), "source", "text", "embedding", "embed_error"
     )

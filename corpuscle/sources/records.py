@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
+from corpuscle.functions.binding import bind
 from corpuscle.sources.files import lines
 from corpuscle.sources.sinks import BUILDS
 
@@ -14,31 +15,27 @@ from corpuscle.sources.sinks import BUILDS
 CHUNK_RECORD = "id variant, source string, text variant, embedding array<double>"
 
 
-def _json_chunks(spark: SparkSession, path: str) -> DataFrame:
-    record = F.from_json("value", CHUNK_RECORD).alias("r")
-    parsed = spark.read.text(path).select(record).select("r.*")
-
-    def is_string(field: str):
+def _usable(record: Column) -> Column:
+    def is_string(field: Column) -> Column:
         return F.coalesce(F.schema_of_variant(field) == "STRING", F.lit(False))
 
-    whole = F.coalesce(F.forall("embedding", lambda x: x.isNotNull()), F.lit(False))
-    return parsed.select(
-        F.try_variant_get("id", "$", "string").alias("id"),
-        "source",
-        F.try_variant_get("text", "$", "string").alias("text"),
-        "embedding",
-        (is_string("id") & is_string("text") & whole).alias("usable"),
-    )
+    whole = F.coalesce(F.forall(record["embedding"], lambda x: x.isNotNull()), F.lit(False))
+    return is_string(record["id"]) & is_string(record["text"]) & whole
 
 
 def json_chunks(spark: SparkSession, path: str) -> DataFrame:
     """Chunk records; lines that are blank, malformed, lack a required field or have a gap in the vector are left out."""
-    return _json_chunks(spark, path).where("usable").drop("usable")
+    # Filtered as arrays of one: a filter on rows would parse a line again for every field it looks at.
+    record = F.filter(F.array(F.from_json("value", CHUNK_RECORD)), _usable)
+    return spark.read.text(path).select(F.inline(record)).select(
+        F.try_variant_get("id", "$", "string").alias("id"), "source", F.try_variant_get("text", "$", "string").alias("text"), "embedding",
+    )
 
 
 def json_chunk_counts(spark: SparkSession, path: str) -> DataFrame:
     """How many lines were parsed and how many skipped, blank lines included."""
-    return _json_chunks(spark, path).agg(
+    usable = bind(F.from_json("value", CHUNK_RECORD), _usable).alias("usable")
+    return spark.read.text(path).select(usable).agg(
         F.count_if("usable").alias("parsed"), F.count_if(~F.col("usable")).alias("skipped")
     )
 

@@ -168,3 +168,10 @@ def test_a_rebuilt_index_takes_the_place_of_the_old_one(spark, tmp_path):
     assert records.sharded_index(spark, path).count() == 2
     sinks.write_sharded_index(df.where("shard = 1"), path)
     assert [r.doc_id for r in records.sharded_index(spark, path).collect()] == ["b"] and before.count() == 2
+
+
+def test_a_json_line_is_parsed_once(spark, tmp_path):
+    spark.createDataFrame([('{"id": "a", "source": "s", "text": "t", "embedding": [1.0]}',), ("{bad",)], "value string").write.text(str(tmp_path / "lines"))
+    read = records.json_chunks(spark, str(tmp_path / "lines"))
+    assert [r["id"] for r in read.collect()] == ["a"]
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
