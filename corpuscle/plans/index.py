@@ -17,6 +17,8 @@ from corpuscle.session import stage
 from corpuscle.sources.records import docs_table
 from corpuscle.sources.sinks import publish_build, retire_builds, write_build, write_csv_index, write_json_chunks
 
+FEW_SHARDS = 16
+
 MakeEmbedder = Callable[[], Embedder]
 
 
@@ -50,7 +52,8 @@ def reused_rows(
     the model fails on is tried again in the next run.
     """
     placed = docs.select(F.col("docId").alias("doc_id"), "text", H.shard_of(F.col("docId"), shards).alias("shard"))
-    chunks = stage(chunk(placed, "text", max_chars, overlap).withColumn("hash", H.sha256(F.col("text"))), "index-chunks")
+    # Cut again whenever they are needed: writing and reading them costs more.
+    chunks = chunk(placed, "text", max_chars, overlap).withColumn("hash", H.sha256(F.col("text")))
     spark = docs.sparkSession
     kept = "model string, hash string, vec array<float>"
     hashes = chunks.select("hash").distinct()
@@ -61,15 +64,16 @@ def reused_rows(
     errors = None
     if not hashes.isEmpty():
         unknown = chunks.join(hashes, "hash", "left_semi").groupBy("hash").agg(F.first("text").alias("text"))
-        embedded = stage(embed_column(unknown, make_embedder, batch=batch, **embedding), "new-vectors")
+        embedded = stage(embed_column(unknown, make_embedder, batch=batch, **embedding).drop("text"), "new-vectors")
         embedded.where(F.col("vec").isNotNull()).select(F.lit(model).alias("model"), "hash", "vec").write.mode("append").parquet(vectors)
         errors = embedded.where(F.col("vec").isNull()).select("hash", "embed_error")
     have = spark.read.schema(kept).parquet(vectors).where(F.col("model") == model) if table_exists(spark, vectors) else None
     found = chunks.withColumn("vec", F.lit(None).cast("array<float>")) if have is None else chunks.join(
         have.groupBy("hash").agg(F.first("vec").alias("vec")), "hash", "left")
     found = found.withColumn("embed_error", F.lit(None).cast("string")) if errors is None else found.join(errors, "hash", "left")
-    # Written, as rows count themselves and a plan that turns out empty would not.
-    return stage(found.select("shard", "doc_id", "chunk_id", "text", "vec", "embed_error"), "index-rows")
+    rows = found.select("shard", "doc_id", "chunk_id", "text", "vec", "embed_error")
+    # Without any chunk written, as rows count themselves and a plan that turns out empty would not.
+    return stage(rows, "index-rows") if chunks.isEmpty() else rows
 
 
 class TooManyFailures(RuntimeError):
@@ -110,7 +114,8 @@ def build_index(
     docs = docs_table(spark, table)
     made = reused_rows(docs, shards, f"{path}/_vectors", make_embedder, **options) if reuse else index_rows(docs, shards, make_embedder, **options)
     rows, seen = _counts(made, "vec")
-    build = write_build(rows.where(F.col("vec").isNotNull()).drop("embed_error"), path)
+    # Reused vectors have been joined by the hash of their chunk, so each task holds an even part of every shard.
+    build = write_build(rows.where(F.col("vec").isNotNull()).drop("embed_error"), path, rebalance=not reuse or shards > FEW_SHARDS)
     counts = _checked(seen, max_failed)
     if metric is not None:
         written = spark.read.parquet(f"{path}/{build}/rows")

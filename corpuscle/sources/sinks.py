@@ -49,14 +49,16 @@ def write_wide_embeddings(embeddings: DataFrame, path: str, dim: int | None = No
 BUILDS = "_builds"  # one row per finished build of an index; the last one counts
 
 
-def write_build(index: DataFrame, path: str) -> str:
+def write_build(index: DataFrame, path: str, rebalance: bool = True) -> str:
     """Write the rows of an index to a folder of their own below ``path`` and return it.
 
     One directory per shard.  A shard holds a fixed share of the corpus, so it must not
-    be one task: the rebalance hint splits its rows into files of even size.
+    be one task: the rebalance hint splits its rows into files of even size.  Rows that
+    already lie spread over tasks, whatever their shard, can do without.
     """
     build = f"build-{uuid.uuid4().hex}"
-    index.hint("rebalance", "shard").write.partitionBy("shard").parquet(f"{path}/{build}/rows")
+    spread = index.hint("rebalance", "shard") if rebalance else index
+    spread.write.partitionBy("shard").parquet(f"{path}/{build}/rows")
     return build
 
 

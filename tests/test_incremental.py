@@ -1,5 +1,6 @@
 import os
 
+from corpuscle import session
 from corpuscle.operators.embed import hashing_embedder
 from corpuscle.plans.index import build_index
 from corpuscle.sources.records import sharded_index
@@ -62,3 +63,16 @@ def test_only_unknown_chunks_reach_the_model(spark, tmp_path):
     assert rows(spark, path).keys() == before.keys() | {("d", 0)}
     assert build_index(spark, docs, path, 2, make_embedder=counting(calls), reuse=True, earlier=1, model="other", max_failed=0.5, retries=0)["embedded"] == chunks + 1
     assert len([n for n in os.listdir(path) if n.startswith("build-")]) == 2
+
+
+def test_reused_rows_write_no_chunk_but_the_build(spark, tmp_path):
+    docs, path = str(tmp_path / "lean-docs"), str(tmp_path / "lean-index")
+    rows = [(f"{i:064x}", f"u{i}", f"words of text {i % 3} " * 80) for i in range(6)]
+    spark.createDataFrame(rows, "docId string, uri string, text string").write.parquet(docs)
+    seen = len(session._fresh.get(spark.sparkContext.applicationId, []))
+    counts = build_index(spark, docs, path, 2, reuse=True)
+    assert counts["failed"] == 0 and counts["prepared"] > 6
+    staged = session._fresh[spark.sparkContext.applicationId][seen:]
+    assert staged and not any("text" in spark.read.parquet(p).columns for p in staged)
+    spark.createDataFrame([], "docId string, uri string, text string").write.mode("overwrite").parquet(docs)
+    assert build_index(spark, docs, path, 2, reuse=True) == {"prepared": 0, "embedded": 0, "failed": 0}
