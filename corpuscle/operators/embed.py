@@ -15,6 +15,9 @@ from pyspark.sql import types as ST
 
 from corpuscle.functions.text import KEYWORD_TOKEN
 
+PORTION = 4 << 20  # bytes of text that are Python strings at once, about
+KNOWN_TOKENS = 100_000
+
 Embedder = Callable[[list[str]], Sequence[Sequence[float]]]
 
 
@@ -29,7 +32,7 @@ def hashing_embedder(dim: int = 64) -> Callable[[], Embedder]:
         """Position of every token met so far, shifted by ``dim`` where the sign is negative."""
 
         def __missing__(self, word: str) -> int:
-            if len(self) >= 1_000_000:  # keeps the memory of a long task bounded
+            if len(self) >= KNOWN_TOKENS:  # keeps the memory of a long task bounded
                 self.clear()
             digest = hashlib.md5(word.encode()).hexdigest()
             place = self[word] = int(digest[:8], 16) % dim + dim * (int(digest[8], 16) % 2)
@@ -103,9 +106,15 @@ def embed_column(
             pass
         return [one(model, item) for item in items]
 
+    def portions(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        size = rows.column(rows.schema.get_field_index(text)).nbytes
+        step = max(batch, -(-rows.num_rows // max(1, -(-size // PORTION))))
+        step += -step % batch
+        return (rows.slice(at, step) for at in range(0, rows.num_rows, step))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make()
-        for rows in batches:
+        for rows in chain.from_iterable(map(portions, batches)):
             texts = rows.column(rows.schema.get_field_index(text)).to_pylist()
             present = [i for i, item in enumerate(texts) if item is not None]
             vectors: list = [None] * len(texts)

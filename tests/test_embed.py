@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
+from corpuscle.operators import embed as embed_module
 from corpuscle.operators.embed import embed_column, hashing_embedder
 
 
@@ -73,3 +74,18 @@ def test_a_call_is_repeated_before_it_counts_as_failed(spark):
 def test_default_model_dimension(spark):
     df = spark.createDataFrame([("a b",)], "text string")
     assert embed_column(df).select(F.size("vec")).first()[0] == 64
+
+
+def test_long_texts_are_embedded_in_portions(spark):
+    def lengths():
+        return lambda texts: [[float(len(texts)), float(len(t))] for t in texts]
+
+    docs = spark.range(100).coalesce(1).select("id", F.repeat(F.lit("x"), (F.col("id") * 4000).cast("int")).alias("text"))
+    rows = embed_column(docs, lengths, batch=1000).collect()
+    assert [r["vec"][1] for r in rows] == [4000.0 * r["id"] for r in rows] and len(rows) == 100
+    rows = embed_column(docs, lengths, batch=10).collect()
+    assert {r["vec"][0] for r in rows} == {10.0}
+
+
+def test_known_tokens_are_bounded():
+    assert embed_module.KNOWN_TOKENS <= 100_000
