@@ -51,9 +51,10 @@ def edge_trim(text: Column) -> Column:
 def collapse(text: Column) -> Column:
     """Turn every run of whitespace into one space.
 
-    The pattern passes over single spaces, most of the whitespace of a text.
+    The pattern passes over single spaces, most of the whitespace of a text, and looks at
+    any other character once.
     """
-    return F.regexp_replace(text, r"[\t\n\x0B\f\r]\s*| \s+", " ")
+    return F.regexp_replace(text, r"[ \t\n\x0B\f\r](?:(?<! )\s*+|\s++)", " ")
 
 
 def sanitize(text: Column) -> Column:

@@ -14,7 +14,7 @@ _MARK, _NOT_MARK = "\x1e", "\x1f"  # two control characters
 
 def _cut(text: Column, size: int | Column) -> Column:
     """The text in pieces of ``size`` code points, the last one shorter; one pass over the text."""
-    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}+"), F.lit(0))
 
 
 def fixed_windows(clean: Column, max_chars: int, overlap: int) -> Column:
