@@ -54,5 +54,7 @@ def write_files(spark: SparkSession, folder: str) -> str:
     """One file per web page below a fresh folder, in eight folders: a fixture of many small files."""
     path = fresh_path(spark, "raw-files")
     pages = table(spark, folder, "pages").select((F.col("page_id") % 8).alias("part"), F.coalesce("html", F.lit("")).alias("text"))
-    pages.write.partitionBy("part").option("maxRecordsPerFile", 1).text(path)
+    # Tasks put their files in place themselves; else the driver would rename them one by one.
+    files = pages.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 1)
+    files.partitionBy("part").text(path)
     return path
