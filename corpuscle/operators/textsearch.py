@@ -1,35 +1,42 @@
 """Ranked text search (BM25) over blocks of postings, most of which a question never opens.
 
-Rows are numbered in the order of their ids.  The postings of a term are kept in blocks, one
-for each ``span`` numbers, as bytes: for every row of the block that has the term, how far
-it is from the one before, how often it has the term and how long it is.  Beside the bytes
-stands the largest share any of these rows reaches, so the sum of a question's shares is
-more than any row of that block can score.
+Rows are numbered in the order of their ids; ``span`` numbers are a block, and up to ``LOT``
+numbers are a lot.  The index has a row for each term of a lot: the blocks that have the term and, as bytes,
+the postings of each: for every row of the block that has the term, how far it is from the
+one before, how often it has the term and how long it is.  Beside each block stands the
+largest share any of its rows reaches, so the sum of a question's shares is more than any row
+of that block can score.
 
 A question first opens the blocks of largest sums.  Its k-th score there is a floor, and
 of the others only those whose sum reaches the floor are opened.  So the result is exact.
-Every block is opened by itself: no task holds more than one block of each term of one
-question, whatever share of the rows has a term.
+A lot meets the questions in parts: no group holds more than the postings of one lot and the
+terms of one part of the questions, whatever share of the rows has a term.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
+from corpuscle.functions.binding import bind
 from corpuscle.operators.scoring import GRID
 from corpuscle.session import fresh_path, stage
 
 K1, B = 1.2, 0.75  # how soon repeats saturate, and how much length counts
 SPAN = 32  # numbers of one block: the fewer, the closer its bound
 FIRST = 8  # blocks a question opens before it has a floor
-CELLS = 1 << 20  # scores that a task holds at once
+LOT = 1 << 14  # numbers of one lot at most
+WORDS = 1 << 22  # words of a lot, about; of its rows a task holds no more at once, if not of one row
+PART = 1024  # questions that meet a lot together, about
+CELLS = 1 << 20  # scores that a task holds at once, if not of one question
+FINE = 65535  # steps of a largest share, which is kept rounded up
 SLACK = 1e-9
 
 
@@ -37,12 +44,15 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the numbers and how many each has: seven bits a byte, least first, the top bit set where a number goes on."""
     rest = values.astype(np.uint64)
     width = max(1, -(-int(rest.max(initial=0)).bit_length() // 7))
-    parts = (rest[:, None] >> np.arange(0, 7 * width, 7, dtype=np.uint64)) & np.uint64(127)
-    used = np.maximum(width - np.argmax(parts[:, ::-1] > 0, axis=1), 1)
-    used[rest == 0] = 1
-    at = np.arange(width)[None, :]
-    out = parts | np.where(at < used[:, None] - 1, np.uint64(128), np.uint64(0))
-    return out[at < used[:, None]].astype(np.uint8), used
+    used = np.ones(len(rest), dtype=np.int64)
+    for j in range(1, width):
+        used += rest >= np.uint64(1 << 7 * j)
+    out, at, left = np.empty(int(used.sum()), dtype=np.uint8), np.cumsum(used) - used, used
+    for j in range(width):
+        out[at + j] = (rest & np.uint64(127)).astype(np.uint8) | ((left > 1).astype(np.uint8) << 7)
+        more = left > 1
+        rest, at, left = rest[more] >> np.uint64(7), at[more], left[more] - 1
+    return out, used
 
 
 def decode(raw: bytes) -> np.ndarray:
@@ -61,100 +71,179 @@ def share(freq: np.ndarray, size: np.ndarray, mean: float) -> np.ndarray:
     return freq / (freq + K1 * (1 - B + B * size / mean))
 
 
-def _block(batches: Iterator[pa.RecordBatch], mean: float) -> Iterator[pa.RecordBatch]:
-    """Lists of rows as bytes, a whole batch at a time."""
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where one of the columns changes, and 0."""
+    return np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns], axis=0)]))
+
+
+def _binary(raw: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes cut at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+
+
+def _lots(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The rows lot by lot; a lot of very many words comes in several tables."""
+    held: list[pa.RecordBatch] = []
+    last, words = -1, 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        lists = batch.column("rows")
-        ends = lists.offsets.to_numpy().astype(np.int64)
-        n = np.diff(ends)
-        at, freq, size = (lists.values.field(c).to_numpy(zero_copy_only=False)[ends[0]:ends[-1]].astype(np.int64) for c in ("at", "freq", "size"))
-        owner = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((at, owner))
-        at, freq, size = at[order], freq[order], size[order]
-        starts = ends[:-1] - ends[0]
+        lot, size = batch.column("_n").to_numpy() // rows, batch.column("_size").to_numpy().astype(np.int64)
+        cuts = _starts(lot, np.cumsum(size) // WORDS)
+        for at, upto in zip(cuts, [*cuts[1:], len(lot)]):
+            more = int(size[at:upto].sum())
+            if held and (lot[at] != last or words + more > WORDS):
+                yield pa.Table.from_batches(held)
+                held, words = [], 0
+            held.append(batch.slice(at, upto - at))
+            last, words = lot[at], words + more
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _lists(batches: Iterator[pa.RecordBatch], mean: float, span: int, blocks: int) -> Iterator[pa.RecordBatch]:
+    """A row for each term of a lot of so many blocks; rows come in the order of their numbers and all have words."""
+    for table in _lots(batches, blocks * span):
+        number, size = table.column("_n").to_numpy(), table.column("_size").to_numpy().astype(np.int64)
+        words = pc.split_pattern(table.column("_words").combine_chunks(), " ").flatten().dictionary_encode()
+        code, owner = words.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(size)), size)
+        each, freq = np.unique(code * len(size) + owner, return_counts=True)
+        code, owner = np.divmod(each, len(size))
+        block, at = np.divmod(number[owner], span)
+        size = size[owner]
+        starts = _starts(code, block)
         steps = np.diff(at, prepend=-1) - 1
         steps[starts] = at[starts]
         raw, used = encode(np.stack([steps, freq, size], axis=1).ravel())
-        byte_ends = np.concatenate([[0], np.cumsum(used)])[np.concatenate([[0], 3 * np.cumsum(n)])].astype(np.int32)
-        postings = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(byte_ends.tobytes()), pa.py_buffer(raw.tobytes())])
-        best = np.maximum.reduceat(share(freq, size, mean), starts)
+        best = np.ceil(np.maximum.reduceat(share(freq, size, mean), starts) * FINE).astype("<u2")
+        n = np.diff(starts, append=len(code))
+        lot = int(number[0]) // (blocks * span)
+        code, block = code[starts], block[starts] - lot * blocks
+        lists = _starts(code)
+        ends = np.append(lists[1:], len(code))
+        steps = np.diff(block, prepend=0)
+        steps[lists] = block[lists]
+        places, taken = encode(np.stack([steps, n], axis=1).ravel())
+        upto = np.cumsum(n)[ends - 1]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("token"), batch.column("block"), pa.array(n), pa.array(best), postings], names=["token", "block", "n", "best", "postings"])
+            [words.dictionary.take(pa.array(code[lists])), pa.array(np.full(len(lists), lot)), pa.array(np.diff(upto, prepend=0)),
+             _binary(places, np.cumsum(taken)[2 * ends - 1]), _binary(best, 2 * ends), _binary(raw, np.cumsum(used)[3 * upto - 1])],
+            names=["token", "lot", "n", "blocks", "best", "postings"])
 
 
 def build_text_index(chunks: DataFrame, path: str, ids: list[str], text: str = "text", span: int = SPAN) -> None:
     """Write the rows of ``chunks`` and their postings below ``path``, which must not exist.
 
-    ``ids`` identify a row; they order equal scores.  Rows are ranged by them once.  A block
-    belongs to one range of rows, so its postings come together where they are counted and
-    blocks, not postings, are shuffled to lie by term.  Null texts have no terms.
+    ``ids`` identify a row; they order equal scores.  Rows are ranged by them once, and cut
+    into words once.  A lot belongs to one range of rows, so its postings are put together
+    where its rows lie and are not shuffled.  Null texts have no terms.
     """
     spark = chunks.sparkSession
     ranged = stage(chunks, "text-chunks").repartitionByRange(*ids).sortWithinPartitions(*ids)
-    tokens = T.analyzed_tokens(F.coalesce(F.col(text), F.lit("")))
-    ranged.withColumn("_n", F.monotonically_increasing_id()).withColumn("_size", F.size(tokens)).write.parquet(f"{path}/rows")
+    # No word holds a space.
+    cut = bind(T.analyzed_tokens(F.coalesce(F.col(text), F.lit(""))), lambda words: F.struct(F.size(words).alias("_size"), F.array_join(words, " ").alias("_words")))
+    ranged.select("*", F.monotonically_increasing_id().alias("_n"), cut.alias("_cut")).select(*chunks.columns, "_n", "_cut.*").write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
     sizes = rows.where("_size > 0").agg(F.count("*").alias("rows"), F.avg("_size").alias("mean"))
-    sizes.select("rows", F.coalesce("mean", F.lit(1.0)).alias("mean"), F.lit(span).alias("span")).coalesce(1).write.parquet(f"{path}/meta")
-    mean = spark.read.parquet(f"{path}/meta").first()["mean"]
-    block = F.floor(F.col("_n") / span).cast("long")
-    row = F.struct((F.col("_n") - block * span).cast("int").alias("at"), F.col("freq").cast("int").alias("freq"), F.col("_size").alias("size"))
-    counted = rows.select("_n", "_size", F.inline(T.term_counts(tokens))).select("token", block.alias("block"), row.alias("row"))
-    # At most ``span`` rows to a list.
-    lists = counted.groupBy("token", "block").agg(F.collect_list("row").alias("rows"))
-    blocks = stage(lists.mapInArrow(lambda b: _block(b, mean), "token string, block long, n long, best double, postings binary"), "text-blocks")
-    # By term, so that a reader who asks for terms skips most of each file.
-    blocks.repartitionByRange("token", "block").sortWithinPartitions("token", "block").write.parquet(f"{path}/blocks")
-    blocks.groupBy("token").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
-
-
-def _opened(batches: Iterator[pa.RecordBatch], k: int, mean: float, span: int) -> Iterator[pa.RecordBatch]:
-    """The best ``k`` rows of each question and block; rows come sorted by both.
-
-    What one question opens of one block is a row per term, so it is held whole, across batches.
-    """
-    held: pa.Table | None = None
-
-    def scored(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        question, block = table.column("q").to_numpy(), table.column("block").to_numpy()
-        cuts = np.concatenate([[0], np.flatnonzero((np.diff(question) != 0) | (np.diff(block) != 0)) + 1, [len(question)]])
-        step = max(1, CELLS // span)
-        for at in range(0, len(cuts) - 1, step):
-            upto = min(at + step, len(cuts) - 1)
-            yield best_of(table.slice(cuts[at], cuts[upto] - cuts[at]), cuts[at:upto + 1] - cuts[at])
-
-    def best_of(table: pa.Table, cuts: np.ndarray) -> pa.RecordBatch:
-        n, weight = table.column("n").to_numpy(), table.column("weight").to_numpy()
-        steps, freq, size = decode(b"".join(table.column("postings").to_pylist())).reshape(-1, 3).T
-        row = np.repeat(np.arange(len(n)), n)
-        along = np.cumsum(steps + 1)
-        starts = np.cumsum(n) - n
-        place = along - np.repeat(along[starts] - steps[starts] - 1, n) - 1
-        group = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))[row]
-        total = np.bincount(group * span + place, weight[row] * share(freq, size, mean), minlength=(len(cuts) - 1) * span)
-        total = np.floor(total.reshape(-1, span) * GRID + 0.5)
-        order = np.argsort(-total, axis=1, kind="stable")[:, :k]
-        score = np.take_along_axis(total, order, axis=1)
-        first = cuts[:-1]
-        floor = np.maximum(table.column("floor").to_numpy()[first], 1.0)
-        g, j = np.nonzero(score >= floor[:, None])
-        q, block = table.column("q").to_numpy()[first], table.column("block").to_numpy()[first]
-        return pa.RecordBatch.from_arrays([pa.array(q[g]), pa.array(block[g] * span + order[g, j]), pa.array(score[g, j])], names=["q", "n", "g"])
-
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        if not table.num_rows:
-            continue
-        q, block = table.column("q").to_numpy(), table.column("block").to_numpy()
-        whole = int(np.flatnonzero((q != q[-1]) | (block != block[-1]))[-1]) + 1 if (q[0], block[0]) != (q[-1], block[-1]) else 0
-        held = table.slice(whole)
-        if whole:
-            yield from scored(table.slice(0, whole))
-    if held is not None and held.num_rows:
-        yield from scored(held)
+    mean = F.coalesce("mean", F.lit(1.0))
+    blocks = F.greatest(F.lit(1), F.floor(F.least(F.lit(LOT), WORDS / mean) / span)).cast("int")
+    sizes.select("rows", mean.alias("mean"), F.lit(span).alias("span"), blocks.alias("blocks")).coalesce(1).write.parquet(f"{path}/meta")
+    meta = spark.read.parquet(f"{path}/meta").first()
+    mean, blocks = meta["mean"], meta["blocks"]
+    kind = "token string, lot long, n long, blocks binary, best binary, postings binary"
+    rows.where("_size > 0").select("_n", "_size", "_words").mapInArrow(lambda b: _lists(b, mean, span, blocks), kind).write.parquet(f"{path}/lists")
+    spark.read.parquet(f"{path}/lists").groupBy("token").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    return np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+
+
+class _Lot:
+    """What a lot holds of the terms of some questions: ``asks`` by question, ``entries`` of a term and a block by term."""
+
+    def __init__(self, met: pa.Table, visitors: np.ndarray | None = None):
+        asks = met.column("asks").combine_chunks()
+        term = np.repeat(np.arange(met.num_rows), pc.list_value_length(asks).to_numpy())
+        asks = asks.flatten()
+        q, weight = asks.field("q").to_numpy(), asks.field("weight").to_numpy()
+        if visitors is not None:
+            held = np.isin(q, visitors)
+            q, weight, term = q[held], weight[held], term[held]
+            kept, term = np.unique(term, return_inverse=True)
+            met = met.take(pa.array(kept))
+        order = np.argsort(q, kind="stable")
+        self.q, self.weight, self.term, self.met = q[order], weight[order], term[order], met
+        self.entries = pc.binary_length(met.column("best")).to_numpy().astype(np.int64) // 2
+        self.entry_at = np.cumsum(self.entries) - self.entries
+        steps, self.n = decode(b"".join(met.column("blocks").to_pylist())).reshape(-1, 2).T
+        along = np.cumsum(steps)
+        self.block = along - np.repeat(along[self.entry_at] - steps[self.entry_at], self.entries)
+
+    def best(self) -> np.ndarray:
+        return np.frombuffer(b"".join(self.met.column("best").to_pylist()), dtype="<u2") / FINE
+
+    def postings(self, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where an entry's postings start; place in the block and share of every posting."""
+        steps, freq, size = decode(b"".join(self.met.column("postings").to_pylist())).reshape(-1, 3).T
+        starts, along = np.cumsum(self.n) - self.n, np.cumsum(steps + 1)
+        return starts, along - np.repeat(along[starts] - steps[starts], self.n), share(freq, size, mean)
+
+    def turns(self, cost: Callable[[np.ndarray], np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Ask and entry of all pairs of a few questions, and these questions, again and again; ``cost`` is told per ask."""
+        firsts = _starts(self.q) if len(self.q) else np.zeros(0, dtype=np.int64)
+        spent = np.cumsum(np.add.reduceat(cost(self.term), firsts)) if len(firsts) else firsts
+        at = 0
+        while at < len(firsts):
+            upto = max(at + 1, int(np.searchsorted(spent, (spent[at - 1] if at else 0) + CELLS, side="right")))
+            asks = np.arange(firsts[at], firsts[upto] if upto < len(firsts) else len(self.q))
+            counts = self.entries[self.term[asks]]
+            yield np.repeat(asks, counts), _ranges(self.entry_at[self.term[asks]], counts), self.q[firsts[at:upto]]
+            at = upto
+
+
+def _bounds(met: pa.Table, blocks: int) -> pa.Table:
+    """The most that any row of a block can score, for all questions with a term in it."""
+    lot, first = _Lot(met), met.column("lot")[0].as_py() * blocks
+    best, found = lot.best(), []
+    for ask, entry, asked in lot.turns(lambda term: lot.entries[term]):
+        cell = np.searchsorted(asked, lot.q[ask]) * blocks + lot.block[entry]
+        total = np.bincount(cell, lot.weight[ask] * best[entry], minlength=len(asked) * blocks)
+        cell = np.flatnonzero(total)
+        most = np.floor(total[cell] * (GRID * (1 + SLACK)) + 2).astype(np.int64)
+        found.append(pa.table({"q": asked[cell // blocks], "block": first + cell % blocks, "most": most}))
+    return pa.concat_tables(found)
+
+
+def _opened(met: pa.Table, visits: pa.Table, k: int, mean: float, span: int, blocks: int) -> pa.Table:
+    """The best ``k`` rows of each question in the blocks of one lot that it opens."""
+    none = pa.table({"q": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "g": pa.array([], pa.float64())})
+    if not visits.num_rows or not met.num_rows:
+        return none
+    first = met.column("lot")[0].as_py() * blocks
+    visits = visits.sort_by([("q", "ascending"), ("block", "ascending")])
+    q, block, floor = (visits.column(c).to_numpy() for c in ("q", "block", "floor"))
+    lot, found = _Lot(met, np.unique(q)), [none]
+    starts, place, part = lot.postings(mean)
+    for ask, entry, asked in lot.turns(lambda term: lot.entries[term] * span):
+        here = slice(np.searchsorted(q, asked[0]), np.searchsorted(q, asked[-1], side="right"))
+        number = np.full(len(asked) * blocks, -1)
+        number[np.searchsorted(asked, q[here]) * blocks + block[here] - first] = np.arange(here.stop - here.start)
+        visit = number[np.searchsorted(asked, lot.q[ask]) * blocks + lot.block[entry]]
+        ask, entry, visit = ask[visit >= 0], entry[visit >= 0], visit[visit >= 0]
+        n = lot.n[entry]
+        posting = _ranges(starts[entry], n)
+        total = np.bincount(np.repeat(visit * span, n) + place[posting], np.repeat(lot.weight[ask], n) * part[posting], minlength=(here.stop - here.start) * span)
+        total = np.floor(total * GRID + 0.5)
+        cell = np.flatnonzero(total >= np.repeat(np.maximum(floor[here], 1.0), span))
+        whose, row, score = q[here][cell // span], block[here][cell // span] * span + cell % span, total[cell]
+        order = np.lexsort((row, -score, whose))
+        whose, row, score = whose[order], row[order], score[order]
+        kept = np.arange(len(whose)) - np.searchsorted(whose, whose) < k
+        found.append(pa.table({"q": whose[kept], "n": row[kept], "g": score[kept]}))
+    return pa.concat_tables(found)
 
 
 class TextSearch:
@@ -165,14 +254,20 @@ class TextSearch:
         self.k, self.path, self.question_id = k, path, question_id
         meta = spark.read.parquet(f"{path}/meta").first()
         self.mean, self.span = float(meta["mean"]), int(meta["span"])
-        self.blocks = spark.read.parquet(f"{path}/blocks")
+        self.blocks = int(meta["blocks"])
+        lists = spark.read.parquet(f"{path}/lists")
         self.asked = stage(questions.select(F.monotonically_increasing_id().alias("q"), F.col(question_id), F.col(question).alias("text")), "text-questions")
         words = self.asked.select("q", F.explode(T.analyzed_tokens(F.coalesce("text", F.lit("")))).alias("token")).groupBy("q", "token").count()
         common = spark.read.parquet(f"{path}/terms")
         rarity = F.log(1 + (F.lit(float(meta["rows"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         self.terms = stage(words.join(common, "token").select("q", "token", (F.col("count") * rarity).alias("weight")), "text-terms")
-        bounds = self.blocks.select("token", "block", "best").join(self.terms, "token").groupBy("q", "block").agg(
-            F.floor(F.sum(F.col("weight") * F.col("best")) * (GRID * (1 + SLACK)) + 2).alias("most"))
+        self.parts = -(-self.asked.count() // PART)
+        asks = self.terms.groupBy(self._part(), "token").agg(F.collect_list(F.struct("q", "weight")).alias("asks"))
+        # Of the index only the asked terms are looked at again.
+        wanted = stage(lists.join(self.terms.select("token").distinct(), "token", "left_semi"), "text-wanted")
+        self.met = wanted.join(asks, "token")
+        blocks = self.blocks
+        bounds = self.met.select("lot", "part", "blocks", "best", "asks").groupBy("lot", "part").applyInArrow(lambda t: _bounds(t, blocks), "q long, block long, most long")
         order = Window.partitionBy("q").orderBy(F.desc("most"), "block")
         # The window's limit is applied before rows are shuffled.
         self.bounds = stage(bounds, "text-bounds")
@@ -187,24 +282,27 @@ class TextSearch:
         self.rest = stage(unseen.where(F.col("most") >= F.col("floor")).select("q", "block", "floor"), "text-rest")
         self.hits = self._best(early.union(self._hits(self.rest)))
 
+    def _part(self) -> Column:
+        return F.pmod(F.xxhash64("q"), F.lit(max(self.parts, 1))).alias("part")
+
     def _hits(self, visits: DataFrame) -> DataFrame:
-        k, mean, span = self.k, self.mean, self.span
-        wanted = visits.join(self.terms, "q")
-        met = wanted.join(self.blocks.select("token", "block", "n", "postings"), ["token", "block"])
-        sorted_by = met.select("q", "block", "weight", "floor", "n", "postings").repartition("q", "block").sortWithinPartitions("q", "block")
-        return sorted_by.mapInArrow(lambda b: _opened(b, k, mean, span), "q long, n long, g double")
+        k, mean, span, blocks = self.k, self.mean, self.span, self.blocks
+        visits = visits.select(F.floor(F.col("block") / blocks).cast("long").alias("lot"), self._part(), "q", "block", "floor")
+        met = self.met.select("lot", "part", "blocks", "best", "postings", "asks")
+        both = met.groupBy("lot", "part").cogroup(visits.groupBy("lot", "part"))
+        return both.applyInArrow(lambda m, v: _opened(m, v, k, mean, span, blocks), "q long, n long, g double")
 
     def _best(self, hits: DataFrame) -> DataFrame:
         place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("g"), "n"))
         return hits.withColumn("rank", place).where(F.col("rank") <= self.k).drop("rank")
 
     def result(self) -> DataFrame:
-        rows = self.blocks.sparkSession.read.parquet(f"{self.path}/rows")
+        rows = self.asked.sparkSession.read.parquet(f"{self.path}/rows")
         hits = self.hits.select(F.col("q").alias("_q"), F.col("n").alias("_at"), F.col("g").alias("_g"))
         asked = self.asked.select(F.col("q").alias("_q"), self.question_id)
         named = hits.join(asked, "_q").join(rows, F.col("_at") == F.col("_n"))
         place = F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("_g"), "_at"))
-        kept = [c for c in rows.columns if c not in ("_n", "_size")]
+        kept = [c for c in rows.columns if c not in ("_n", "_size", "_words")]
         return named.select(self.question_id, *kept, (F.col("_g") / GRID).alias("score"), place.alias("rank"))
 
 

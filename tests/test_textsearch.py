@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from corpuscle.operators import textsearch
@@ -62,6 +64,76 @@ def test_blocks_below_the_kth_score_are_not_opened(spark):
     assert search.first.count() <= textsearch.FIRST * 20 and opened < 0.4 * held
 
 
+@pytest.mark.parametrize("span", [8, 48])
+def test_lots_and_parts_of_questions_change_no_result(spark, monkeypatch, span):
+    monkeypatch.setattr(textsearch, "LOT", 64)
+    monkeypatch.setattr(textsearch, "PART", 3)
+    chunks = corpus(5, 1000)
+    questions = [(f"q{i}", f"w{i} w0 w1 w0" if i % 3 else f"w{i}") for i in range(20)]
+    path = textsearch.text_index(spark.createDataFrame(chunks, KIND).repartition(3), ["doc", "n"], span=span)
+    search = textsearch.TextSearch(spark.createDataFrame(questions, "question_id string, question string"), path, 7, "question_id", "question")
+    assert search.met.select("lot").distinct().count() >= 16 and search.met.select("part").distinct().count() > 1
+    assert answers(search.result()) == brute(chunks, questions, 7)
+
+
+def test_postings_of_a_lot_go_out_once_for_all_questions(spark):
+    """One row for a term of a lot, not one for each question and block that has it."""
+    chunks = corpus(7, 3000)
+    questions = [(f"q{i}", "w0 w1 w2") for i in range(50)]
+    path = textsearch.text_index(spark.createDataFrame(chunks, KIND).coalesce(1), ["doc", "n"], span=8)
+    search = textsearch.TextSearch(spark.createDataFrame(questions, "question_id string, question string"), path, 5, "question_id", "question")
+    assert search.bounds.count() > 50 * 300
+    assert search.met.count() == 3 * spark.read.parquet(f"{path}/lists").select("lot").distinct().count() <= 3 * 8
+    assert answers(search.result()) == brute(chunks, questions, 5)
+
+
+def test_many_words_are_cut_into_several_tables(monkeypatch):
+    number = np.arange(40) + (5 << 33)
+    words = [" ".join(f"w{j}" for j in range(1 + i % 7)) for i in range(40)]
+    rows = pa.record_batch({"_n": pa.array(number), "_size": pa.array([1 + i % 7 for i in range(40)], pa.int32()), "_words": pa.array(words)})
+
+    def told(most, step):
+        monkeypatch.setattr(textsearch, "WORDS", most)
+        tables = [pa.Table.from_batches([t]) for t in textsearch._lists((rows.slice(i, step) for i in range(0, 40, step)), 3.0, 4, 4)]
+        shares, df = {}, Counter()
+        for table in tables:
+            for lot in set(table["lot"].to_pylist()):
+                held = table.filter(pc.equal(table["lot"], lot))
+                asks = pa.array([[{"q": j, "weight": 1.0} for j in range(3)]] * held.num_rows, pa.list_(pa.struct([("q", pa.int64()), ("weight", pa.float64())])))
+                entries = textsearch._Lot(held.append_column("asks", asks))
+                starts, place, part = entries.postings(3.0)
+                token = np.repeat(np.array(held["token"].to_pylist()), entries.entries)
+                for e in range(len(token)):
+                    for i in range(starts[e], starts[e] + entries.n[e]):
+                        shares[str(token[e]), (lot * 4 + int(entries.block[e])) * 4 + int(place[i])] = float(part[i])
+                    assert entries.best()[e] >= max(part[starts[e]:starts[e] + entries.n[e]])
+            for token, n in zip(table["token"].to_pylist(), table["n"].to_pylist()):
+                df[token] += n
+        return len(tables), shares, df
+
+    whole, cut = told(1 << 22, 40), told(20, 9)
+    assert whole[1:] == cut[1:] and cut[0] > whole[0] and len(whole[1]) == sum(whole[2].values()) == sum(1 + i % 7 for i in range(40))
+
+
+def test_few_scores_at_a_time_change_no_result(monkeypatch):
+    draw = random.Random(2)
+    size = [draw.randint(1, 30) for _ in range(200)]
+    words = [" ".join(f"w{draw.randint(0, 40)}" for _ in range(n)) for n in size]
+    rows = pa.record_batch({"_n": pa.array(range(200), pa.int64()), "_size": pa.array(size, pa.int32()), "_words": pa.array(words)})
+    met = pa.Table.from_batches(list(textsearch._lists(iter([rows]), 12.0, 8, 25)))
+    kind = pa.list_(pa.struct([("q", pa.int64()), ("weight", pa.float64())]))
+    met = met.append_column("asks", pa.array([[{"q": q, "weight": 0.5 + q} for q in range(9) if draw.random() < 0.4 or not q] for _ in range(met.num_rows)], kind))
+
+    def told(cells):
+        monkeypatch.setattr(textsearch, "CELLS", cells)
+        bounds = textsearch._bounds(met, 25)
+        visits = bounds.filter(pc.field("block") != 3).select(["q", "block"])
+        visits = visits.append_column("floor", pa.array([-math.inf] * visits.num_rows))
+        return bounds.to_pylist(), textsearch._opened(met, visits, 4, 12.0, 8, 25).to_pylist()
+
+    assert told(1) == told(100) == told(1 << 20) and len(told(1)[1]) == 36
+
+
 def test_numbers_come_back():
     values = np.array([0, 1, 127, 128, 300, 16383, 16384, 2**40, 5])
     raw, used = textsearch.encode(values)
