@@ -25,9 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text as T
-from corpuscle.functions.binding import bind
 from corpuscle.operators.scoring import GRID
-from corpuscle.session import fresh_path, stage
+from corpuscle.session import discard, fresh_path, stage
 
 K1, B = 1.2, 0.75  # how soon repeats saturate, and how much length counts
 SPAN = 32  # numbers of one block: the fewer, the closer its bound
@@ -106,7 +105,7 @@ def _lists(batches: Iterator[pa.RecordBatch], mean: float, span: int, blocks: in
     """A row for each term of a lot of so many blocks; rows come in the order of their numbers and all have words."""
     for table in _lots(batches, blocks * span):
         number, size = table.column("_n").to_numpy(), table.column("_size").to_numpy().astype(np.int64)
-        words = pc.split_pattern(table.column("_words").combine_chunks(), " ").flatten().dictionary_encode()
+        words = table.column("_words").combine_chunks().flatten().dictionary_encode()
         code, owner = words.indices.to_numpy().astype(np.int64), np.repeat(np.arange(len(size)), size)
         each, freq = np.unique(code * len(size) + owner, return_counts=True)
         code, owner = np.divmod(each, len(size))
@@ -135,15 +134,18 @@ def _lists(batches: Iterator[pa.RecordBatch], mean: float, span: int, blocks: in
 def build_text_index(chunks: DataFrame, path: str, ids: list[str], text: str = "text", span: int = SPAN) -> None:
     """Write the rows of ``chunks`` and their postings below ``path``, which must not exist.
 
-    ``ids`` identify a row; they order equal scores.  Rows are ranged by them once, and cut
-    into words once.  A lot belongs to one range of rows, so its postings are put together
-    where its rows lie and are not shuffled.  Null texts have no terms.
+    ``ids`` identify a row; they order equal scores.  Rows are ranged by them once.  A lot
+    belongs to one range of rows, so its postings are put together where its rows lie and
+    are not shuffled.  Null texts have no terms.
     """
     spark = chunks.sparkSession
-    ranged = stage(chunks, "text-chunks").repartitionByRange(*ids).sortWithinPartitions(*ids)
-    # No word holds a space.
-    cut = bind(T.analyzed_tokens(F.coalesce(F.col(text), F.lit(""))), lambda words: F.struct(F.size(words).alias("_size"), F.array_join(words, " ").alias("_words")))
-    ranged.select("*", F.monotonically_increasing_id().alias("_n"), cut.alias("_cut")).select(*chunks.columns, "_n", "_cut.*").write.parquet(f"{path}/rows")
+    staged = fresh_path(spark, "text-chunks")
+    chunks.write.parquet(staged, compression="zstd")
+    ranged = spark.read.schema(chunks.schema).parquet(staged).repartitionByRange(*ids).sortWithinPartitions(*ids)
+    tokens = T.analyzed_tokens(F.coalesce(F.col(text), F.lit("")))
+    numbered = ranged.withColumn("_n", F.monotonically_increasing_id()).withColumn("_size", F.size(tokens))
+    numbered.write.parquet(f"{path}/rows", compression="zstd")
+    discard(spark, staged)  # nothing reads it any more
     rows = spark.read.parquet(f"{path}/rows")
     sizes = rows.where("_size > 0").agg(F.count("*").alias("rows"), F.avg("_size").alias("mean"))
     mean = F.coalesce("mean", F.lit(1.0))
@@ -152,8 +154,8 @@ def build_text_index(chunks: DataFrame, path: str, ids: list[str], text: str = "
     meta = spark.read.parquet(f"{path}/meta").first()
     mean, blocks = meta["mean"], meta["blocks"]
     kind = "token string, lot long, n long, blocks binary, best binary, postings binary"
-    rows.where("_size > 0").select("_n", "_size", "_words").mapInArrow(lambda b: _lists(b, mean, span, blocks), kind).write.parquet(f"{path}/lists")
-    spark.read.parquet(f"{path}/lists").groupBy("token").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
+    lists = rows.where("_size > 0").select("_n", "_size", tokens.alias("_words")).mapInArrow(lambda b: _lists(b, mean, span, blocks), kind)
+    lists.write.parquet(f"{path}/lists", compression="zstd")
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -176,7 +178,7 @@ class _Lot:
             met = met.take(pa.array(kept))
         order = np.argsort(q, kind="stable")
         self.q, self.weight, self.term, self.met = q[order], weight[order], term[order], met
-        self.entries = pc.binary_length(met.column("best")).to_numpy().astype(np.int64) // 2
+        self.entries = met.column("entries").to_numpy().astype(np.int64)
         self.entry_at = np.cumsum(self.entries) - self.entries
         steps, self.n = decode(b"".join(met.column("blocks").to_pylist())).reshape(-1, 2).T
         along = np.cumsum(steps)
@@ -258,16 +260,16 @@ class TextSearch:
         lists = spark.read.parquet(f"{path}/lists")
         self.asked = stage(questions.select(F.monotonically_increasing_id().alias("q"), F.col(question_id), F.col(question).alias("text")), "text-questions")
         words = self.asked.select("q", F.explode(T.analyzed_tokens(F.coalesce("text", F.lit("")))).alias("token")).groupBy("q", "token").count()
-        common = spark.read.parquet(f"{path}/terms")
+        # Of the index only the asked terms are looked at again.
+        wanted = stage(lists.join(words.select("token").distinct(), "token", "left_semi"), "text-wanted")
+        common = wanted.groupBy("token").agg(F.sum("n").alias("df"))
         rarity = F.log(1 + (F.lit(float(meta["rows"])) - F.col("df") + 0.5) / (F.col("df") + 0.5))
         self.terms = stage(words.join(common, "token").select("q", "token", (F.col("count") * rarity).alias("weight")), "text-terms")
         self.parts = -(-self.asked.count() // PART)
         asks = self.terms.groupBy(self._part(), "token").agg(F.collect_list(F.struct("q", "weight")).alias("asks"))
-        # Of the index only the asked terms are looked at again.
-        wanted = stage(lists.join(self.terms.select("token").distinct(), "token", "left_semi"), "text-wanted")
-        self.met = wanted.join(asks, "token")
+        self.met = wanted.join(asks, "token").withColumn("entries", (F.octet_length("best") / 2).cast("int"))
         blocks = self.blocks
-        bounds = self.met.select("lot", "part", "blocks", "best", "asks").groupBy("lot", "part").applyInArrow(lambda t: _bounds(t, blocks), "q long, block long, most long")
+        bounds = self.met.select("lot", "part", "blocks", "entries", "best", "asks").groupBy("lot", "part").applyInArrow(lambda t: _bounds(t, blocks), "q long, block long, most long")
         order = Window.partitionBy("q").orderBy(F.desc("most"), "block")
         # The window's limit is applied before rows are shuffled.
         self.bounds = stage(bounds, "text-bounds")
@@ -288,7 +290,7 @@ class TextSearch:
     def _hits(self, visits: DataFrame) -> DataFrame:
         k, mean, span, blocks = self.k, self.mean, self.span, self.blocks
         visits = visits.select(F.floor(F.col("block") / blocks).cast("long").alias("lot"), self._part(), "q", "block", "floor")
-        met = self.met.select("lot", "part", "blocks", "best", "postings", "asks")
+        met = self.met.select("lot", "part", "blocks", "entries", "postings", "asks")
         both = met.groupBy("lot", "part").cogroup(visits.groupBy("lot", "part"))
         return both.applyInArrow(lambda m, v: _opened(m, v, k, mean, span, blocks), "q long, n long, g double")
 
@@ -302,7 +304,7 @@ class TextSearch:
         asked = self.asked.select(F.col("q").alias("_q"), self.question_id)
         named = hits.join(asked, "_q").join(rows, F.col("_at") == F.col("_n"))
         place = F.row_number().over(Window.partitionBy("_q").orderBy(F.desc("_g"), "_at"))
-        kept = [c for c in rows.columns if c not in ("_n", "_size", "_words")]
+        kept = [c for c in rows.columns if c not in ("_n", "_size")]
         return named.select(self.question_id, *kept, (F.col("_g") / GRID).alias("score"), place.alias("rank"))
 
 

@@ -87,9 +87,13 @@ def test_postings_of_a_lot_go_out_once_for_all_questions(spark):
     assert answers(search.result()) == brute(chunks, questions, 5)
 
 
+def counted(met):
+    return met.append_column("entries", pa.array([len(b) // 2 for b in met["best"].to_pylist()], pa.int32()))
+
+
 def test_many_words_are_cut_into_several_tables(monkeypatch):
     number = np.arange(40) + (5 << 33)
-    words = [" ".join(f"w{j}" for j in range(1 + i % 7)) for i in range(40)]
+    words = [[f"w{j}" for j in range(1 + i % 7)] for i in range(40)]
     rows = pa.record_batch({"_n": pa.array(number), "_size": pa.array([1 + i % 7 for i in range(40)], pa.int32()), "_words": pa.array(words)})
 
     def told(most, step):
@@ -100,7 +104,7 @@ def test_many_words_are_cut_into_several_tables(monkeypatch):
             for lot in set(table["lot"].to_pylist()):
                 held = table.filter(pc.equal(table["lot"], lot))
                 asks = pa.array([[{"q": j, "weight": 1.0} for j in range(3)]] * held.num_rows, pa.list_(pa.struct([("q", pa.int64()), ("weight", pa.float64())])))
-                entries = textsearch._Lot(held.append_column("asks", asks))
+                entries = textsearch._Lot(counted(held.append_column("asks", asks)))
                 starts, place, part = entries.postings(3.0)
                 token = np.repeat(np.array(held["token"].to_pylist()), entries.entries)
                 for e in range(len(token)):
@@ -118,11 +122,11 @@ def test_many_words_are_cut_into_several_tables(monkeypatch):
 def test_few_scores_at_a_time_change_no_result(monkeypatch):
     draw = random.Random(2)
     size = [draw.randint(1, 30) for _ in range(200)]
-    words = [" ".join(f"w{draw.randint(0, 40)}" for _ in range(n)) for n in size]
+    words = [[f"w{draw.randint(0, 40)}" for _ in range(n)] for n in size]
     rows = pa.record_batch({"_n": pa.array(range(200), pa.int64()), "_size": pa.array(size, pa.int32()), "_words": pa.array(words)})
     met = pa.Table.from_batches(list(textsearch._lists(iter([rows]), 12.0, 8, 25)))
     kind = pa.list_(pa.struct([("q", pa.int64()), ("weight", pa.float64())]))
-    met = met.append_column("asks", pa.array([[{"q": q, "weight": 0.5 + q} for q in range(9) if draw.random() < 0.4 or not q] for _ in range(met.num_rows)], kind))
+    met = counted(met).append_column("asks", pa.array([[{"q": q, "weight": 0.5 + q} for q in range(9) if draw.random() < 0.4 or not q] for _ in range(met.num_rows)], kind))
 
     def told(cells):
         monkeypatch.setattr(textsearch, "CELLS", cells)
