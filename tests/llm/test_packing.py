@@ -117,3 +117,50 @@ def test_documents_are_packed_with_their_ids(spark):
     bins = check(rows, 1024)
     total = sum(r["length"] for r in rows)
     assert all(len(r["ids"]) == 4 * r["length"] for r in rows) and bins <= 1.05 * total / 1024 + 2
+
+
+class Counting:
+    """A tokenizer that notes what it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += texts
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def same(encoder, tokenizer, texts):
+    ids, bounds = encoder.encode(pa.array(texts), 2)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [2], repr(text)
+
+
+def test_a_word_is_encoded_once_whatever_sign_follows(tokenizer):
+    words = [f"{a}{b}" for a in ("wor", "lé", "zu") for b in ("ndif", "taqu", "eß")]
+    encoder = packing.Encoder(PATH)
+    encoder.tokenizer = Counting(tokenizer)
+    same(encoder, tokenizer, [f"x {' '.join(words)}"])
+    same(encoder, tokenizer, ["x " + " ".join(w + sign for w in words for sign in (".", ",", "!?", "###", ".\nAnd", "\nAnd", "(1)"))])
+    given = "".join(encoder.tokenizer.given)
+    assert all(given.count(w) == 1 for w in words) and given.count("And") == 1
+
+
+def test_words_met_again_outlast_those_met_once(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 100)
+    encoder = packing.Encoder(PATH)
+    encoder.tokenizer = Counting(tokenizer)
+    for i in range(40):
+        same(encoder, tokenizer, [f"x often again. {' '.join(f'w{i}q{k}z' for k in range(30))}"])
+        assert len(encoder.known) <= 200 and len(set(encoder.known.to_pylist())) == len(encoder.starts) == len(encoder.known)
+    given = "".join(encoder.tokenizer.given)
+    assert given.count("often") == given.count("again") == 1
+
+
+def test_ids_at_signs_breaks_and_zero_bytes(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_CHUNKS", 300)
+    draw, encoder = random.Random(7), packing.Encoder(PATH)
+    parts = [*ALPHABET, "\0", "a\nb\nc", "ª", "²", "'", "'re", "...", "(", "|", "÷", " ", "　", "́", "a.", "é,", "9)"]
+    for _ in range(150):
+        some = draw.sample(parts, draw.randint(3, 20))
+        same(encoder, tokenizer, ["".join(draw.choices(some, k=draw.randint(0, 25))) for _ in range(60)])
