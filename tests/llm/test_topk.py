@@ -75,3 +75,16 @@ def test_bounds_leave_pairs_out(monkeypatch):
     monkeypatch.setattr(best, "_keep", lambda *found: pytest.fail("a pair was kept") if len(found[0]) else None)
     best.add(np.arange(300, 400), ints[300:], turn)
     assert (best.floors == before).all()
+
+
+def test_copied_blocks_never_go_through_the_driver(spark):
+    """The tables of blocks are small, their copies are not: no side of their join is broadcast."""
+    frame = spark.createDataFrame(vectors("unit", 700), "vec_id long, embedding array<float>")
+    plan = topk.top_k(frame, every=10)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.mark.parametrize("most", [0, 127, 128, 40_000, 1 << 31, -(1 << 62)])
+def test_packed_numbers(most):
+    ints = np.array([[most, -1], [0, 1], [2, 3]], dtype=np.int64)
+    assert (topk._unpacked(topk._packed(ints), 3, 2) == ints).all()
