@@ -107,3 +107,11 @@ def test_repeats_null_ids_and_no_rows(spark):
     kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash.one_of_each(docs).collect())
     assert kept == [("2", "a b c d"), ("7", None), ("None", "else where it is")]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("joined", [simhash.leader_links, simhash.links, lambda marks: simhash.links(marks.withColumn("root", marks.fp), "root")])
+def test_cells_never_go_through_the_driver(spark, joined):
+    """A table of fingerprints is small, that of the cells they look into is not: neither side is broadcast."""
+    marks = spark.createDataFrame([(signed(m),) for m in near_and_far(50, 2)], "fp long")
+    plan = joined(simhash.stage(marks, "few"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
