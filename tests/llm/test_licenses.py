@@ -3,6 +3,7 @@ import random
 import brute
 
 from corpuscle.llm import licenses
+from corpuscle.session import stage
 
 COLUMNS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 TEXTS = [
@@ -75,3 +76,15 @@ def test_long_lines_of_common_words_carry_nothing(spark):
     words = sorted({w for _, t, _ in licenses.TEMPLATES for w in licenses.words_of(t)})
     docs = spark.createDataFrame([(i, " ".join(draw.choices(words, k=3_000))) for i in range(20)], "doc_id long, text string")
     assert {(r["labels"], r["score"]) for r in licenses.scan(docs).collect()} == {("", 0.0)}
+
+
+def test_blocks_without_a_phrase_are_counted_and_joined(spark, monkeypatch):
+    """The telling phrase is looked for in pairs that pass the join; it chooses no blocks beforehand."""
+    written = {}
+    monkeypatch.setattr(licenses, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    texts = ["rights of all are reserved", "nothing of the kind " * 20, "zzz", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["labels"] for r in licenses.scan(docs).collect()} == {""}
+    blocks = written["license-words"].selectExpr("doc_id", "inline(__blocks)").where("size = 16").collect()
+    assert [(b["block"], sorted(b["words"]), b["marks"]) for b in blocks if b["doc_id"] == 0] == [(0, ["all", "reserved", "rights"], [])]
+    assert sorted(b["block"] for b in blocks if b["doc_id"] == 1) == [0, 1, 2, 3] and {b["doc_id"] for b in blocks} == {0, 1}
