@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +59,28 @@ def write_files(spark: SparkSession, folder: str) -> str:
     """One file per web page below a fresh folder, in eight folders: a fixture of many small files."""
     path = fresh_path(spark, "raw-files")
     pages = table(spark, folder, "pages").select((F.col("page_id") % 8).alias("part"), F.coalesce("html", F.lit("")).alias("text"))
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if store.getUri().getScheme() == "file":
+        # On a folder of the machine Hadoop starts two processes for every file it creates, to set its rights.
+        store.mkdirs(place)
+        root = place.toUri().getPath()
+        pages.mapInArrow(lambda batches: _put(batches, root), "files long").write.format("noop").mode("overwrite").save()
+        return path
     # Tasks put their files in place themselves; else the driver would rename them one by one.
     files = pages.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").option("maxRecordsPerFile", 1)
     files.partitionBy("part").text(path)
     return path
+
+
+def _put(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    """A file for each row, as Spark's text writer lays them out; a task that is run again writes the same ones."""
+    task, files = TaskContext.get().partitionId(), 0
+    for batch in batches:
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").cast(pa.binary())):
+            own = f"{root}/part={'__HIVE_DEFAULT_PARTITION__' if part is None else part}"
+            os.makedirs(own, exist_ok=True)
+            with open(f"{own}/part-{task:05d}-{files:09d}.txt", "wb") as file:
+                file.write(text.as_py() + b"\n")
+            files += 1
+    yield pa.RecordBatch.from_arrays([pa.array([files])], names=["files"])

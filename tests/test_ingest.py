@@ -1,4 +1,5 @@
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from corpuscle.plans.index import (
 )
 from corpuscle.plans.ingest import docs_from_text, ingest
 from corpuscle.session import discard_staged, stage
+from corpuscle.sources.files import binary_files
 from corpuscle.sources.records import sharded_index
 from corpuscle.streaming.ingest import file_stream, ingest_stream
+from corpuscle.workload import tables
 
 
 def docs(spark, rows):
@@ -178,3 +181,28 @@ def test_a_stream_lists_its_files_in_few_tasks_and_leaves_the_session_alone(spar
     files = file_stream(spark, str(tmp_path))
     assert files.sparkSession.conf.get(name) == "32" and spark.conf.get(name) == before
     assert files.sparkSession.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+def test_a_batch_of_small_files_is_read_in_a_task_for_each_core(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for i in range(1000):
+        (raw / f"{i}.txt").write_text(f"text {i}")
+    tasks = []
+    files = file_stream(spark, str(raw)).select("path")
+    files.writeStream.foreachBatch(lambda batch, _: tasks.append((batch.rdd.getNumPartitions(), batch.count()))).option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    assert [n for _, n in tasks] == [1000] and tasks[0][0] <= spark.sparkContext.defaultParallelism
+
+
+def test_files_of_pages_are_those_of_the_text_writer(spark, tmp_path):
+    pages = [(1, "a\nb"), (9, None), (-3, "é"), (None, ""), (8, "x"), (8, "x")]
+    frame = spark.createDataFrame(pages, "page_id long, html string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    found = binary_files(spark, tables.write_files(spark, str(tmp_path))).select("path", "content").collect()
+    frame.select((F.col("page_id") % 8).alias("part"), F.coalesce("html", F.lit("")).alias("text")).write.option(
+        "maxRecordsPerFile", 1).partitionBy("part").text(str(tmp_path / "text"))
+    want = binary_files(spark, str(tmp_path / "text"), "*.txt").select("path", "content").collect()
+    laid = lambda rows: sorted((r.path.split("/")[-2], bytes(r.content)) for r in rows)
+    assert laid(found) == laid(want) and len(found) == len(pages) and all(r.path.endswith(".txt") for r in found)
+    assert not list(Path(found[0].path.removeprefix("file:")).parent.parent.rglob("*.crc"))
